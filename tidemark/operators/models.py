@@ -188,16 +188,46 @@ def ewma_limits(
     base = _needed(df, series, order_by, metrics)
     if n is not None:
         base = latest_n(base, n, order_by, series, rank_col=None)
+    return ewma_from_rows(base, metrics, series, lam)
+
+
+def ewma_from_rows(rows: DataFrame, metrics: Sequence[str], group_cols: Sequence[str],
+                   lam: float = DEFAULT_LAMBDA) -> DataFrame:
+    """One aggregation (mean, stddev per metric), then one row per metric with limits."""
     aggs = []
     for m in metrics:
         aggs += [F.avg(m).alias(f"mean__{m}"), F.stddev_samp(m).alias(f"stddev__{m}")]
-    wide = _group(base, series, aggs)
-    rows = F.array(*[
+    wide = _group(rows, group_cols, aggs)
+    long = F.array(*[
         F.struct(F.lit(m).alias("field"), F.col(f"mean__{m}").alias("mean"),
                  F.col(f"stddev__{m}").alias("stddev"))
         for m in metrics
     ])
-    return control_limits(wide.select(*series, F.inline(rows)), lam)
+    return control_limits(wide.select(*group_cols, F.inline(long)), lam)
+
+
+def aggregate_ranked(
+    ranked: DataFrame,
+    model: str,
+    metrics: Sequence[str],
+    n: int,
+    group_cols: Sequence[str],
+    rank_col: str = "__rank",
+    weights: Sequence[float] = DEFAULT_WEIGHTS,
+    label_col: str | None = None,
+    rename: Mapping[str, str] | None = None,
+    lam: float = DEFAULT_LAMBDA,
+    extra_aggs: Sequence[Column] = (),
+) -> DataFrame:
+    """Apply a model to rows that are already the newest ``n`` of each group."""
+    name = model.strip()
+    if name in ("WMA", "WMA_FLAT"):
+        aggs = wma_aggs(ranked, metrics, n, rank_col, weights, name == "WMA_FLAT", label_col, rename)
+    elif name == "EWMA":
+        return ewma_from_rows(ranked, metrics, list(group_cols), lam)
+    else:
+        aggs = ma_aggs(ranked, metrics, label_col, rename)
+    return _group(ranked, list(group_cols), [*extra_aggs, *aggs])
 
 
 def control_limits(df: DataFrame, lam: float = DEFAULT_LAMBDA,

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.weights import DEFAULT_WEIGHTS
-from tidemark.operators.models import _group, ma_aggs, wma_aggs
+from tidemark.operators.models import aggregate_ranked
 from tidemark.operators.recent import _as_list, latest_n
 
 WINDOW_START = "window_start"
@@ -84,6 +84,17 @@ def window_count(df: DataFrame, time_col: str, length_s: int, slide_s: int,
     return sliding_aggregate(df, time_col, length_s, slide_s, (), series_cols)
 
 
+def pane_of(df: DataFrame, time_col: str, length_s: int, slide_s: int, pane_col: str = "__pane") -> DataFrame:
+    """Tag rows with the start of their pane (``gcd(length, slide)`` seconds)."""
+    return df.withColumn(pane_col, _pane_start(time_col, _check(length_s, slide_s)))
+
+
+def expand_panes(df: DataFrame, length_s: int, slide_s: int, pane_col: str = "__pane") -> DataFrame:
+    """One copy of each pane row per window containing the pane (``pane_col`` dropped)."""
+    win = F.window(pane_col, _dur(length_s), _dur(slide_s))
+    return df.select("*", win.start.alias(WINDOW_START), win.end.alias(WINDOW_END)).drop(pane_col)
+
+
 def window_latest_n(
     df: DataFrame,
     time_col: str,
@@ -95,12 +106,10 @@ def window_latest_n(
     rank_col: str = "rank",
 ) -> DataFrame:
     """The newest ``n`` rows (by ``order_by``) of every sliding window, ranked 0 = newest."""
-    pane_s = _check(length_s, slide_s)
     series = _as_list(series_cols)
-    paned = df.withColumn("__pane", _pane_start(time_col, pane_s))
+    paned = pane_of(df, time_col, length_s, slide_s)
     per_pane = latest_n(paned, n, order_by, [*series, "__pane"], rank_col=None)
-    win = F.window("__pane", _dur(length_s), _dur(slide_s))
-    expanded = per_pane.select("*", win.start.alias(WINDOW_START), win.end.alias(WINDOW_END)).drop("__pane")
+    expanded = expand_panes(per_pane, length_s, slide_s)
     return latest_n(expanded, n, order_by, [*series, WINDOW_START, WINDOW_END], rank_col=rank_col)
 
 
@@ -128,9 +137,12 @@ def window_threshold(
                                *([label_col] if label_col else [])]))
     ranked = window_latest_n(df.select(*cols), time_col, length_s, slide_s, n, order_by,
                              series, rank_col="__rank")
-    if name in ("WMA", "WMA_FLAT"):
-        aggs = wma_aggs(ranked, metrics, n, "__rank", weights, name == "WMA_FLAT", label_col, rename)
-    else:
-        aggs = ma_aggs(ranked, metrics, label_col, rename)
-    return _group(ranked, [*series, WINDOW_START, WINDOW_END],
-                  [F.count(F.lit(1)).alias("n_rows"), *aggs])
+    return aggregate_windows(ranked, name, metrics, n, series, weights, label_col, rename)
+
+
+def aggregate_windows(ranked: DataFrame, model: str, metrics: Sequence[str], n: int,
+                      series: Sequence[str], weights: Sequence[float] = DEFAULT_WEIGHTS,
+                      label_col: str | None = None, rename: Mapping[str, str] | None = None) -> DataFrame:
+    """Model per (series, window) over rows ranked inside their window."""
+    return aggregate_ranked(ranked, model, metrics, n, [*series, WINDOW_START, WINDOW_END], "__rank",
+                            weights, label_col, rename, extra_aggs=[F.count(F.lit(1)).alias("n_rows")])

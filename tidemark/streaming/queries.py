@@ -1,3 +1,93 @@
-"""Streaming queries registered with the driver (filled in below)."""
+"""Registered streaming queries.
 
-STREAM_QUERIES: list = []
+Each query copies ``events`` into a handful of time-range files (data Spark
+derives from the table, so the work grows with it), streams them a few files
+per micro-batch with ``availableNow``, and returns the final state of the
+sink as a batch DataFrame.  The oracle is the batch SQL of the same operator:
+stream = batch.  File modification times of one write are nearly equal, so
+files may be picked in any order; the allowed lateness covers the whole table
+so that no row is late.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.plans.catalog import (
+    SQL_MA_PER_SERIES,
+    SQL_SLIDING_COUNT,
+    Query,
+    _window_model_sql,
+    rounded,
+)
+from tidemark.session import scratch_path
+from tidemark.sources.tables import table
+from tidemark.streaming.jobs import file_stream, start_threshold_stream, start_window_count_stream
+from tidemark.streaming.sinks import read_latest, write_daily
+
+N_FILES = 8
+FILES_PER_BATCH = 2
+LATENESS_S = 40 * 86400
+
+
+def _event_files(spark: SparkSession, sf: str, path: str) -> DataFrame:
+    ev = table(spark, sf, "events")
+    ev.repartitionByRange(N_FILES, "ts").write.mode("overwrite").parquet(path)
+    return ev
+
+
+def _stream(spark: SparkSession, sf: str, name: str):
+    root = scratch_path(spark, name)
+    ev = _event_files(spark, sf, f"{root}/input")
+    src = file_stream(spark, f"{root}/input", ev.schema, max_files_per_trigger=FILES_PER_BATCH)
+    return root, src
+
+
+def q_stream_window_wma(spark: SparkSession, sf: str) -> DataFrame:
+    root, src = _stream(spark, sf, "stream_window_wma")
+    q = start_threshold_stream(src, "WMA", ["value"], "event_id", 20, f"{root}/out", f"{root}/ckpt",
+                               ["event_type"], window=(21600, 3600), time_col="ts", delay_s=LATENESS_S,
+                               label_col="ts", available_now=True)
+    q.awaitTermination()
+    return rounded(read_latest(spark, f"{root}/out", ["event_type", "window_start", "window_end"]))
+
+
+def q_stream_latest_n_ma(spark: SparkSession, sf: str) -> DataFrame:
+    root, src = _stream(spark, sf, "stream_latest_n_ma")
+    q = start_threshold_stream(src, "MA", ["value"], "event_id", 20, f"{root}/out", f"{root}/ckpt",
+                               ["user_id"], label_col="ts", available_now=True)
+    q.awaitTermination()
+    return rounded(read_latest(spark, f"{root}/out", ["user_id"]))
+
+
+def _daily_writer(df, path, batch_id):
+    write_daily(df, path, batch_id, time_col="create_date")
+
+
+def q_stream_daily_sink(spark: SparkSession, sf: str) -> DataFrame:
+    root, src = _stream(spark, sf, "stream_daily_sink")
+    q = start_threshold_stream(src, "MA", ["value"], "event_id", 20, f"{root}/out", f"{root}/ckpt",
+                               ["user_id"], label_col="ts", available_now=True, writer=_daily_writer)
+    q.awaitTermination()
+    return rounded(read_latest(spark, f"{root}/out", ["user_id"]))
+
+
+def q_stream_sliding_count(spark: SparkSession, sf: str) -> DataFrame:
+    root, src = _stream(spark, sf, "stream_sliding_count")
+    q = start_window_count_stream(src, "ts", 1200, 60, f"{root}/out", f"{root}/ckpt",
+                                  delay_s=LATENESS_S, available_now=True)
+    q.awaitTermination()
+    return read_latest(spark, f"{root}/out", ["window_start", "window_end"])
+
+
+SQL_STREAM_DAILY_SINK = (
+    "SELECT *, 'poc_os_metric_dt_' || strftime(create_date, '%Y_%m_%d') AS index_name "
+    f"FROM ({SQL_MA_PER_SERIES}) m")
+
+STREAM_QUERIES: list[Query] = [
+    Query("stream_window_wma", ("W1", "W2", "W3", "W4", "W5", "A2"), q_stream_window_wma,
+          _window_model_sql("WMA", 21600, 3600, 20, ["event_type"])),
+    Query("stream_latest_n_ma", ("S2", "W3", "W4", "T2", "A1"), q_stream_latest_n_ma, SQL_MA_PER_SERIES),
+    Query("stream_daily_sink", ("K1", "E7", "W4"), q_stream_daily_sink, SQL_STREAM_DAILY_SINK),
+    Query("stream_sliding_count", ("A5", "W2", "W1"), q_stream_sliding_count, SQL_SLIDING_COUNT),
+]
