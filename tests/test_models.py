@@ -1,0 +1,131 @@
+"""Model properties and edge cases on small frames and on the events table."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from tidemark.operators.models import (
+    describe_summary,
+    ewma_limits,
+    moving_average,
+    threshold,
+    weighted_moving_average,
+)
+from tidemark.operators.recent import latest_n
+from tidemark.sources.tables import table
+
+
+def frame(spark, values, series=None):
+    rows = [(i, float(v), series[i] if series else "s") for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "o long, x double, k string")
+
+
+def test_permutation_does_not_change_results(spark):
+    vals = [float(i % 7) + i / 10 for i in range(37)]
+    rows = [(i, v) for i, v in enumerate(vals)]
+    shuffled = rows[:]
+    random.Random(1).shuffle(shuffled)
+    a = spark.createDataFrame(rows, "o long, x double")
+    b = spark.createDataFrame(shuffled, "o long, x double").repartition(5)
+    for fn in (moving_average, weighted_moving_average):
+        assert fn(a, ["x"], "o", 20).collect() == fn(b, ["x"], "o", 20).collect()
+
+
+@pytest.mark.parametrize("n", [4, 8, 12, 20])
+def test_constant_input(spark, n):
+    df = frame(spark, [3.25] * n)
+    assert moving_average(df, ["x"], "o", n).first()["dt_x"] == pytest.approx(3.25)
+    assert weighted_moving_average(df, ["x"], "o", n).first()["dt_x"] == pytest.approx(3.25)
+
+
+def test_small_n_gives_null_wma(spark):
+    df = frame(spark, [1.0, 2.0, 3.0])
+    assert weighted_moving_average(df, ["x"], "o", 3).first()["dt_x"] is None
+    assert moving_average(df, ["x"], "o", 3).first()["dt_x"] == pytest.approx(2.0)
+
+
+def test_fewer_rows_than_n_keep_fixed_denominator(spark):
+    df = frame(spark, [2.0] * 5)
+    # N = 20: D = 5.0, the 5 rows are all rank < 5 (weight 0.1): 5 * 0.2 / 5
+    assert weighted_moving_average(df, ["x"], "o", 20).first()["dt_x"] == pytest.approx(0.2)
+    assert moving_average(df, ["x"], "o", 20).first()["dt_x"] == pytest.approx(2.0)
+
+
+def test_empty_input_yields_one_null_row(spark):
+    df = spark.createDataFrame([], "o long, x double")
+    assert moving_average(df, ["x"], "o", 10).collect()[0]["dt_x"] is None
+    assert weighted_moving_average(df, ["x"], "o", 10).collect()[0]["dt_x"] is None
+    lim = ewma_limits(df, ["x"], "o", 10).collect()
+    assert len(lim) == 1 and lim[0]["ucl"] is None
+
+
+def test_one_row_has_null_limits(spark):
+    df = frame(spark, [5.0])
+    r = ewma_limits(df, ["x"], "o", 10).first()
+    assert r["mean"] == 5.0 and r["stddev"] is None and r["ucl"] is None
+
+
+def test_limits_bracket_mean(spark):
+    ev = table(spark, SF_SMALL, "events")
+    for r in ewma_limits(ev, ["value"], "event_id", 50, "event_type").collect():
+        assert r["lcl"] <= r["mean"] <= r["ucl"]
+
+
+def test_lambda_one_gives_three_sigma(spark):
+    df = frame(spark, [1.0, 2.0, 3.0, 4.0])
+    r = ewma_limits(df, ["x"], "o", 4, lam=1.0).first()
+    assert r["ucl"] == pytest.approx(r["mean"] + 3 * r["stddev"])
+
+
+def test_tie_breaker_makes_latest_n_deterministic(spark):
+    rows = [(1, i, float(i)) for i in range(10)]  # all share order value 1
+    df = spark.createDataFrame(rows, "o long, tb long, x double")
+    got = latest_n(df, 3, ["o", "tb"]).collect()
+    assert [r["tb"] for r in got] == [9, 8, 7]
+    assert [r["rank"] for r in got] == [0, 1, 2]
+
+
+def test_per_series_matches_per_series_filter(spark):
+    ev = table(spark, SF_SMALL, "events")
+    keyed = {r["event_type"]: r["dt_value"]
+             for r in weighted_moving_average(ev, ["value"], "event_id", 12, "event_type").collect()}
+    for et, v in keyed.items():
+        single = weighted_moving_average(ev.filter(F.col("event_type") == et), ["value"], "event_id", 12)
+        assert single.first()["dt_value"] == pytest.approx(v)
+
+
+def test_salted_latest_n_equals_plain(spark):
+    ev = table(spark, SF_SMALL, "events")
+    a = latest_n(ev, 7, "event_id", "event_type")
+    b = latest_n(ev, 7, "event_id", "event_type", salt_buckets=4)
+    key = ["event_type", "rank"]
+    assert sorted(a.select(*key, "event_id").collect()) == sorted(b.select(*key, "event_id").collect())
+
+
+def test_describe_matches_spark_describe(spark):
+    ev = table(spark, SF_SMALL, "events")
+    ours = {r["metric"]: r["value"] for r in describe_summary(ev, ["value"]).collect()}
+    ref = {r["summary"]: float(r["value"]) for r in ev.describe("value").collect()}
+    for k in ("count", "mean", "stddev", "min", "max"):
+        assert ours[k] == pytest.approx(ref[k], rel=1e-9)
+
+
+def test_dispatch(spark):
+    df = frame(spark, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0])
+    assert threshold(df, " WMA ", ["x"], "o", 8).collect() == \
+        weighted_moving_average(df, ["x"], "o", 8).collect()
+    assert threshold(df, "whatever", ["x"], "o", 8).collect() == moving_average(df, ["x"], "o", 8).collect()
+    with pytest.raises(ValueError):
+        threshold(df, "whatever", ["x"], "o", 8, strict=True)
+    assert {r["field"] for r in threshold(df, "EWMA", ["x"], "o", 8).collect()} == {"x"}
+
+
+def test_plan_has_partial_group_limit_before_shuffle(spark):
+    ev = table(spark, SF_SMALL, "events")
+    plan = weighted_moving_average(ev, ["value"], "event_id", 20, "user_id")._jdf \
+        .queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    # a single shuffle on the series key: the aggregate reuses the window's partitioning
+    assert plan.count("Exchange hashpartitioning") <= 1
