@@ -60,3 +60,14 @@ def test_summary_long_and_filter(spark):
     ms = mean_stddev_rows(long)
     assert sorted({r["metric"] for r in ms.collect()}) == ["mean", "stddev"]
     assert ms.count() == 4
+
+
+def test_row_positions_with_a_hot_series(spark):
+    # a third of all rows in one series: it must spread over several range tasks
+    ev = table(spark, SF_SMALL, "events").select(
+        F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("user_id"),
+        "event_id")
+    ours = row_positions(ev, "event_id", "user_id", "pos")
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    ref = ev.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
+    assert sorted(ours.collect()) == sorted(ref.select("user_id", "event_id", "pos").collect())

@@ -264,3 +264,41 @@ def threshold(
         return weighted_moving_average(df, metrics, order_by, n, series_cols, weights,
                                        "flat" if name == "WMA_FLAT" else "banded", label_col, **kw)
     return ewma_limits(df, metrics, order_by, n, series_cols, lam)
+
+
+def model_table(
+    df: DataFrame,
+    models: Sequence[str],
+    metrics: Sequence[str],
+    order_by: str | Sequence[str],
+    n: int,
+    series_cols: str | Sequence[str] | None = (),
+    weights: Sequence[float] = DEFAULT_WEIGHTS,
+    rename: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Several MA / WMA / WMA_FLAT models from one ranking pass and one aggregation.
+
+    Output rows ``(model, series.., dt_*)``: one shuffle on the series key for
+    all models instead of one per model.
+    """
+    names = [m.strip() for m in models]
+    for m in names:
+        if m not in ("MA", "WMA", "WMA_FLAT"):
+            raise ValueError(f"model_table supports MA, WMA and WMA_FLAT, not {m!r}")
+    series = _as_list(series_cols)
+    base = _needed(df, series, order_by, metrics)
+    ranked = latest_n(base, n, order_by, series, rank_col="__rank")
+    outs = [output_name(m, rename) for m in metrics]
+    aggs = []
+    for name in names:
+        if name == "MA":
+            cols = ma_aggs(ranked, metrics, None, rename)
+        else:
+            cols = wma_aggs(ranked, metrics, n, "__rank", weights, name == "WMA_FLAT", None, rename)
+        aggs += [c.alias(f"{name}__{o}") for c, o in zip(cols, outs)]
+    wide = _group(ranked, series, aggs)
+    rows = F.array(*[
+        F.struct(F.lit(name).alias("model"), *[F.col(f"{name}__{o}").alias(o) for o in outs])
+        for name in names
+    ])
+    return wide.select(*series, F.inline(rows))

@@ -90,3 +90,44 @@ def recency_rank(
     series = _as_list(series_cols)
     w = Window.partitionBy(*series).orderBy(*_desc(_as_list(order_by)))
     return df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("long"))
+
+
+def newest_keys(df: DataFrame, n: int, key: str) -> DataFrame:
+    """The ``n`` largest distinct values of ``key`` (a null key sorts last).
+
+    Every task keeps the top ``n`` distinct keys of its own rows (Arrow batches,
+    only the key column leaves the JVM), so at most ``n`` keys per task are
+    shuffled, however many rows or repeats a key has.  Use it to push a
+    "newest n groups" limit below an aggregation on ``key``: the result is
+    bounded by ``n`` rows and safe to broadcast.
+    """
+    schema = df.select(key).schema
+
+    def per_task(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        best, has_null = None, False
+        for b in batches:
+            col = b.column(0)
+            has_null = has_null or col.null_count > 0
+            vals = pc.unique(col.drop_null())
+            if best is not None:
+                vals = pc.unique(pa.concat_arrays([best, vals]))
+            if len(vals) > n:
+                vals = vals.take(pc.top_k_unstable(vals, n))
+            best = vals
+        if best is None:
+            return
+        if has_null:
+            best = pa.concat_arrays([best, pa.nulls(1, type=best.type)])
+        yield pa.RecordBatch.from_arrays([best], names=[key])
+
+    return (df.select(key).mapInArrow(per_task, schema)
+            .distinct().orderBy(F.col(key).desc_nulls_last()).limit(n))
+
+
+def restrict_to_newest_keys(df: DataFrame, n: int, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is among its ``n`` largest distinct keys."""
+    keys = newest_keys(df, n, key).withColumnRenamed(key, "__newest_key")
+    return df.join(F.broadcast(keys), df[key].eqNullSafe(F.col("__newest_key")), "left_semi")

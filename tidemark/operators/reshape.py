@@ -27,15 +27,22 @@ def transpose(df: DataFrame, fields: Sequence[str], position_col: str, n_positio
     """Instants x fields -> fields x instants.
 
     One output row per (series, field) with a column ``p<i>`` per position
-    ``0 .. n_positions-1``.  The position list is explicit, so the pivot needs
-    no extra pass to discover it and the width is bounded by the caller.
+    ``0 .. n_positions-1`` (null where a position is missing).  Written as one
+    conditional aggregation over an explicit position list, so it adds no
+    shuffle when the input is already partitioned by the series (as the
+    output of a per-series ``latest_n`` is).
     """
     series = _as_list(series_cols)
-    long = df.unpivot([*series, position_col], list(fields), "field", "value")
-    out = (long.groupBy(*series, "field")
-           .pivot(position_col, list(range(n_positions)))
-           .agg(F.first("value")))
-    return out.select(*series, "field", *[F.col(str(i)).alias(f"p{i}") for i in range(n_positions)])
+    pos = F.col(position_col)
+    aggs = [F.max(F.when(pos == F.lit(i), F.col(f))).alias(f"{f}__p{i}")
+            for f in fields for i in range(n_positions)]
+    wide = df.groupBy(*series).agg(*aggs) if series else df.agg(*aggs)
+    rows = F.array(*[
+        F.struct(F.lit(f).alias("field"),
+                 *[F.col(f"{f}__p{i}").cast("double").alias(f"p{i}") for i in range(n_positions)])
+        for f in fields
+    ])
+    return wide.select(*series, F.inline(rows))
 
 
 def chunk_blocks(df: DataFrame, fields: Sequence[str], position_col: str, size: int,
@@ -63,27 +70,40 @@ def _field_getter(name: str):
 
 
 def row_positions(df: DataFrame, order_by: str | Sequence[str],
-                  series_cols: str | Sequence[str] = (), position_col: str = "pos") -> DataFrame:
+                  series_cols: str | Sequence[str] = (), position_col: str = "pos",
+                  work_path: str | None = None) -> DataFrame:
     """0-based ascending position of each row inside its series.
 
-    Done without sorting a whole series in one task: rows are range-partitioned
-    on ``(series, order)``, every task counts its rows per series, a small
-    prefix sum over those counts gives each task's starting offset, and the
-    final position is offset + position inside the task.
+    ``order_by`` must be unique within a series.  No series is ever sorted in
+    one task: rows are range-partitioned on ``(series, order)`` (a hot series
+    spreads over many tasks), sorted inside each task and numbered there with
+    ``monotonically_increasing_id``.  The numbered rows are written once as a
+    table in the shared checkpoint folder (``work_path``): the per-task,
+    per-series counts and the rows themselves are then read from the same
+    files, so both agree on task ids even though a range shuffle's sampling
+    differs from one shuffle to the next.  A prefix sum over the small count
+    table gives each slice its starting offset; it is joined back on
+    ``(task, series)``.  Runs one write job when called.
     """
+    from tidemark.session import scratch_path
+
     series = _as_list(series_cols)
     order = _as_list(order_by)
-    parts = df.rdd.getNumPartitions()
-    ranged = df.repartitionByRange(max(parts, 1), *series, *order).withColumn(
-        "__pid", F.spark_partition_id())
-    w_local = Window.partitionBy("__pid", *series).orderBy(*order)
-    local = ranged.withColumn("__local", F.row_number().over(w_local) - 1)
-    counts = ranged.groupBy("__pid", *series).agg(F.count(F.lit(1)).alias("__cnt"))
-    w_prefix = Window.partitionBy(*series).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w_prefix), F.lit(0)))
-    return (local.join(offsets.drop("__cnt"), ["__pid", *series])
-            .withColumn(position_col, F.col("__off") + F.col("__local"))
-            .drop("__pid", "__local", "__off"))
+    spark = df.sparkSession
+    path = work_path or scratch_path(spark, "row-positions")
+    (df.repartitionByRange(*series, *order)
+       .sortWithinPartitions(*series, *order)
+       .withColumn("__pid", F.spark_partition_id())
+       .withColumn("__row", F.monotonically_increasing_id())
+       .write.mode("overwrite").parquet(path))
+    numbered = spark.read.parquet(path)
+    slices = numbered.groupBy("__pid", *series).agg(F.count(F.lit(1)).alias("__cnt"),
+                                                   F.min("__row").alias("__first"))
+    before = Window.partitionBy(*series).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
+    return (numbered.join(offsets.drop("__cnt"), ["__pid", *series])
+            .withColumn(position_col, F.col("__off") + F.col("__row") - F.col("__first"))
+            .drop("__pid", "__row", "__first", "__off"))
 
 
 def business_day_index(starts: DataFrame, start_col: str, periods: int, step: int = 1,

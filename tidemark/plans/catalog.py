@@ -19,9 +19,10 @@ from tidemark.functions.schema import METRIC_COLS, OUTPUT_NAMES, daily_index_nam
 from tidemark.functions.weights import DEFAULT_WEIGHTS, band_weight_sql, denominator, ewma_k
 from tidemark.operators.models import (
     describe_summary,
+    aggregate_ranked,
     ewma_limits,
+    model_table,
     moving_average,
-    threshold,
     weighted_moving_average,
 )
 from tidemark.operators.recent import latest_n
@@ -130,7 +131,7 @@ FROM ({_per_user_ranked(20)}) t GROUP BY user_id""", ["dt_value"])
 
 
 def q_ma_multi_metric(spark, sf):
-    om = order_metrics(spark, sf)
+    om = order_metrics(spark, sf, newest=20)
     return rounded(moving_average(om, METRIC_COLS, "offset", 20, label_col="create_date"))
 
 
@@ -168,7 +169,7 @@ def _wma_user(n: int, weighting: str = "banded"):
 
 
 def q_wma_multi_metric(spark, sf):
-    om = order_metrics(spark, sf)
+    om = order_metrics(spark, sf, newest=20)
     return rounded(weighted_moving_average(om, METRIC_COLS, "offset", 20, label_col="create_date"))
 
 
@@ -186,8 +187,8 @@ def _wma_multi_sql(n: int) -> str:
 PAD_SEP = ",\t "
 
 
-def _records_from_order_metrics(spark, sf) -> DataFrame:
-    om = order_metrics(spark, sf)
+def _records_from_order_metrics(spark, sf, newest: int) -> DataFrame:
+    om = order_metrics(spark, sf, newest=newest)
     return encode_records(om, METRIC_COLS, "create_date", "offset", sep=PAD_SEP)
 
 
@@ -208,23 +209,24 @@ SQL_DECODE_VECTOR = rounded_sql(
 
 def q_record_wma(spark, sf):
     """Message rows -> newest 20 by offset -> decode -> banded WMA (the job's WMA path)."""
-    recs = _records_from_order_metrics(spark, sf)
-    top = latest_n(recs, 20, "offset", rank_col=None)
-    return rounded(weighted_moving_average(decode_records(top), METRIC_COLS, "offset", 20,
-                                           label_col="create_date"))
+    recs = _records_from_order_metrics(spark, sf, 20)
+    top = latest_n(recs, 20, "offset", rank_col="rank")
+    return rounded(aggregate_ranked(decode_records(top, keep=("rank",)), "WMA", METRIC_COLS, 20, [],
+                                    "rank", label_col="create_date"))
 
 
 def q_record_ma(spark, sf):
     """Message rows -> newest 20 by offset -> decode -> MA (the job's default path)."""
-    recs = _records_from_order_metrics(spark, sf)
-    top = latest_n(recs, 20, "offset", rank_col=None)
-    return rounded(moving_average(decode_records(top), METRIC_COLS, "offset", 20, label_col="create_date"))
+    recs = _records_from_order_metrics(spark, sf, 20)
+    top = latest_n(recs, 20, "offset", rank_col="rank")
+    return rounded(aggregate_ranked(decode_records(top, keep=("rank",)), "MA", METRIC_COLS, 20, [],
+                                    "rank", label_col="create_date"))
 
 
 # ------------------------------------------------------------------ summary / EWMA
 
 def q_summary_long(spark, sf):
-    om = order_metrics(spark, sf)
+    om = order_metrics(spark, sf, newest=100)
     return rounded(summary_to_long(describe_summary(om, METRIC_COLS, "offset", 100), METRIC_COLS))
 
 
@@ -252,7 +254,7 @@ SQL_SUMMARY_LONG = _summary_sql(ORDER_METRICS_SQL, [], 100, '"offset"', list(MET
 
 
 def q_summary_mean_stddev(spark, sf):
-    om = order_metrics(spark, sf)
+    om = order_metrics(spark, sf, newest=100)
     return rounded(mean_stddev_rows(summary_to_long(describe_summary(om, METRIC_COLS, "offset", 100),
                                                     METRIC_COLS)))
 
@@ -285,7 +287,7 @@ def _ewma_sql(src: str, keys: list[str], n: int, order: str, fields: list[str],
 
 
 def q_ewma_limits(spark, sf):
-    om = order_metrics(spark, sf)
+    om = order_metrics(spark, sf, newest=100)
     return rounded(ewma_limits(om, METRIC_COLS, "offset", 100))
 
 
@@ -301,11 +303,7 @@ SQL_EWMA_LIMITS_PER_SERIES = _ewma_sql("SELECT * FROM events", ["event_type"], 1
 
 def q_model_dispatch(spark, sf):
     ev = _events(spark, sf)
-    parts = []
-    for name in ("MA", "WMA", "WMA_FLAT"):
-        out = threshold(ev, name, ["value"], "event_id", 20, "user_id")
-        parts.append(out.select(F.lit(name).alias("model"), "user_id", "dt_value"))
-    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return rounded(model_table(ev, ("MA", "WMA", "WMA_FLAT"), ["value"], "event_id", 20, "user_id"))
 
 
 SQL_MODEL_DISPATCH = rounded_sql(f"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.schema import LABEL_COL, METRIC_COLS
+from tidemark.operators.recent import restrict_to_newest_keys
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -15,15 +16,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def order_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_metrics(spark: SparkSession, sf_dir: str, newest: int | None = None) -> DataFrame:
     """Seven per-order metrics from ``lineitem`` in the fixed metric-record layout.
 
     One row per ``l_orderkey`` (the order key is the offset): line count, sum
     of quantity, sum of price, average discount, average tax, min and max
     quantity; the label is the last ship date as text.  Grouping is needed
     because ``(l_orderkey, l_linenumber)`` is not unique in the data.
+
+    ``newest=N`` keeps only the N newest orders, selected *before* the
+    aggregation (top-k of distinct keys per task + a broadcast of N keys), so
+    the job scans lineitem once instead of shuffling all of it.  The rows for
+    those orders are the same as in the full result.
     """
     li = table(spark, sf_dir, "lineitem")
+    if newest is not None:
+        li = restrict_to_newest_keys(li, newest, "l_orderkey")
     values = [
         F.count(F.lit(1)).cast("double"),
         F.sum("l_quantity"),
