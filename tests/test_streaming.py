@@ -15,6 +15,7 @@ from tidemark.sources.tables import table
 from tidemark.streaming.jobs import (
     file_stream,
     start_daily_stream,
+    start_dynamic_threshold_job,
     start_threshold_stream,
     start_window_count_stream,
 )
@@ -121,3 +122,50 @@ def test_kafka_options():
     assert kafka_options("b:9092", "metrics")["startingOffsets"] == "latest"
     with pytest.raises(ValueError):
         tail_start_offset(5, -1)
+
+
+def _write_records(spark, path, rows):
+    df = spark.createDataFrame(rows, "key string, value string, offset long, timestamp timestamp_ntz")
+    df.coalesce(1).write.parquet(path)
+    return df
+
+
+def test_job_decodes_only_the_newest_n(spark, scratch):
+    import datetime as dt
+    root = scratch("job")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 30)
+    rows = [("2024-01-01 00:00:30", "not-a-number", 0, t0)]           # oldest, outside the newest 4
+    rows += [(f"2024-01-01 00:00:3{i}", f"{i}.0", i, t0 + dt.timedelta(seconds=i)) for i in range(1, 5)]
+    recs = _write_records(spark, f"{root}/in", rows)
+    src = file_stream(spark, f"{root}/in", recs.schema)
+    q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ck", model="MA", n=4, metrics=["value"],
+                                    available_now=True, daily_time_col="window_end")
+    q.awaitTermination()
+    out = read_latest(spark, f"{root}/out", ["window_start", "window_end"]).collect()
+    assert out and all(r["dt_value"] == pytest.approx(2.5) for r in out)
+    assert all(r["index_name"] == "poc_os_metric_dt_2024_01_01" for r in out)
+
+
+def test_job_fails_on_bad_record_inside_newest_n(spark, scratch):
+    import datetime as dt
+    root = scratch("jobbad")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 30)
+    rows = [(f"k{i}", "1.0" if i else "oops", i, t0 + dt.timedelta(seconds=i)) for i in range(3)]
+    recs = _write_records(spark, f"{root}/in", rows)
+    src = file_stream(spark, f"{root}/in", recs.schema)
+    q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ck", model="WMA", n=4, metrics=["value"],
+                                    available_now=True)
+    with pytest.raises(Exception):
+        q.awaitTermination()
+
+
+def test_memory_sink_prints_window_counts(spark, scratch):
+    from tidemark.streaming.sinks import memory
+    root = scratch("mem")
+    ev = split_in_time_order(spark, f"{root}/in", 2)
+    src = file_stream(spark, f"{root}/in", ev.schema)
+    counts = src.select(F.col("ts").cast("timestamp").alias("t")).withWatermark("t", "1 hour") \
+        .groupBy(F.window("t", "1 day")).count()
+    q = memory(counts, "tidemark_daily_counts", output_mode="complete")
+    q.awaitTermination()
+    assert spark.sql("select sum(count) from tidemark_daily_counts").first()[0] == ev.count()

@@ -35,7 +35,7 @@ from tidemark.operators.reshape import (
     transpose,
 )
 from tidemark.operators.windows import sliding_aggregate, window_count, window_threshold
-from tidemark.sources.records import decode_records, encode_records
+from tidemark.sources.records import decode_records, encode_records, project_record
 from tidemark.sources.tables import ORDER_METRICS_SQL, order_metrics, table
 
 ROUND_DIGITS = 6
@@ -189,7 +189,7 @@ PAD_SEP = ",\t "
 
 def _records_from_order_metrics(spark, sf, newest: int) -> DataFrame:
     om = order_metrics(spark, sf, newest=newest)
-    return encode_records(om, METRIC_COLS, "create_date", "offset", sep=PAD_SEP)
+    return project_record(encode_records(om, METRIC_COLS, "create_date", "offset", sep=PAD_SEP))
 
 
 def q_decode_vector(spark, sf):
@@ -207,6 +207,22 @@ SQL_DECODE_VECTOR = rounded_sql(
     + " FROM lineitem", list(METRIC_COLS))
 
 
+def q_metric_file_read(spark, sf):
+    """Metric records written as padded delimited text (label first), read back as a metric file."""
+    from tidemark.session import scratch_path
+    from tidemark.sources.records import read_metric_file
+    path = scratch_path(spark, "metric-file")
+    om = order_metrics(spark, sf)
+    line = F.concat_ws(PAD_SEP, F.col("create_date"), *[F.col(m).cast("string") for m in METRIC_COLS])
+    om.select(line.alias("line")).write.text(path)
+    df = read_metric_file(spark, path, label="create_date")
+    return rounded(df.select("create_date", *METRIC_COLS))
+
+
+SQL_METRIC_FILE_READ = rounded_sql(
+    f"SELECT create_date, {', '.join(METRIC_COLS)} FROM ({ORDER_METRICS_SQL}) o", list(METRIC_COLS))
+
+
 def q_record_wma(spark, sf):
     """Message rows -> newest 20 by offset -> decode -> banded WMA (the job's WMA path)."""
     recs = _records_from_order_metrics(spark, sf, 20)
@@ -461,6 +477,7 @@ QUERIES: list[Query] = [
     _q("wma_flat", ["A3"], _wma_user(20, "flat"), _wma_sql_per_user(20, flat=True)),
     _q("wma_multi_metric", ["A2", "E1", "E3", "S6"], q_wma_multi_metric, _wma_multi_sql(20)),
     _q("decode_vector", ["S3", "S4", "S5"], q_decode_vector, SQL_DECODE_VECTOR),
+    _q("metric_file_read", ["S7", "S6"], q_metric_file_read, SQL_METRIC_FILE_READ),
     _q("record_wma", ["S3", "S4", "S5", "T1", "A2", "E3"], q_record_wma, _wma_multi_sql(20)),
     _q("record_ma", ["S3", "S4", "S5", "T1", "A1"], q_record_ma, SQL_MA_MULTI_METRIC),
     _q("summary_long", ["A4", "R1"], q_summary_long, SQL_SUMMARY_LONG),

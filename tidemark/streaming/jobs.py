@@ -129,3 +129,58 @@ def start_daily_stream(
         write_daily(batch, out_path, batch_id, time_col)
 
     return _start(df, handler, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now, None)
+
+
+def start_dynamic_threshold_job(
+    records: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    model: str = "MA",
+    n: int = 100,
+    slide_minutes: int = 1,
+    weights: str | Sequence[float] = "0.1,0.2,0.3,0.4",
+    metrics: Sequence[str] | None = None,
+    time_col: str = "timestamp",
+    delay_s: int = 3600,
+    trigger_seconds: int = 60,
+    available_now: bool = False,
+    daily_time_col: str | None = None,
+) -> StreamingQuery:
+    """The whole threshold job on a message stream ``(key, value, offset, <time_col>)``.
+
+    Sliding window of ``n`` minutes every ``slide_minutes`` (the window length
+    equals the number of records kept, as in the original configuration), the
+    newest ``n`` records of each window by offset, decode, then ``MA`` or
+    ``WMA`` (``model`` trimmed: ``"WMA"`` selects the banded average, anything
+    else the plain average).  Results go to daily ``index_name`` folders under
+    ``out_path``: by the processing clock like the original job, or by
+    ``daily_time_col`` (e.g. ``"window_end"``) for replay-stable days.
+    """
+    from tidemark.functions.schema import METRIC_COLS
+    from tidemark.functions.weights import parse_weights
+    from tidemark.sources.records import decode_records
+    from tidemark.streaming.sinks import write_daily
+
+    metrics = list(metrics or METRIC_COLS)
+    name = "WMA" if model.strip() == "WMA" else "MA"
+    w = parse_weights(weights)
+
+    def prepare(ranked: DataFrame) -> DataFrame:
+        keep = ("window_start", "window_end", "__rank", "offset")
+        return decode_records(ranked, metrics, keep=keep)
+
+    def writer(df: DataFrame, path: str, batch_id: int) -> None:
+        write_daily(df, path, batch_id, daily_time_col)
+
+    length_s, slide_s = n * 60, slide_minutes * 60
+    proc = WindowedLatestNProcessor(records.schema, f"{checkpoint.rstrip('/')}/state", out_path, time_col,
+                                    length_s, slide_s, metrics, "offset", n, (), name, w,
+                                    "create_date", delay_s, writer=writer,
+                                    state_cols=["key", "value"], prepare=prepare)
+    return _start(records, proc, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now,
+                  "dynamic-threshold")
+
+
+def run_until_stopped(query: StreamingQuery) -> None:
+    """Block until the query is stopped or fails (the job's ``awaitTermination``)."""
+    query.awaitTermination()

@@ -8,7 +8,10 @@ These processors instead keep an explicit, bounded state table and run the
 * :class:`LatestNProcessor` - state = newest N rows per series.
 * :class:`WindowedLatestNProcessor` - state = newest N rows per (series, pane)
   for panes that can still belong to an open window; a pane is evicted once
-  the watermark has passed the end of the last window containing it.
+  the watermark has passed the end of the last window containing it.  With
+  ``state_cols``/``prepare`` the state can hold raw message columns that are
+  decoded only for the ranked rows (as the original job decodes after taking
+  the newest N, so a bad record outside them never fails a batch).
 
 Per batch: merge new rows into the state with ``latest_n`` (a partial
 ``WindowGroupLimit`` runs before the shuffle, so a hot series never ships more
@@ -97,8 +100,10 @@ class WindowedLatestNProcessor:
                  order_by: str | Sequence[str], n: int, series_cols: str | Sequence[str] = (),
                  model: str = "MA", weights: Sequence[float] = DEFAULT_WEIGHTS,
                  label_col: str | None = None, delay_s: int = 3600,
-                 rename: Mapping[str, str] | None = None, writer=write_batch):
+                 rename: Mapping[str, str] | None = None, writer=write_batch,
+                 state_cols: Sequence[str] | None = None, prepare=None):
         self.writer = writer
+        self.prepare = prepare
         self.pane_s = _check(length_s, slide_s)
         self.length_s, self.slide_s, self.delay_s = length_s, slide_s, delay_s
         self.time_col = time_col
@@ -106,7 +111,10 @@ class WindowedLatestNProcessor:
         self.order = _as_list(order_by)
         self.metrics, self.n, self.model = list(metrics), n, model
         self.weights, self.label_col, self.rename = weights, label_col, rename
-        self.cols = _columns(self.series, time_col, self.order, self.metrics, label_col)
+        if state_cols is not None:
+            self.cols = _columns(self.series, time_col, self.order, state_cols)
+        else:
+            self.cols = _columns(self.series, time_col, self.order, self.metrics, label_col)
         self.time_type = input_schema[time_col].dataType
         schema = T.StructType([input_schema[c] for c in self.cols]
                               + [T.StructField("__pane", self.time_type, True)])
@@ -142,6 +150,8 @@ class WindowedLatestNProcessor:
                                self.length_s, self.slide_s).distinct()
         rows = expand_panes(current, self.length_s, self.slide_s).join(touched, keys, "left_semi")
         ranked = latest_n(rows, self.n, self.order, keys, rank_col="__rank")
+        if self.prepare is not None:
+            ranked = self.prepare(ranked)
         out = aggregate_windows(ranked, self.model, self.metrics, self.n, self.series,
                                 self.weights, self.label_col, self.rename)
         self.writer(out, self.sink_path, batch_id)

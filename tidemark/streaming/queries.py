@@ -22,7 +22,14 @@ from tidemark.plans.catalog import (
 )
 from tidemark.session import scratch_path
 from tidemark.sources.tables import table
-from tidemark.streaming.jobs import file_stream, start_threshold_stream, start_window_count_stream
+from pyspark.sql import functions as F
+
+from tidemark.streaming.jobs import (
+    file_stream,
+    start_dynamic_threshold_job,
+    start_threshold_stream,
+    start_window_count_stream,
+)
 from tidemark.streaming.sinks import read_latest, write_daily
 
 N_FILES = 8
@@ -80,6 +87,33 @@ def q_stream_sliding_count(spark: SparkSession, sf: str) -> DataFrame:
     return read_latest(spark, f"{root}/out", ["window_start", "window_end"])
 
 
+def _event_records(spark: SparkSession, sf: str, path: str) -> DataFrame:
+    """Events as metric messages: label = event time text, value = the metric, offset = event id."""
+    ev = table(spark, sf, "events")
+    recs = ev.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("key"),
+                     F.col("value").cast("string").alias("value"),
+                     F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+    recs.repartitionByRange(N_FILES, "timestamp").write.mode("overwrite").parquet(path)
+    return recs
+
+
+def q_stream_record_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job: messages -> 20-minute windows every minute -> newest 20 -> decode -> WMA."""
+    root = scratch_path(spark, "stream_record_job")
+    recs = _event_records(spark, sf, f"{root}/input")
+    src = file_stream(spark, f"{root}/input", recs.schema, max_files_per_trigger=FILES_PER_BATCH)
+    q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ckpt", model=" WMA", n=20, slide_minutes=1,
+                                    metrics=["value"], time_col="timestamp", delay_s=LATENESS_S,
+                                    available_now=True, daily_time_col="window_end")
+    q.awaitTermination()
+    out = read_latest(spark, f"{root}/out", ["window_start", "window_end"])
+    return rounded(out.withColumn("create_date", F.col("create_date").cast("timestamp_ntz")))
+
+
+SQL_STREAM_RECORD_JOB = (
+    "SELECT *, 'poc_os_metric_dt_' || strftime(window_end, '%Y_%m_%d') AS index_name "
+    f"FROM ({_window_model_sql('WMA', 1200, 60, 20, [])}) w")
+
 SQL_STREAM_DAILY_SINK = (
     "SELECT *, 'poc_os_metric_dt_' || strftime(create_date, '%Y_%m_%d') AS index_name "
     f"FROM ({SQL_MA_PER_SERIES}) m")
@@ -90,4 +124,6 @@ STREAM_QUERIES: list[Query] = [
     Query("stream_latest_n_ma", ("S2", "W3", "W4", "T2", "A1"), q_stream_latest_n_ma, SQL_MA_PER_SERIES),
     Query("stream_daily_sink", ("K1", "E7", "W4"), q_stream_daily_sink, SQL_STREAM_DAILY_SINK),
     Query("stream_sliding_count", ("A5", "W2", "W1"), q_stream_sliding_count, SQL_SLIDING_COUNT),
+    Query("stream_record_job", ("S3", "S4", "S5", "W1", "W2", "W5", "T1", "T3", "A2", "E3", "K1", "M7"),
+          q_stream_record_job, SQL_STREAM_RECORD_JOB),
 ]
