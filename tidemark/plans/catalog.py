@@ -3,7 +3,10 @@
 Every query reads the driver tables (``events``, ``lineitem``) at full size.
 Double outputs are rounded to 6 decimals in both the Spark plan and the
 oracle SQL, so the last-bit differences of two engines summing in different
-orders cannot change the comparison.
+orders cannot change the comparison.  The rounding is spelled out as
+``floor(x * 1e6 + 0.5) / 1e6``: the same three IEEE operations in both
+engines, so exact decimal ties (``1125.51 / 32 = 35.1721875``) round the same
+way too (the engines' own ``round`` functions break such ties differently).
 """
 
 from __future__ import annotations
@@ -51,19 +54,29 @@ class Query:
     tags: tuple[str, ...] = field(default_factory=tuple)
 
 
+def round_half_up(c, digits: int = ROUND_DIGITS):
+    scale = float(10 ** digits)
+    return F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
 def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     """Round every double column (top level) to ``digits`` decimals."""
     return df.select(*[
-        F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
+        round_half_up(F.col(f"`{f.name}`"), digits).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
 
 
+def round_half_up_sql(expr: str, digits: int = ROUND_DIGITS) -> str:
+    scale = f"CAST({float(10 ** digits)!r} AS DOUBLE)"
+    return f"CAST(floor({expr} * {scale} + CAST(0.5 AS DOUBLE)) AS DOUBLE) / {scale}"
+
+
 def rounded_sql(inner: str, double_cols: list[str], digits: int = ROUND_DIGITS) -> str:
     if not double_cols:
         return inner
-    rep = ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in double_cols)
+    rep = ", ".join(f'{round_half_up_sql(chr(34) + c + chr(34), digits)} AS "{c}"' for c in double_cols)
     return f"SELECT * REPLACE ({rep}) FROM ({inner}) AS q"
 
 
@@ -375,14 +388,21 @@ FROM ({_win_expand_sql(1200, 60, 'ts')}) w GROUP BY window_start"""
 
 
 def q_sliding_avg(spark, sf):
-    return rounded(sliding_aggregate(_events(spark, sf), "ts", 3600, 600, ["value"], "event_type"))
+    # The metric is the value in integer cents: window sums are then exact in
+    # any summation order, and the average is a single division in both
+    # engines.  (With the raw doubles, averages such as 1125.51 / 32 fall on
+    # an exact decimal tie at the 7th digit, where summation-order noise alone
+    # decides the rounding.)
+    ev = _events(spark, sf).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    return rounded(sliding_aggregate(ev, "ts", 3600, 600, ["cents"], "event_type"))
 
 
 SQL_SLIDING_AVG = rounded_sql(f"""
 SELECT event_type, window_start, window_start + INTERVAL '3600 seconds' AS window_end, count(*) AS n_rows,
-       sum(value) AS value_sum, avg(value) AS value_avg, min(value) AS value_min, max(value) AS value_max
-FROM ({_win_expand_sql(3600, 600, 'event_type, value, ts')}) w GROUP BY event_type, window_start""",
-    ["value_sum", "value_avg", "value_min", "value_max"])
+       CAST(sum(cents) AS BIGINT) AS cents_sum, sum(cents) / count(cents) AS cents_avg, min(cents) AS cents_min,
+       max(cents) AS cents_max
+FROM ({_win_expand_sql(3600, 600, 'event_type, CAST(round(value * 100) AS BIGINT) AS cents, ts')}) w
+GROUP BY event_type, window_start""", ["cents_avg"])
 
 
 def _window_model(model: str, length_s: int, slide_s: int, n: int, series: list[str]):
@@ -431,11 +451,11 @@ def q_chunk_blocks(spark, sf):
     pos = row_positions(ev, "event_id", "user_id", "pos")
     out = chunk_blocks(pos, ["value"], "pos", 16, "user_id")
     return out.select("user_id", "block", "n_rows",
-                      F.transform("value", lambda x: F.round(x, ROUND_DIGITS)).alias("value"))
+                      F.transform("value", lambda x: round_half_up(x)).alias("value"))
 
 
 SQL_CHUNK_BLOCKS = """
-SELECT user_id, block, count(*) AS n_rows, list(round(value, 6) ORDER BY pos) AS value
+SELECT user_id, block, count(*) AS n_rows, list(""" + round_half_up_sql("value") + """ ORDER BY pos) AS value
 FROM (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos,
              (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 16 AS block
       FROM events) p
