@@ -53,3 +53,17 @@ def test_decode_vector_is_jvm_side(spark):
     df = recs(spark, [("k", "1,2", 0)]).select(decode_vector("value").alias("v"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_malformed_number_fails_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="not a number"):
+            decode_records(recs(spark, [("k", "1,2,x,4,5,6,7", 0)])).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_null_value_fails(spark):
+    with pytest.raises(Exception, match="null value"):
+        decode_records(recs(spark, [("k", None, 0)])).collect()

@@ -169,3 +169,29 @@ def test_memory_sink_prints_window_counts(spark, scratch):
     q = memory(counts, "tidemark_daily_counts", output_mode="complete")
     q.awaitTermination()
     assert spark.sql("select sum(count) from tidemark_daily_counts").first()[0] == ev.count()
+
+
+def test_ewma_stream_equals_batch(spark, scratch):
+    from tidemark.operators.models import ewma_limits
+    root = scratch("ewma")
+    ev = split_in_time_order(spark, f"{root}/in", 3)
+    src = file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1)
+    q = start_threshold_stream(src, "EWMA", ["value"], "event_id", 30, f"{root}/out", f"{root}/ck",
+                               ["event_type"], available_now=True)
+    q.awaitTermination()
+    got = read_latest(spark, f"{root}/out", ["event_type", "field"])
+    want = ewma_limits(ev, ["value"], "event_id", 30, "event_type")
+    assert rows(got, want.columns) == rows(want, want.columns)
+
+
+def test_job_adds_processing_stamp(spark, scratch):
+    import datetime as dt
+    root = scratch("stamp")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 30)
+    recs = _write_records(spark, f"{root}/in", [("k", "1.0", 1, t0)])
+    src = file_stream(spark, f"{root}/in", recs.schema)
+    q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ck", n=4, metrics=["value"],
+                                    available_now=True)
+    q.awaitTermination()
+    r = spark.read.parquet(f"{root}/out").first()
+    assert r["@timestamp"] is not None and r["index_name"].startswith("poc_os_metric_dt_")

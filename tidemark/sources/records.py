@@ -27,14 +27,20 @@ def project_record(df: DataFrame, key: str = "key", value: str = "value",
 
 
 def decode_vector(value: Column | str, on_error: str = "fail") -> Column:
-    """``"1.0,\\t2 , 3"`` -> ``array<double>``.  ``on_error="null"`` turns bad numbers into nulls."""
+    """``"1.0,\\t2 , 3"`` -> ``array<double>``.
+
+    ``on_error="fail"`` raises on any field that is not a number (whatever the
+    session's ANSI setting); ``"null"`` turns such fields into nulls.
+    """
     if on_error not in ("fail", "null"):
         raise ValueError("on_error must be 'fail' or 'null'")
     v = F.col(value) if isinstance(value, str) else value
-    parts = F.split(v, ",")
-    if on_error == "fail":
-        return F.transform(parts, lambda x: F.trim(x).cast("double"))
-    return F.transform(parts, lambda x: F.trim(x).try_cast("double"))
+    vec = F.transform(F.split(v, ","), lambda x: F.trim(x).try_cast("double"))
+    if on_error == "null":
+        return vec
+    bad = F.exists(vec, lambda x: x.isNull())
+    return F.when(bad, F.raise_error(F.concat(F.lit("metric record has a field that is not a number: "),
+                                              v))).otherwise(vec)
 
 
 def decode_records(
@@ -56,9 +62,11 @@ def decode_records(
     key = F.col("key")
     if on_error == "fail":
         key = F.when(key.isNull(), F.raise_error(F.lit("metric record has a null key"))).otherwise(key)
-        vec = F.when(F.size("__vec") != F.lit(k),
+        vec = (F.when(F.col("__vec").isNull(), F.raise_error(F.lit("metric record has a null value")))
+               .when(F.size("__vec") != F.lit(k),
                      F.raise_error(F.concat(F.lit(f"metric record needs {k} fields, got "),
-                                            F.size("__vec").cast("string")))).otherwise(F.col("__vec"))
+                                            F.size("__vec").cast("string"))))
+               .otherwise(F.col("__vec")))
     else:
         vec = F.col("__vec")
     return staged.select(key.alias(label), *[vec[i].alias(m) for i, m in enumerate(metrics)], *keep)
@@ -82,8 +90,9 @@ def read_metric_file(
 ) -> DataFrame:
     """Delimited metric files (7 numbers per line, optionally a leading label).
 
-    Adds ``offset``: file path then position inside the file, so the newest
-    row of a file is its last line.
+    Adds ``file_path`` and ``offset`` (increasing with the line position
+    inside each file), so the newest row of a file is its last line; order by
+    ``("file_path", "offset")`` when several files are read together.
     """
     schema = metric_schema(metrics, label)
     df = (spark.read.schema(schema)

@@ -145,6 +145,7 @@ def start_dynamic_threshold_job(
     trigger_seconds: int = 60,
     available_now: bool = False,
     daily_time_col: str | None = None,
+    processing_stamp: bool = True,
 ) -> StreamingQuery:
     """The whole threshold job on a message stream ``(key, value, offset, <time_col>)``.
 
@@ -155,8 +156,9 @@ def start_dynamic_threshold_job(
     else the plain average).  Results go to daily ``index_name`` folders under
     ``out_path``: by the processing clock like the original job, or by
     ``daily_time_col`` (e.g. ``"window_end"``) for replay-stable days.
+    ``processing_stamp`` adds the ``@timestamp`` run-time column.
     """
-    from tidemark.functions.schema import METRIC_COLS
+    from tidemark.functions.schema import METRIC_COLS, PROCESSING_TS_COL, processing_timestamp
     from tidemark.functions.weights import parse_weights
     from tidemark.sources.records import decode_records
     from tidemark.streaming.sinks import write_daily
@@ -170,6 +172,8 @@ def start_dynamic_threshold_job(
         return decode_records(ranked, metrics, keep=keep)
 
     def writer(df: DataFrame, path: str, batch_id: int) -> None:
+        if processing_stamp:
+            df = df.withColumn(PROCESSING_TS_COL, processing_timestamp())
         write_daily(df, path, batch_id, daily_time_col)
 
     length_s, slide_s = n * 60, slide_minutes * 60
@@ -177,8 +181,7 @@ def start_dynamic_threshold_job(
                                     length_s, slide_s, metrics, "offset", n, (), name, w,
                                     "create_date", delay_s, writer=writer,
                                     state_cols=["key", "value"], prepare=prepare)
-    return _start(records, proc, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now,
-                  "dynamic-threshold")
+    return _start(records, proc, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now, None)
 
 
 def run_until_stopped(query: StreamingQuery) -> None:

@@ -104,7 +104,8 @@ def q_stream_record_job(spark: SparkSession, sf: str) -> DataFrame:
     src = file_stream(spark, f"{root}/input", recs.schema, max_files_per_trigger=FILES_PER_BATCH)
     q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ckpt", model=" WMA", n=20, slide_minutes=1,
                                     metrics=["value"], time_col="timestamp", delay_s=LATENESS_S,
-                                    available_now=True, daily_time_col="window_end")
+                                    available_now=True, daily_time_col="window_end",
+                                    processing_stamp=False)  # @timestamp is wall-clock: no oracle value
     q.awaitTermination()
     out = read_latest(spark, f"{root}/out", ["window_start", "window_end"])
     return rounded(out.withColumn("create_date", F.col("create_date").cast("timestamp_ntz")))
