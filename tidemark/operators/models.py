@@ -47,12 +47,22 @@ def _group(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFr
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-def _label_agg(df: DataFrame, label_col: str | None, as_timestamp: bool) -> list[Column]:
+LABEL_TIMESTAMP_TYPE = "timestamp_ntz"
+
+
+def _label_agg(df: DataFrame, label_col: str | None, as_timestamp: bool,
+               label_type: str = LABEL_TIMESTAMP_TYPE) -> list[Column]:
+    """``max(label)``; text labels are cast to timestamps when ``as_timestamp``.
+
+    The default cast keeps the label's wall-clock time (``timestamp_ntz``), so
+    the result does not depend on the session time zone; pass
+    ``label_type="timestamp"`` for a zoned cast in the session zone.
+    """
     if not label_col:
         return []
     c = F.col(label_col)
     if as_timestamp and isinstance(df.schema[label_col].dataType, T.StringType):
-        c = c.try_cast("timestamp")
+        c = c.try_cast(label_type)
     return [F.max(c).alias(LABEL_COL)]
 
 
@@ -81,12 +91,13 @@ def ma_aggs(df: DataFrame, metrics: Sequence[str], label_col: str | None = None,
 
 def wma_aggs(df: DataFrame, metrics: Sequence[str], n: int, rank_col: str,
              weights: Sequence[float] = DEFAULT_WEIGHTS, flat: bool = False,
-             label_col: str | None = None, rename: Mapping[str, str] | None = None) -> list[Column]:
+             label_col: str | None = None, rename: Mapping[str, str] | None = None,
+             label_type: str = LABEL_TIMESTAMP_TYPE) -> list[Column]:
     w = parse_weights(weights)
     weight = F.lit(w[0]) if flat else band_weight(rank_col, n, w)
     d = F.lit(denominator(n, w))
     aggs = [F.try_divide(F.sum(F.col(m) * weight), d).alias(output_name(m, rename)) for m in metrics]
-    return aggs + _label_agg(df, label_col, as_timestamp=True)
+    return aggs + _label_agg(df, label_col, True, label_type)
 
 
 # ---------------------------------------------------------------- models
@@ -121,6 +132,7 @@ def weighted_moving_average(
     rename: Mapping[str, str] | None = None,
     processing_stamp: bool = False,
     salt_buckets: int = 0,
+    label_type: str = LABEL_TIMESTAMP_TYPE,
 ) -> DataFrame:
     """WMA: ``sum(w(rank) * x) / D`` over the newest ``n`` rows.
 
@@ -134,7 +146,7 @@ def weighted_moving_average(
     series = _as_list(series_cols)
     base = _needed(df, series, order_by, metrics, label_col)
     ranked = latest_n(base, n, order_by, series, rank_col="__rank", salt_buckets=salt_buckets)
-    aggs = wma_aggs(ranked, metrics, n, "__rank", w, weighting == "flat", label_col, rename)
+    aggs = wma_aggs(ranked, metrics, n, "__rank", w, weighting == "flat", label_col, rename, label_type)
     return _finish(_group(ranked, series, aggs), processing_stamp)
 
 

@@ -107,8 +107,7 @@ def q_stream_record_job(spark: SparkSession, sf: str) -> DataFrame:
                                     available_now=True, daily_time_col="window_end",
                                     processing_stamp=False)  # @timestamp is wall-clock: no oracle value
     q.awaitTermination()
-    out = read_latest(spark, f"{root}/out", ["window_start", "window_end"])
-    return rounded(out.withColumn("create_date", F.col("create_date").cast("timestamp_ntz")))
+    return rounded(read_latest(spark, f"{root}/out", ["window_start", "window_end"]))
 
 
 SQL_STREAM_RECORD_JOB = (
