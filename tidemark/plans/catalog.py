@@ -12,7 +12,7 @@ way too (the engines' own ``round`` functions break such ties differently).
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,12 +46,11 @@ ROUND_DIGITS = 6
 
 @dataclass
 class Query:
+    """A registered query: its SURVEY operator ids, the Spark plan and the oracle SQL."""
     name: str
     ops: tuple[str, ...]
     build: Callable[[SparkSession, str], DataFrame]
     sql: str | None = None
-    notes: str = ""
-    tags: tuple[str, ...] = field(default_factory=tuple)
 
 
 def round_half_up(c, digits: int = ROUND_DIGITS):
@@ -479,8 +478,8 @@ WHERE (rn - 1) % 2 = 0 AND rn <= 9"""
 
 # ------------------------------------------------------------------ registry
 
-def _q(name, ops, build, sql=None, notes=""):
-    return Query(name, tuple(ops), build, sql, notes)
+def _q(name, ops, build, sql=None):
+    return Query(name, tuple(ops), build, sql)
 
 
 QUERIES: list[Query] = [

@@ -47,6 +47,7 @@ def kafka_options(
 
 
 def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """Streaming ``(key, value, offset)`` rows from Kafka (needs the Kafka connector)."""
+    """Streaming ``(key, value, offset, timestamp)`` rows from Kafka (needs the
+    Kafka connector); ``timestamp`` is the message time, i.e. arrival time."""
     raw = spark.readStream.format("kafka").options(**options).load()
-    return project_record(raw)
+    return project_record(raw, extra=("timestamp",))

@@ -19,11 +19,12 @@ OFFSET_COL = "offset"
 
 
 def project_record(df: DataFrame, key: str = "key", value: str = "value",
-                   offset: str = "offset") -> DataFrame:
-    """``(key, value, offset)`` as ``STRING, STRING, LONG`` (binary Kafka columns included)."""
+                   offset: str = "offset", extra: Sequence[str] = ()) -> DataFrame:
+    """``(key, value, offset)`` as ``STRING, STRING, LONG`` (binary Kafka columns
+    included), plus any ``extra`` columns unchanged (e.g. the message ``timestamp``)."""
     return df.select(F.col(key).cast("string").alias("key"),
                      F.col(value).cast("string").alias("value"),
-                     F.col(offset).cast("long").alias(OFFSET_COL))
+                     F.col(offset).cast("long").alias(OFFSET_COL), *extra)
 
 
 def decode_vector(value: Column | str, on_error: str = "fail") -> Column:

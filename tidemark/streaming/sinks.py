@@ -1,9 +1,9 @@
 """Sinks: batch-keyed result files, daily partitions, console and memory.
 
-All file sinks are idempotent per micro-batch: a replayed batch overwrites
-exactly the partitions it wrote the first time (dynamic partition overwrite
-keyed by ``batch_id``), so a failure between the write and the checkpoint
-commit cannot duplicate results.
+All file sinks are idempotent per micro-batch: batch ``b`` owns the folder
+``<path>/batch_id=<b>`` and overwrites it as a whole, so a batch replayed
+after a failure between the write and the checkpoint commit replaces its
+first attempt instead of duplicating it.
 """
 
 from __future__ import annotations
@@ -20,12 +20,8 @@ BATCH_COL = "batch_id"
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = ()) -> None:
-    """Write one micro-batch's rows under ``path`` keyed by ``batch_id`` (replay-safe)."""
-    out = df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-    (out.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols, BATCH_COL)
-     .parquet(path))
+    """Write one micro-batch's rows to ``<path>/batch_id=<batch_id>`` (replay-safe)."""
+    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
 
 
 def daily_partitions(df: DataFrame, time_col: str | None = None,
