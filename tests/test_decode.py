@@ -67,3 +67,13 @@ def test_malformed_number_fails_without_ansi(spark):
 def test_null_value_fails(spark):
     with pytest.raises(Exception, match="null value"):
         decode_records(recs(spark, [("k", None, 0)])).collect()
+
+
+def test_decode_after_latest_n_only_sees_kept_rows(spark):
+    from tidemark.operators.recent import latest_n
+    rows = [("k0", "oops", 0)] + [(f"k{i}", ",".join([str(float(i))] * 7), i) for i in range(1, 6)]
+    top = latest_n(recs(spark, rows), 3, "offset", rank_col=None)
+    dec = decode_records(top)
+    assert sorted(r["offset"] for r in dec.collect()) == [3, 4, 5]
+    plan = dec._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan

@@ -56,7 +56,10 @@ def latest_n(
     series = _as_list(series_cols)
 
     if not series:
-        top = df.orderBy(*_desc(order)).limit(n)
+        # repartition(1) moves only the n kept rows; it stops Catalyst from
+        # pushing later projections (e.g. decoding) below the limit, where
+        # they would break the TakeOrderedAndProject pattern into a full sort.
+        top = df.orderBy(*_desc(order)).limit(n).repartition(1)
         if rank_col is None:
             return top
         # at most n rows reach this single-partition window

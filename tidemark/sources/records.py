@@ -54,23 +54,27 @@ def decode_records(
     """Message rows -> ``label, metrics.., keep..`` with one double per metric.
 
     ``on_error="fail"`` (default) stops the job on a non-number, a wrong
-    number of fields or a null key, as the streaming job does; ``"null"``
-    yields nulls for bad numbers and skips the arity/key checks.
+    number of fields, a null value or a null key, as the streaming job does;
+    ``"null"`` yields nulls for bad or missing numbers instead.  The value is
+    parsed once per row (an array column), then split into metric columns.
     """
-    arr = decode_vector("value", on_error).alias("__vec")
-    staged = df.select("key", arr, *keep)
+    if on_error not in ("fail", "null"):
+        raise ValueError("on_error must be 'fail' or 'null'")
     k = len(metrics)
-    key = F.col("key")
+    staged = df.select("key", decode_vector("value", "null").alias("__vec"), "value", *keep)
+    vec, key, value = F.col("__vec"), F.col("key"), F.col("value")
     if on_error == "fail":
         key = F.when(key.isNull(), F.raise_error(F.lit("metric record has a null key"))).otherwise(key)
-        vec = (F.when(F.col("__vec").isNull(), F.raise_error(F.lit("metric record has a null value")))
-               .when(F.size("__vec") != F.lit(k),
+        vec = (F.when(value.isNull(), F.raise_error(F.lit("metric record has a null value")))
+               .when(F.size(vec) != F.lit(k),
                      F.raise_error(F.concat(F.lit(f"metric record needs {k} fields, got "),
-                                            F.size("__vec").cast("string"))))
-               .otherwise(F.col("__vec")))
-    else:
-        vec = F.col("__vec")
-    return staged.select(key.alias(label), *[vec[i].alias(m) for i, m in enumerate(metrics)], *keep)
+                                            F.size(vec).cast("string"))))
+               .when(F.exists(vec, lambda x: x.isNull()),
+                     F.raise_error(F.concat(F.lit("metric record has a field that is not a number: "),
+                                            value)))
+               .otherwise(vec))
+    items = [F.try_element_at(vec, F.lit(i + 1)).alias(m) for i, m in enumerate(metrics)]
+    return staged.select(key.alias(label), *items, *keep)
 
 
 def encode_records(df: DataFrame, metrics: Sequence[str], key: Column | str,
