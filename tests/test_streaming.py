@@ -195,3 +195,24 @@ def test_job_adds_processing_stamp(spark, scratch):
     q.awaitTermination()
     r = spark.read.parquet(f"{root}/out").first()
     assert r["@timestamp"] is not None and r["index_name"].startswith("poc_os_metric_dt_")
+
+
+def test_files_arriving_newest_first(spark, scratch):
+    """Two and more micro-batches out of time order: allowed lateness covers them."""
+    root = scratch("reverse")
+    ev = table(spark, SF_SMALL, "events")
+    ev.repartitionByRange(4, "ts").write.parquet(f"{root}/in")
+    files = sorted(glob.glob(f"{root}/in/part-*.parquet"))
+    base = time.time() - 1000
+    for i, f in enumerate(reversed(files)):          # newest file first
+        os.utime(f, (base + 10 * i, base + 10 * i))
+    src = file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1)
+    q = start_threshold_stream(src, "MA", ["value"], "event_id", 6, f"{root}/out", f"{root}/ck",
+                               ["event_type"], window=(43200, 21600), time_col="ts",
+                               delay_s=40 * 86400, label_col="ts", available_now=True)
+    q.awaitTermination()
+    got = read_latest(spark, f"{root}/out", ["event_type", "window_start", "window_end"])
+    want = window_threshold(ev, "MA", "ts", 43200, 21600, ["value"], "event_id", 6, ["event_type"],
+                            label_col="ts")
+    cols = ["event_type", "window_start", "window_end", "n_rows", "dt_value", "create_date"]
+    assert rows(got, cols) == rows(want, cols)
