@@ -53,3 +53,19 @@ def test_hot_series_latest_n(spark, salt):
     w = Window.partitionBy("user_id").orderBy(F.desc("event_id"))
     want = ev.withColumn("rank", (F.row_number().over(w) - 1).cast("long")).filter("rank < 15")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_large_n_switches_to_salted_plan(spark):
+    ev = table(spark, SF_SMALL, "events").select(
+        F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("user_id"),
+        "event_id")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        got = latest_n(ev, 10, "event_id", "user_id")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "__salt" in plan
+        w = Window.partitionBy("user_id").orderBy(F.desc("event_id"))
+        want = ev.withColumn("rank", (F.row_number().over(w) - 1).cast("long")).filter("rank < 10")
+        assert sorted(got.collect()) == sorted(want.collect())
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")

@@ -11,6 +11,10 @@ newest.  Plans:
 * ``salt_buckets > 1`` adds a first round keyed by ``(series, salt)`` so that
   even the ``n x map tasks`` rows of a hot series are reduced in parallel
   before the final per-series round (at most ``n x salt_buckets`` rows).
+  Catalyst only adds the partial limit for ``n`` up to
+  ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); above
+  it the salted plan is used automatically, so a hot series is never sorted
+  whole in one task.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK_COL = "rank"
+AUTO_SALT_BUCKETS = 64
 
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -66,6 +71,8 @@ def latest_n(
         w = Window.orderBy(*_desc(order))
         return top.withColumn(rank_col, (F.row_number().over(w) - 1).cast("long"))
 
+    if not salt_buckets and n > _group_limit_threshold(df):
+        salt_buckets = AUTO_SALT_BUCKETS
     if salt_buckets and salt_buckets > 1:
         salt = F.pmod(F.xxhash64(*order), F.lit(salt_buckets))
         ws = Window.partitionBy(*series, "__salt").orderBy(*_desc(order))
@@ -83,6 +90,11 @@ def latest_n(
     return ranked.withColumn(rank_col, (F.col("__rn") - 1).cast("long")).drop("__rn")
 
 
+def _group_limit_threshold(df: DataFrame) -> int:
+    conf = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    return int(conf) if conf is not None and int(conf) >= 0 else 0
+
+
 def recency_rank(
     df: DataFrame,
     order_by: str | Sequence[str],
