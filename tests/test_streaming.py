@@ -216,3 +216,18 @@ def test_files_arriving_newest_first(spark, scratch):
                             label_col="ts")
     cols = ["event_type", "window_start", "window_end", "n_rows", "dt_value", "create_date"]
     assert rows(got, cols) == rows(want, cols)
+
+
+def test_job_arrival_time_windows(spark, scratch):
+    import datetime as dt
+    root = scratch("arrival")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 30)
+    rows = [(f"k{i}", f"{i}.0", i, t0) for i in range(10)]
+    recs = _write_records(spark, f"{root}/in", rows)
+    src = file_stream(spark, f"{root}/in", recs.schema)
+    q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ck", n=4, metrics=["value"],
+                                    time_col=None, available_now=True, processing_stamp=False)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out").collect()
+    assert len(out) == 4                                  # 4-minute windows sliding by 1 minute
+    assert all(r["n_rows"] == 4 and r["dt_value"] == pytest.approx(7.5) for r in out)

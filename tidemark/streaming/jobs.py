@@ -94,7 +94,11 @@ def start_window_count_stream(
     """Rows per sliding window with Spark's own stateful window aggregation.
 
     State per window is one counter; the watermark (``delay_s``) bounds it.
-    Update mode: every batch writes the windows it changed.
+    Update mode: every batch writes the windows it changed.  A
+    ``timestamp_ntz`` time column is read in the session time zone (watermarks
+    need zoned timestamps) and windows are aligned to the UTC epoch, so with a
+    non-UTC session zone whose offset is not a multiple of the slide, window
+    edges shift by that offset; ``get_spark`` pins the session zone to UTC.
     """
     ts = F.col(time_col).cast("timestamp")
     counted = (df.select(*series_cols, ts.alias("__et"))
@@ -140,7 +144,7 @@ def start_dynamic_threshold_job(
     slide_minutes: int = 1,
     weights: str | Sequence[float] = "0.1,0.2,0.3,0.4",
     metrics: Sequence[str] | None = None,
-    time_col: str = "timestamp",
+    time_col: str | None = "timestamp",
     delay_s: int = 3600,
     trigger_seconds: int = 60,
     available_now: bool = False,
@@ -157,6 +161,10 @@ def start_dynamic_threshold_job(
     ``out_path``: by the processing clock like the original job, or by
     ``daily_time_col`` (e.g. ``"window_end"``) for replay-stable days.
     ``processing_stamp`` adds the ``@timestamp`` run-time column.
+
+    ``time_col`` is the Kafka message time by default; ``None`` windows by
+    arrival at the job (the micro-batch's processing time), like the
+    original arrival-time windows.
     """
     from tidemark.functions.schema import METRIC_COLS, PROCESSING_TS_COL, processing_timestamp
     from tidemark.functions.weights import parse_weights
@@ -176,6 +184,9 @@ def start_dynamic_threshold_job(
             df = df.withColumn(PROCESSING_TS_COL, processing_timestamp())
         write_daily(df, path, batch_id, daily_time_col)
 
+    if time_col is None:
+        records = records.withColumn("__arrival", F.current_timestamp())
+        time_col = "__arrival"
     length_s, slide_s = n * 60, slide_minutes * 60
     proc = WindowedLatestNProcessor(records.schema, f"{checkpoint.rstrip('/')}/state", out_path, time_col,
                                     length_s, slide_s, metrics, "offset", n, (), name, w,
