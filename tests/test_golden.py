@@ -1,7 +1,8 @@
 """Golden values for the three sample inputs (FIXTURES.md section 2)."""
 
+import re
+
 import pytest
-from pyspark.sql import functions as F
 
 from tests.samples import TEST2_LINES, TEST3_LINES, TEST_LINES
 from tidemark.functions.schema import METRIC_COLS, OUTPUT_NAMES
@@ -118,6 +119,4 @@ def test_test3_line_is_rejected_as_message_value(spark):
 def test_processing_stamp_pattern(spark):
     df = decode_records(records(spark, TEST2_LINES))
     r = one(moving_average(df, METRIC_COLS, "offset", 20, processing_stamp=True))
-    import re
     assert re.fullmatch(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}[+-]\d{4}", r["@timestamp"])
-    assert F is not None

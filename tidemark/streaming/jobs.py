@@ -79,45 +79,73 @@ def start_threshold_stream(
     return _start(df, proc, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now, name)
 
 
-def start_window_count_stream(
+def start_sliding_aggregate_stream(
     df: DataFrame,
     time_col: str,
     length_s: int,
     slide_s: int,
     out_path: str,
     checkpoint: str,
-    delay_s: int = 3600,
+    metrics: Sequence[str] = (),
     series_cols: Sequence[str] = (),
+    delay_s: int = 3600,
     trigger_seconds: int = 60,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Rows per sliding window with Spark's own stateful window aggregation.
+    """Row count and per-metric sum / avg / min / max of every sliding window,
+    with Spark's own stateful window aggregation (same columns as the batch
+    :func:`tidemark.operators.windows.sliding_aggregate`).
 
-    State per window is one counter; the watermark (``delay_s``) bounds it.
+    State per window is a handful of partial aggregates; the watermark
+    (``delay_s``) bounds it, and partial aggregation runs before the shuffle.
     Update mode: every batch writes the windows it changed.  A
     ``timestamp_ntz`` time column is read in the session time zone (watermarks
     need zoned timestamps) and windows are aligned to the UTC epoch, so with a
     non-UTC session zone whose offset is not a multiple of the slide, window
     edges shift by that offset; ``get_spark`` pins the session zone to UTC.
     """
+    series = list(series_cols)
     ts = F.col(time_col).cast("timestamp")
-    counted = (df.select(*series_cols, ts.alias("__et"))
-               .withWatermark("__et", f"{delay_s} seconds")
-               .groupBy(*series_cols, F.window("__et", f"{length_s} seconds", f"{slide_s} seconds").alias("__w"))
-               .agg(F.count(F.lit(1)).alias("n_rows")))
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for m in metrics:
+        aggs += [F.sum(m).alias(f"{m}_sum"), F.try_divide(F.sum(m), F.count(m)).alias(f"{m}_avg"),
+                 F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max")]
+    win = F.window("__et", f"{length_s} seconds", f"{slide_s} seconds").alias("__w")
+    agg = (df.select(*series, *metrics, ts.alias("__et"))
+           .withWatermark("__et", f"{delay_s} seconds")
+           .groupBy(*series, win)
+           .agg(*aggs))
+    out_cols = [c for c in agg.columns if c not in (*series, "__w")]
 
     def handler(batch: DataFrame, batch_id: int) -> None:
-        out = batch.select(*series_cols,
+        out = batch.select(*series,
                            F.col("__w.start").cast("timestamp_ntz").alias("window_start"),
-                           F.col("__w.end").cast("timestamp_ntz").alias("window_end"), "n_rows")
+                           F.col("__w.end").cast("timestamp_ntz").alias("window_end"), *out_cols)
         write_batch(out, out_path, batch_id)
 
-    w = (counted.writeStream.outputMode("update").foreachBatch(handler)
+    w = (agg.writeStream.outputMode("update").foreachBatch(handler)
          .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_seconds} seconds")
     return w.start()
 
 
+def start_window_count_stream(
+    df: DataFrame,
+    time_col: str,
+    length_s: int,
+    slide_s: int,
+    out_path: str,
+    checkpoint: str,
+    delay_s: int = 3600,
+    series_cols: Sequence[str] = (),
+    trigger_seconds: int = 60,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Rows per sliding window on a stream (the job's window row count)."""
+    return start_sliding_aggregate_stream(df, time_col, length_s, slide_s, out_path, checkpoint, (),
+                                          series_cols, delay_s, trigger_seconds, available_now)
+
+
 def start_daily_stream(
     df: DataFrame,
     out_path: str,

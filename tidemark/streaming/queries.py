@@ -12,9 +12,11 @@ so that no row is late.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.plans.catalog import (
     SQL_MA_PER_SERIES,
+    SQL_SLIDING_AVG,
     SQL_SLIDING_COUNT,
     Query,
     _window_model_sql,
@@ -22,11 +24,10 @@ from tidemark.plans.catalog import (
 )
 from tidemark.session import scratch_path
 from tidemark.sources.tables import table
-from pyspark.sql import functions as F
-
 from tidemark.streaming.jobs import (
     file_stream,
     start_dynamic_threshold_job,
+    start_sliding_aggregate_stream,
     start_threshold_stream,
     start_window_count_stream,
 )
@@ -114,6 +115,15 @@ SQL_STREAM_RECORD_JOB = (
     "SELECT *, 'poc_os_metric_dt_' || strftime(window_end, '%Y_%m_%d') AS index_name "
     f"FROM ({_window_model_sql('WMA', 1200, 60, 20, [])}) w")
 
+def q_stream_sliding_avg(spark: SparkSession, sf: str) -> DataFrame:
+    root, src = _stream(spark, sf, "stream_sliding_avg")
+    src = src.withColumn("cents", F.round(F.col("value") * 100).cast("long"))  # exact sums, see sliding_avg
+    q = start_sliding_aggregate_stream(src, "ts", 3600, 600, f"{root}/out", f"{root}/ckpt", ["cents"],
+                                       ["event_type"], delay_s=LATENESS_S, available_now=True)
+    q.awaitTermination()
+    return rounded(read_latest(spark, f"{root}/out", ["event_type", "window_start", "window_end"]))
+
+
 SQL_STREAM_DAILY_SINK = (
     "SELECT *, 'poc_os_metric_dt_' || strftime(create_date, '%Y_%m_%d') AS index_name "
     f"FROM ({SQL_MA_PER_SERIES}) m")
@@ -124,6 +134,7 @@ STREAM_QUERIES: list[Query] = [
     Query("stream_latest_n_ma", ("S2", "W3", "W4", "T2", "A1"), q_stream_latest_n_ma, SQL_MA_PER_SERIES),
     Query("stream_daily_sink", ("K1", "E7", "W4"), q_stream_daily_sink, SQL_STREAM_DAILY_SINK),
     Query("stream_sliding_count", ("A5", "W2", "W1"), q_stream_sliding_count, SQL_SLIDING_COUNT),
+    Query("stream_sliding_avg", ("W1", "W2", "W4"), q_stream_sliding_avg, SQL_SLIDING_AVG),
     Query("stream_record_job", ("S3", "S4", "S5", "W1", "W2", "W5", "T1", "T3", "A2", "E3", "K1", "M7"),
           q_stream_record_job, SQL_STREAM_RECORD_JOB),
 ]
