@@ -231,3 +231,19 @@ def test_job_arrival_time_windows(spark, scratch):
     out = spark.read.parquet(f"{root}/out").collect()
     assert len(out) == 4                                  # 4-minute windows sliding by 1 minute
     assert all(r["n_rows"] == 4 and r["dt_value"] == pytest.approx(7.5) for r in out)
+
+
+@pytest.mark.parametrize("model", ["MA", "WMA_FLAT"])
+def test_keyed_state_stream_equals_batch(spark, scratch, model):
+    from tidemark.operators.models import threshold
+    from tidemark.streaming.keyed import start_keyed_latest_n_stream
+    root = scratch("keyed")
+    ev = split_in_time_order(spark, f"{root}/in", 4)
+    src = file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1)
+    q = start_keyed_latest_n_stream(src, model, ["value"], "event_id", 7, ["event_type"], f"{root}/out",
+                                    f"{root}/ck", label_col="ts", available_now=True)
+    q.awaitTermination()
+    assert q.lastProgress["batchId"] >= 3
+    got = read_latest(spark, f"{root}/out", ["event_type"])
+    want = threshold(ev, model, ["value"], "event_id", 7, ["event_type"], label_col="ts")
+    assert rows(got, want.columns) == rows(want, want.columns)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.catalog import (
     SQL_MA_PER_SERIES,
+    _wma_sql_per_user,
     SQL_SLIDING_AVG,
     SQL_SLIDING_COUNT,
     Query,
@@ -31,6 +32,7 @@ from tidemark.streaming.jobs import (
     start_threshold_stream,
     start_window_count_stream,
 )
+from tidemark.streaming.keyed import start_keyed_latest_n_stream
 from tidemark.streaming.sinks import read_latest, write_daily
 
 N_FILES = 8
@@ -124,6 +126,15 @@ def q_stream_sliding_avg(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(read_latest(spark, f"{root}/out", ["event_type", "window_start", "window_end"]))
 
 
+def q_stream_keyed_wma(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-user banded WMA of the newest 20 events on the keyed state store."""
+    root, src = _stream(spark, sf, "stream_keyed_wma")
+    q = start_keyed_latest_n_stream(src, "WMA", ["value"], "event_id", 20, ["user_id"], f"{root}/out",
+                                    f"{root}/ckpt", label_col="ts", available_now=True)
+    q.awaitTermination()
+    return rounded(read_latest(spark, f"{root}/out", ["user_id"]))
+
+
 SQL_STREAM_DAILY_SINK = (
     "SELECT *, 'poc_os_metric_dt_' || strftime(create_date, '%Y_%m_%d') AS index_name "
     f"FROM ({SQL_MA_PER_SERIES}) m")
@@ -135,6 +146,7 @@ STREAM_QUERIES: list[Query] = [
     Query("stream_daily_sink", ("K1", "E7", "W4"), q_stream_daily_sink, SQL_STREAM_DAILY_SINK),
     Query("stream_sliding_count", ("A5", "W2", "W1"), q_stream_sliding_count, SQL_SLIDING_COUNT),
     Query("stream_sliding_avg", ("W1", "W2", "W4"), q_stream_sliding_avg, SQL_SLIDING_AVG),
+    Query("stream_keyed_wma", ("W3", "W4", "T2", "T3", "A2"), q_stream_keyed_wma, _wma_sql_per_user(20)),
     Query("stream_record_job", ("S3", "S4", "S5", "W1", "W2", "W5", "T1", "T3", "A2", "E3", "K1", "M7"),
           q_stream_record_job, SQL_STREAM_RECORD_JOB),
 ]
