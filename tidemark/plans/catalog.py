@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from tidemark.functions.schema import METRIC_COLS, OUTPUT_NAMES, daily_index_name, day_bucket
 from tidemark.functions.weights import DEFAULT_WEIGHTS, band_weight_sql, denominator, ewma_k
 from tidemark.operators.models import (
-    describe_summary,
     aggregate_ranked,
+    describe_summary,
     ewma_limits,
     model_table,
     moving_average,
@@ -299,6 +299,27 @@ def q_summary_per_series(spark, sf):
 SQL_SUMMARY_PER_SERIES = _summary_sql("SELECT * FROM events", ["event_type"], 100, "event_id", ["value"])
 
 
+def q_summary_whole_table(spark, sf):
+    ev = _events(spark, sf)
+    return rounded(summary_to_long(describe_summary(ev, ["value", "user_id"]), ["value", "user_id"]))
+
+
+def _summary_all_sql(src: str, fields: list[str]) -> str:
+    stats = {
+        "count": "CAST(count({f}) AS DOUBLE)",
+        "mean": "avg({f})",
+        "stddev": "stddev_samp({f})",
+        "min": "CAST(min({f}) AS DOUBLE)",
+        "max": "CAST(max({f}) AS DOUBLE)",
+    }
+    parts = [f"SELECT '{s}' AS metric, '{f}' AS field, {t.format(f=f)} AS value FROM {src}"
+             for f in fields for s, t in stats.items()]
+    return rounded_sql(" UNION ALL ".join(parts), ["value"])
+
+
+SQL_SUMMARY_WHOLE_TABLE = _summary_all_sql("events", ["value", "user_id"])
+
+
 def _ewma_sql(src: str, keys: list[str], n: int, order: str, fields: list[str], lam: float = 0.3) -> str:
     c = _d(3 * ewma_k(lam))
     part = f"PARTITION BY {', '.join(keys)} " if keys else ""
@@ -502,6 +523,7 @@ QUERIES: list[Query] = [
     _q("summary_long", ["A4", "R1"], q_summary_long, SQL_SUMMARY_LONG),
     _q("summary_mean_stddev", ["A4", "R1", "E5"], q_summary_mean_stddev, SQL_SUMMARY_MEAN_STDDEV),
     _q("summary_per_series", ["A4", "R1", "T2"], q_summary_per_series, SQL_SUMMARY_PER_SERIES),
+    _q("summary_whole_table", ["A4", "R1"], q_summary_whole_table, SQL_SUMMARY_WHOLE_TABLE),
     _q("ewma_limits", ["M5", "M6", "E6", "E8"], q_ewma_limits, SQL_EWMA_LIMITS),
     _q("ewma_limits_per_series", ["M5", "M6", "E6", "E8", "T2"], q_ewma_limits_per_series,
        SQL_EWMA_LIMITS_PER_SERIES),
