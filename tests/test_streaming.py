@@ -139,14 +139,15 @@ def test_job_decodes_only_the_newest_n(spark, scratch):
     recs = _write_records(spark, f"{root}/in", rows)
     src = file_stream(spark, f"{root}/in", recs.schema)
     q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ck", model="MA", n=4, metrics=["value"],
-                                    available_now=True, daily_time_col="window_end")
+                                    available_now=True, daily_time_col="window_end", emit="update")
     q.awaitTermination()
     out = read_latest(spark, f"{root}/out", ["window_start", "window_end"]).collect()
     assert out and all(r["dt_value"] == pytest.approx(2.5) for r in out)
     assert all(r["index_name"] == "poc_os_metric_dt_2024_01_01" for r in out)
 
 
-def test_job_fails_on_bad_record_inside_newest_n(spark, scratch):
+@pytest.mark.parametrize("emit,delay_s", [("update", 3600), ("closed", 0)])
+def test_job_fails_on_bad_record_inside_newest_n(spark, scratch, emit, delay_s):
     import datetime as dt
     root = scratch("jobbad")
     t0 = dt.datetime(2024, 1, 1, 0, 0, 30)
@@ -154,7 +155,7 @@ def test_job_fails_on_bad_record_inside_newest_n(spark, scratch):
     recs = _write_records(spark, f"{root}/in", rows)
     src = file_stream(spark, f"{root}/in", recs.schema)
     q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ck", model="WMA", n=4, metrics=["value"],
-                                    available_now=True)
+                                    available_now=True, emit=emit, delay_s=delay_s)
     with pytest.raises(Exception):
         q.awaitTermination()
 
@@ -191,7 +192,7 @@ def test_job_adds_processing_stamp(spark, scratch):
     recs = _write_records(spark, f"{root}/in", [("k", "1.0", 1, t0)])
     src = file_stream(spark, f"{root}/in", recs.schema)
     q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ck", n=4, metrics=["value"],
-                                    available_now=True)
+                                    available_now=True, emit="update")
     q.awaitTermination()
     r = spark.read.parquet(f"{root}/out").first()
     assert r["@timestamp"] is not None and r["index_name"].startswith("poc_os_metric_dt_")
@@ -226,7 +227,8 @@ def test_job_arrival_time_windows(spark, scratch):
     recs = _write_records(spark, f"{root}/in", rows)
     src = file_stream(spark, f"{root}/in", recs.schema)
     q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ck", n=4, metrics=["value"],
-                                    time_col=None, available_now=True, processing_stamp=False)
+                                    time_col=None, available_now=True, processing_stamp=False,
+                                    emit="update")
     q.awaitTermination()
     out = spark.read.parquet(f"{root}/out").collect()
     assert len(out) == 4                                  # 4-minute windows sliding by 1 minute
@@ -247,3 +249,23 @@ def test_keyed_state_stream_equals_batch(spark, scratch, model):
     got = read_latest(spark, f"{root}/out", ["event_type"])
     want = threshold(ev, model, ["value"], "event_id", 7, ["event_type"], label_col="ts")
     assert rows(got, want.columns) == rows(want, want.columns)
+
+
+def test_closed_windows_emitted_once_and_equal_batch(spark, scratch):
+    root = scratch("closed")
+    ev = split_in_time_order(spark, f"{root}/in", 6)
+    src = file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1)
+    q = start_threshold_stream(src, "WMA", ["value"], "event_id", 8, f"{root}/out", f"{root}/ck",
+                               ["event_type"], window=(21600, 3600), time_col="ts", delay_s=7200,
+                               label_col="ts", available_now=True, emit="closed")
+    q.awaitTermination()
+    last = q.lastProgress["batchId"]
+    emitted_to = spark.read.parquet(f"{root}/ck/state_meta/slot={last % 2}").first()[0]
+    out = spark.read.parquet(f"{root}/out")
+    keys = ["event_type", "window_start", "window_end"]
+    assert out.groupBy(*keys).count().filter("count > 1").count() == 0      # each window once
+    assert out.select("batch_id").distinct().count() > 1                   # spread over batches
+    want = window_threshold(ev, "WMA", "ts", 21600, 3600, ["value"], "event_id", 8, ["event_type"],
+                            label_col="ts").filter(F.col("window_end") <= F.lit(emitted_to).cast("timestamp_ntz"))
+    cols = ["event_type", "window_start", "window_end", "n_rows", "dt_value", "create_date"]
+    assert rows(out, cols) == rows(want, cols)

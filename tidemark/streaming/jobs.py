@@ -58,13 +58,16 @@ def start_threshold_stream(
     available_now: bool = False,
     name: str | None = None,
     writer=write_batch,
+    emit: str = "update",
 ) -> StreamingQuery:
     """Run a latest-N threshold model over a stream; results go to ``out_path``
     (batch-keyed parquet, read the final state with ``sinks.read_latest``).
 
     ``window=(length_s, slide_s)`` with ``time_col`` computes the model inside
     every sliding event-time window; without it, per series over the stream.
-    State lives in ``checkpoint/state``.
+    With a window, ``emit`` is ``"update"`` (rewrite every window that got
+    rows) or ``"closed"`` (each window once, when the watermark passes its
+    end).  State lives in ``checkpoint/state``.
     """
     state = f"{checkpoint.rstrip('/')}/state"
     if window:
@@ -72,7 +75,7 @@ def start_threshold_stream(
             raise ValueError("time_col is required with a window")
         proc = WindowedLatestNProcessor(df.schema, state, out_path, time_col, window[0], window[1],
                                         metrics, order_by, n, series_cols, model, weights,
-                                        label_col, delay_s, writer=writer)
+                                        label_col, delay_s, writer=writer, emit=emit)
     else:
         proc = LatestNProcessor(df.schema, state, out_path, metrics, order_by, n, series_cols,
                                 model, weights, label_col, writer=writer)
@@ -178,6 +181,7 @@ def start_dynamic_threshold_job(
     available_now: bool = False,
     daily_time_col: str | None = None,
     processing_stamp: bool = True,
+    emit: str = "closed",
 ) -> StreamingQuery:
     """The whole threshold job on a message stream ``(key, value, offset, <time_col>)``.
 
@@ -192,7 +196,10 @@ def start_dynamic_threshold_job(
 
     ``time_col`` is the Kafka message time by default; ``None`` windows by
     arrival at the job (the micro-batch's processing time), like the
-    original arrival-time windows.
+    original arrival-time windows.  ``emit="closed"`` (default) writes one
+    result per window when the watermark passes its end: one result per
+    slide, as the original job prints one per batch.  ``"update"`` rewrites
+    every window that received rows.
     """
     from tidemark.functions.schema import METRIC_COLS, PROCESSING_TS_COL, processing_timestamp
     from tidemark.functions.weights import parse_weights
@@ -219,7 +226,7 @@ def start_dynamic_threshold_job(
     proc = WindowedLatestNProcessor(records.schema, f"{checkpoint.rstrip('/')}/state", out_path, time_col,
                                     length_s, slide_s, metrics, "offset", n, (), name, w,
                                     "create_date", delay_s, writer=writer,
-                                    state_cols=["key", "value"], prepare=prepare)
+                                    state_cols=["key", "value"], prepare=prepare, emit=emit)
     return _start(records, proc, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now, None)
 
 

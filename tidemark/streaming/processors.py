@@ -93,6 +93,14 @@ class WindowedLatestNProcessor:
     ``delay_s`` is the allowed lateness: the watermark is the end of the
     newest pane seen so far minus ``delay_s``.  Rows whose windows have all
     closed are ignored; state keeps at most N rows per (series, open pane).
+
+    ``emit="update"`` writes, every batch, each window that received rows
+    (its final value is its last emission).  ``emit="closed"`` writes each
+    window once, in the batch where the watermark passes its end, like
+    Spark's append mode.  This is the job's one-result-per-slide behaviour.
+    The windows closing in a batch form one time range, so each pane expands
+    only into those windows: O(N x length/slide) rows per series and batch,
+    instead of O(N x (length/slide)^2) for updating every open window.
     """
 
     def __init__(self, input_schema: T.StructType, state_path: str, sink_path: str,
@@ -101,7 +109,10 @@ class WindowedLatestNProcessor:
                  model: str = "MA", weights: Sequence[float] = DEFAULT_WEIGHTS,
                  label_col: str | None = None, delay_s: int = 3600,
                  rename: Mapping[str, str] | None = None, writer=write_batch,
-                 state_cols: Sequence[str] | None = None, prepare=None):
+                 state_cols: Sequence[str] | None = None, prepare=None, emit: str = "update"):
+        if emit not in ("update", "closed"):
+            raise ValueError("emit must be 'update' or 'closed'")
+        self.emit = emit
         self.writer = writer
         self.prepare = prepare
         self.pane_s = _check(length_s, slide_s)
@@ -126,12 +137,40 @@ class WindowedLatestNProcessor:
         start = F.window(pane, f"{self.slide_s} seconds").start
         return start + F.make_dt_interval(secs=F.lit(self.length_s))
 
+    def _watermark_text(self, state: DataFrame) -> str | None:
+        """Watermark as text: end of the newest pane in ``state`` minus the lateness."""
+        wm = F.max("__pane") + F.make_dt_interval(secs=F.lit(self.pane_s - self.delay_s))
+        row = state.agg(F.date_format(wm, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")).first()
+        return None if row is None else row["m"]
+
+    def _ts(self, text: str):
+        return F.lit(text).cast(self.time_type)
+
     def _watermark(self, prev: DataFrame):
-        newest = prev.agg(F.date_format(F.max("__pane"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")).first()
-        if newest is None or newest["m"] is None:
-            return None
-        pane = F.lit(newest["m"]).cast(self.time_type)
-        return pane + F.make_dt_interval(secs=F.lit(self.pane_s - self.delay_s))
+        text = self._watermark_text(prev)
+        return None if text is None else self._ts(text)
+
+    def _floor(self, c):
+        return F.window(c, f"{self.slide_s} seconds").start
+
+    def _closing_windows(self, current: DataFrame, lo: str | None, hi: str) -> DataFrame:
+        """Pane rows copied into each window whose end lies in ``(lo, hi]``."""
+        length = F.make_dt_interval(secs=F.lit(self.length_s))
+        slide = F.make_dt_interval(secs=F.lit(self.slide_s))
+        p = F.col("__pane")
+        # window starts s (multiples of slide) with p - L < s <= p and lo < s + L <= hi;
+        # one window() per projection (Spark allows no more), hence the steps
+        low = p - length if lo is None else F.greatest(p - length, self._ts(lo) - length)
+        rows = current.filter(p < self._ts(hi))
+        if lo is not None:
+            rows = rows.filter(p + length > self._ts(lo))
+        rows = (rows.withColumn("__s_lo", low).withColumn("__s_lo", self._floor("__s_lo") + slide)
+                .withColumn("__s_hi", F.least(p, self._ts(hi) - length))
+                .withColumn("__s_hi", self._floor("__s_hi")))
+        starts = F.when(F.col("__s_lo") <= F.col("__s_hi"), F.sequence("__s_lo", "__s_hi", slide))
+        return (rows.select("*", F.explode(starts).alias(WINDOW_START))
+                .withColumn(WINDOW_END, F.col(WINDOW_START) + length)
+                .drop("__pane", "__s_lo", "__s_hi"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -146,13 +185,24 @@ class WindowedLatestNProcessor:
         current = self.state.write(merged, batch_id)
 
         keys = [*self.series, WINDOW_START, WINDOW_END]
-        touched = expand_panes(new.select(*self.series, "__pane").distinct(),
-                               self.length_s, self.slide_s).distinct()
-        rows = expand_panes(current, self.length_s, self.slide_s).join(touched, keys, "left_semi")
+        if self.emit == "closed":
+            emitted_to = self.state.read_value(spark, batch_id)
+            hi = self._watermark_text(current)
+            if hi is None or (emitted_to is not None and hi <= emitted_to):
+                self.state.write_value(spark, emitted_to, batch_id)
+                new.unpersist()
+                return
+            rows = self._closing_windows(current, emitted_to, hi)
+        else:
+            touched = expand_panes(new.select(*self.series, "__pane").distinct(),
+                                   self.length_s, self.slide_s).distinct()
+            rows = expand_panes(current, self.length_s, self.slide_s).join(touched, keys, "left_semi")
         ranked = latest_n(rows, self.n, self.order, keys, rank_col="__rank")
         if self.prepare is not None:
             ranked = self.prepare(ranked)
         out = aggregate_windows(ranked, self.model, self.metrics, self.n, self.series,
                                 self.weights, self.label_col, self.rename)
         self.writer(out, self.sink_path, batch_id)
+        if self.emit == "closed":
+            self.state.write_value(spark, hi, batch_id)
         new.unpersist()

@@ -108,7 +108,8 @@ def q_stream_record_job(spark: SparkSession, sf: str) -> DataFrame:
     q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ckpt", model=" WMA", n=20, slide_minutes=1,
                                     metrics=["value"], time_col="timestamp", delay_s=LATENESS_S,
                                     available_now=True, daily_time_col="window_end",
-                                    processing_stamp=False)  # @timestamp is wall-clock: no oracle value
+                                    processing_stamp=False,  # @timestamp is wall-clock: no oracle value
+                                    emit="update")           # every window, compared with batch
     q.awaitTermination()
     return rounded(read_latest(spark, f"{root}/out", ["window_start", "window_end"]))
 

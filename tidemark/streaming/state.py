@@ -35,3 +35,16 @@ class VersionedState:
         path = self._slot(batch_id)
         df.select(*[f.name for f in self.schema.fields]).write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(self.schema).parquet(path)
+
+    # A single text value per batch (e.g. how far results were emitted), kept
+    # in the same alternating slots as the table.
+
+    def read_value(self, spark: SparkSession, batch_id: int) -> str | None:
+        if batch_id <= 0:
+            return None
+        row = spark.read.parquet(f"{self.path}_meta/slot={(batch_id - 1) % 2}").first()
+        return None if row is None else row[0]
+
+    def write_value(self, spark: SparkSession, value: str | None, batch_id: int) -> None:
+        df = spark.createDataFrame([(value,)], "value string")
+        df.write.mode("overwrite").parquet(f"{self.path}_meta/slot={batch_id % 2}")
