@@ -50,3 +50,15 @@ def test_window_threshold_counts(spark):
     out = window_threshold(ev, "MA", "ts", 3600, 600, ["value"], "event_id", 4)
     assert out.agg(F.max("n_rows")).first()[0] <= 4
     assert set(out.columns) == {"window_start", "window_end", "n_rows", "dt_value"}
+
+
+@pytest.mark.parametrize("length_s,slide_s,n,series", [
+    (6000, 60, 5, ("event_type",)), (3600, 120, 3, ()), (1200, 60, 2, ("event_type",))])
+def test_blocked_window_latest_n_matches_brute_force(spark, length_s, slide_s, n, series):
+    ev = table(spark, SF_SMALL, "events")
+    ours = window_latest_n(ev, "ts", length_s, slide_s, n, "event_id", list(series), method="blocked")
+    w = Window.partitionBy(*series, "window_start").orderBy(F.desc("event_id"))
+    ref = (native_windows(ev, length_s, slide_s)
+           .withColumn("rank", (F.row_number().over(w) - 1).cast("long")).filter(F.col("rank") < n))
+    cols = [*series, "window_start", "window_end", "event_id", "rank"]
+    assert sorted(ours.select(*cols).collect()) == sorted(ref.select(*cols).collect())

@@ -20,6 +20,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.weights import DEFAULT_WEIGHTS
 from tidemark.operators.models import aggregate_ranked
@@ -95,6 +96,9 @@ def expand_panes(df: DataFrame, length_s: int, slide_s: int, pane_col: str = "__
     return df.select("*", win.start.alias(WINDOW_START), win.end.alias(WINDOW_END)).drop(pane_col)
 
 
+BLOCKED_MIN_WINDOWS_PER_PANE = 16
+
+
 def window_latest_n(
     df: DataFrame,
     time_col: str,
@@ -104,13 +108,100 @@ def window_latest_n(
     order_by: str | Sequence[str],
     series_cols: str | Sequence[str] = (),
     rank_col: str = "rank",
+    method: str = "auto",
 ) -> DataFrame:
-    """The newest ``n`` rows (by ``order_by``) of every sliding window, ranked 0 = newest."""
+    """The newest ``n`` rows (by ``order_by``) of every sliding window, ranked 0 = newest.
+
+    Both methods first keep the newest ``n`` rows of every (series, pane).
+    ``"expand"`` then copies each pane row into its ``k = length / slide``
+    windows and takes the newest ``n`` per window (plain DataFrame ops; cost
+    grows with ``k``).  ``"blocked"`` (needs ``length`` to be a multiple of
+    ``slide`` and a single ``order_by`` column) groups contiguous panes into
+    blocks, copies only the last ``k - 1`` panes of each block into the next
+    one, and computes all windows ending in a block inside one
+    ``applyInPandas`` group of at most ``(block + k) x n`` rows: rows are copied
+    at most twice instead of ``k`` times.  ``"auto"`` picks ``blocked`` when
+    ``k >= 16`` and it applies.
+    """
     series = _as_list(series_cols)
+    order = _as_list(order_by)
+    pane_s = _check(length_s, slide_s)
+    k = length_s // slide_s
+    blocked_ok = pane_s == slide_s and len(order) == 1
+    if method == "auto":
+        method = "blocked" if blocked_ok and k >= BLOCKED_MIN_WINDOWS_PER_PANE else "expand"
+    if method == "blocked" and not blocked_ok:
+        raise ValueError("blocked needs length to be a multiple of slide and one order column")
     paned = pane_of(df, time_col, length_s, slide_s)
-    per_pane = latest_n(paned, n, order_by, [*series, "__pane"], rank_col=None)
+    per_pane = latest_n(paned, n, order, [*series, "__pane"], rank_col=None)
+    if method == "blocked":
+        return _window_latest_n_blocked(per_pane, time_col, length_s, slide_s, n, order[0], series, rank_col)
     expanded = expand_panes(per_pane, length_s, slide_s)
-    return latest_n(expanded, n, order_by, [*series, WINDOW_START, WINDOW_END], rank_col=rank_col)
+    return latest_n(expanded, n, order, [*series, WINDOW_START, WINDOW_END], rank_col=rank_col)
+
+
+def _pane_index(df: DataFrame, pane_s: int):
+    """Integer pane number of ``__pane`` (wall-clock fields, so any time zone)."""
+    p = F.col("__pane")
+    secs = (F.datediff(F.to_date(p), F.lit("1970-01-01").cast("date")).cast("long") * 86400
+            + F.hour(p) * 3600 + F.minute(p) * 60 + F.second(p).cast("long"))
+    return F.floor(secs / F.lit(pane_s)).cast("long")
+
+
+def _window_latest_n_blocked(per_pane: DataFrame, time_col: str, length_s: int, slide_s: int, n: int,
+                             order_col: str, series: list[str], rank_col: str) -> DataFrame:
+    k = length_s // slide_s
+    block = max(4 * k, 64)                      # window ends (in panes) per group
+    halo = k - 1
+    idx = per_pane.withColumn("__pidx", _pane_index(per_pane, slide_s))
+    idx = idx.withColumn("__blk", F.floor(F.col("__pidx") / F.lit(block)).cast("long"))
+    # a pane row also serves the next block when it lies in its block's last k-1 panes
+    in_halo = (F.col("__pidx") - F.col("__blk") * F.lit(block)) >= F.lit(block - halo)
+    tagged = idx.withColumn("__grp", F.explode(
+        F.when(in_halo & F.lit(halo > 0), F.array(F.col("__blk"), F.col("__blk") + 1))
+        .otherwise(F.array(F.col("__blk"))))).drop("__blk")
+    keep = [f for f in tagged.schema.fields if f.name != "__grp"]
+    cols = [f.name for f in keep]
+    schema = T.StructType([*keep, T.StructField("__wpane", T.LongType()), T.StructField(rank_col, T.LongType())])
+
+    def windows_of_block(pdf):
+        import numpy as np
+        import pandas as pd
+
+        grp = int(pdf["__grp"].iloc[0])
+        lo_end, hi_end = grp * block, (grp + 1) * block
+        pdf = pdf.sort_values(["__pidx", order_col], ascending=[True, False], kind="stable")
+        pidx = pdf["__pidx"].to_numpy()
+        order = pdf[order_col].to_numpy()
+        ends = np.unique((pidx[:, None] + np.arange(k)[None, :]).ravel())
+        ends = ends[(ends >= lo_end) & (ends < hi_end)]
+        starts = np.searchsorted(pidx, ends - k + 1, "left")
+        stops = np.searchsorted(pidx, ends, "right")
+        picks, owners, ranks = [], [], []
+        for e, a, b in zip(ends, starts, stops):
+            if a >= b:
+                continue
+            if b - a > n:
+                sl = a + np.argpartition(-order[a:b], n - 1)[:n]
+            else:
+                sl = np.arange(a, b)
+            sl = sl[np.argsort(-order[sl], kind="stable")]
+            picks.append(sl)
+            owners.append(np.full(len(sl), e, dtype="int64"))
+            ranks.append(np.arange(len(sl), dtype="int64"))
+        if not picks:
+            return pd.DataFrame(columns=[*cols, "__wpane", rank_col])
+        out = pdf.iloc[np.concatenate(picks)][cols].reset_index(drop=True)
+        out["__wpane"] = np.concatenate(owners)
+        out[rank_col] = np.concatenate(ranks)
+        return out
+
+    ranked = tagged.groupBy(*series, "__grp").applyInPandas(windows_of_block, schema)
+    # the window's end is (last pane number - this row's pane number + 1) panes after this row's pane
+    end = F.col("__pane") + F.make_dt_interval(secs=(F.col("__wpane") - F.col("__pidx") + 1) * F.lit(slide_s))
+    return (ranked.withColumn(WINDOW_END, end)
+            .withColumn(WINDOW_START, F.col(WINDOW_END) - F.make_dt_interval(secs=F.lit(length_s)))
+            .drop("__wpane", "__pane", "__pidx"))
 
 
 def window_threshold(

@@ -536,6 +536,8 @@ QUERIES: list[Query] = [
        _window_model_sql("MA", 3600, 600, 10, [])),
     _q("window_latest_n_wma", ["W2", "W5", "A2"], _window_model("WMA", 21600, 3600, 20, ["event_type"]),
        _window_model_sql("WMA", 21600, 3600, 20, ["event_type"])),
+    _q("window_latest_n_default", ["W2", "W5", "A2", "M1", "M3"], _window_model("WMA", 6000, 60, 100, []),
+       _window_model_sql("WMA", 6000, 60, 100, [])),
     _q("transpose", ["R2"], q_transpose, _transpose_sql()),
     _q("chunk_blocks", ["R3"], q_chunk_blocks, SQL_CHUNK_BLOCKS),
     _q("business_day_index", ["R4"], q_business_day_index, SQL_BUSINESS_DAY_INDEX),
