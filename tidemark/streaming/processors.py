@@ -194,9 +194,16 @@ class WindowedLatestNProcessor:
                 return
             rows = self._closing_windows(current, emitted_to, hi)
         else:
-            touched = expand_panes(new.select(*self.series, "__pane").distinct(),
-                                   self.length_s, self.slide_s).distinct()
-            rows = expand_panes(current, self.length_s, self.slide_s).join(touched, keys, "left_semi")
+            touched_panes = new.select(*self.series, "__pane").distinct()
+            touched = expand_panes(touched_panes, self.length_s, self.slide_s).distinct()
+            # only panes that share a window with a touched pane (closer than the
+            # window length) can matter: expand those, not the whole state
+            span = F.make_dt_interval(secs=F.lit(self.length_s - self.pane_s))
+            step = F.make_dt_interval(secs=F.lit(self.pane_s))
+            near = touched_panes.select(*self.series, F.explode(F.sequence(
+                F.col("__pane") - span, F.col("__pane") + span, step)).alias("__pane")).distinct()
+            relevant = current.join(near, [*self.series, "__pane"], "left_semi")
+            rows = expand_panes(relevant, self.length_s, self.slide_s).join(touched, keys, "left_semi")
         ranked = latest_n(rows, self.n, self.order, keys, rank_col="__rank")
         if self.prepare is not None:
             ranked = self.prepare(ranked)
