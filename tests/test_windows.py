@@ -62,3 +62,20 @@ def test_blocked_window_latest_n_matches_brute_force(spark, length_s, slide_s, n
            .withColumn("rank", (F.row_number().over(w) - 1).cast("long")).filter(F.col("rank") < n))
     cols = [*series, "window_start", "window_end", "event_id", "rank"]
     assert sorted(ours.select(*cols).collect()) == sorted(ref.select(*cols).collect())
+
+
+def test_blocked_on_zoned_timestamps_in_a_dst_zone(spark):
+    # shifted by 80 days the events span 2024-03-31, when Berlin moves its clocks
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    ev = table(spark, SF_SMALL, "events").withColumn(
+        "ts", (F.col("ts") + F.make_dt_interval(days=F.lit(80))).cast("timestamp"))
+    assert ev.filter(F.col("ts").cast("string").startswith("2024-03-31")).count() > 0
+    try:
+        ours = window_latest_n(ev, "ts", 1200, 60, 3, "event_id", ["event_type"], method="blocked")
+        w = Window.partitionBy("event_type", "window_start").orderBy(F.desc("event_id"))
+        ref = (native_windows(ev, 1200, 60)
+               .withColumn("rank", (F.row_number().over(w) - 1).cast("long")).filter(F.col("rank") < 3))
+        cols = ["event_type", "window_start", "window_end", "event_id", "rank"]
+        assert sorted(ours.select(*cols).collect()) == sorted(ref.select(*cols).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

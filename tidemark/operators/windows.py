@@ -141,10 +141,14 @@ def window_latest_n(
 
 
 def _pane_index(df: DataFrame, pane_s: int):
-    """Integer pane number of ``__pane`` (wall-clock fields, so any time zone)."""
+    """Integer pane number of ``__pane``: epoch seconds for zoned timestamps,
+    wall-clock fields for ``timestamp_ntz`` (no time zone involved either way)."""
     p = F.col("__pane")
-    secs = (F.datediff(F.to_date(p), F.lit("1970-01-01").cast("date")).cast("long") * 86400
-            + F.hour(p) * 3600 + F.minute(p) * 60 + F.second(p).cast("long"))
+    if isinstance(df.schema["__pane"].dataType, T.TimestampType):
+        secs = F.unix_seconds(p)
+    else:
+        secs = (F.datediff(F.to_date(p), F.lit("1970-01-01").cast("date")).cast("long") * 86400
+                + F.hour(p) * 3600 + F.minute(p) * 60 + F.second(p).cast("long"))
     return F.floor(secs / F.lit(pane_s)).cast("long")
 
 
