@@ -40,16 +40,25 @@ FILES_PER_BATCH = 2
 LATENESS_S = 40 * 86400
 
 
-def _event_files(spark: SparkSession, sf: str, path: str) -> DataFrame:
+# Time-range copies of events already written in this Spark application, by
+# table folder: the queries only read them, so one copy serves them all.
+_EVENT_FILES: dict[tuple[str, str], str] = {}
+
+
+def _event_files(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     ev = table(spark, sf, "events")
-    ev.repartitionByRange(N_FILES, "ts").write.mode("overwrite").parquet(path)
-    return ev
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _EVENT_FILES:
+        path = f"{scratch_path(spark, 'events-by-time')}/input"
+        ev.repartitionByRange(N_FILES, "ts").write.mode("overwrite").parquet(path)
+        _EVENT_FILES[key] = path
+    return _EVENT_FILES[key], ev
 
 
 def _stream(spark: SparkSession, sf: str, name: str):
     root = scratch_path(spark, name)
-    ev = _event_files(spark, sf, f"{root}/input")
-    src = file_stream(spark, f"{root}/input", ev.schema, max_files_per_trigger=FILES_PER_BATCH)
+    path, ev = _event_files(spark, sf)
+    src = file_stream(spark, path, ev.schema, max_files_per_trigger=FILES_PER_BATCH)
     return root, src
 
 
