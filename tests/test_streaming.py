@@ -286,3 +286,18 @@ def test_closed_mode_replay_is_idempotent(spark, scratch):
     proc(parts[1], 1)                       # replay of batch 1
     assert sorted(spark.read.parquet(f"{root}/out").collect()) == first
     assert spark.read.parquet(f"{root}/state_meta/slot=1").first()[0] == marker
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, scratch):
+    root = scratch("trigger")
+    ev = split_in_time_order(spark, f"{root}/in", 2)
+    src = file_stream(spark, f"{root}/in", ev.schema)
+    q = start_threshold_stream(src, "MA", ["value"], "event_id", 5, f"{root}/out", f"{root}/ck",
+                               ["event_type"], trigger_seconds=60)
+    try:
+        q.processAllAvailable()          # the first trigger fires at once
+        assert q.isActive                 # and the query keeps running until stopped
+        assert spark.read.parquet(f"{root}/out").count() == 5
+    finally:
+        q.stop()
+    assert not q.isActive
