@@ -69,3 +69,18 @@ def test_large_n_switches_to_salted_plan(spark):
         assert sorted(got.collect()) == sorted(want.collect())
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 5000)), min_size=1, max_size=60),
+       slide=st.sampled_from([60, 120, 300]), k=st.integers(1, 30), n=st.integers(1, 5))
+def test_blocked_and_expanded_window_latest_n_agree(spark, rows, slide, k, n):
+    import datetime as dt
+    from tidemark.operators.windows import window_latest_n
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(key, i, t0 + dt.timedelta(seconds=sec)) for i, (key, sec) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, o long, ts timestamp_ntz")
+    cols = ["k", "window_start", "window_end", "o", "rank"]
+    a = window_latest_n(df, "ts", slide * k, slide, n, "o", ["k"], method="blocked").select(*cols)
+    b = window_latest_n(df, "ts", slide * k, slide, n, "o", ["k"], method="expand").select(*cols)
+    assert sorted(a.collect()) == sorted(b.collect())
