@@ -33,9 +33,11 @@ from tidemark.functions.weights import DEFAULT_WEIGHTS
 from tidemark.operators.models import aggregate_ranked
 from tidemark.operators.recent import _as_list, latest_n, recency_rank
 from tidemark.operators.windows import (
+    BLOCKED_MIN_WINDOWS_PER_PANE,
     WINDOW_END,
     WINDOW_START,
     _check,
+    _window_latest_n_blocked,
     aggregate_windows,
     expand_panes,
     pane_of,
@@ -131,6 +133,8 @@ class WindowedLatestNProcessor:
                               + [T.StructField("__pane", self.time_type, True)])
         self.state = VersionedState(state_path, schema)
         self.sink_path = sink_path
+        self._blocked = (self.pane_s == slide_s and len(self.order) == 1
+                         and length_s // slide_s >= BLOCKED_MIN_WINDOWS_PER_PANE)
 
     def _last_window_end(self, pane: str = "__pane"):
         """End of the latest window that contains the pane."""
@@ -203,8 +207,17 @@ class WindowedLatestNProcessor:
             near = touched_panes.select(*self.series, F.explode(F.sequence(
                 F.col("__pane") - span, F.col("__pane") + span, step)).alias("__pane")).distinct()
             relevant = current.join(near, [*self.series, "__pane"], "left_semi")
-            rows = expand_panes(relevant, self.length_s, self.slide_s).join(touched, keys, "left_semi")
-        ranked = latest_n(rows, self.n, self.order, keys, rank_col="__rank")
+            if self._blocked:
+                # many windows per pane: rank every window of the relevant panes with
+                # the blocked method (rows copied at most twice), keep the touched ones
+                ranked = _window_latest_n_blocked(relevant, self.time_col, self.length_s, self.slide_s,
+                                                  self.n, self.order[0], self.series, "__rank")
+                rows = None
+                ranked = ranked.join(touched, keys, "left_semi")
+            else:
+                rows = expand_panes(relevant, self.length_s, self.slide_s).join(touched, keys, "left_semi")
+        if rows is not None:
+            ranked = latest_n(rows, self.n, self.order, keys, rank_col="__rank")
         if self.prepare is not None:
             ranked = self.prepare(ranked)
         out = aggregate_windows(ranked, self.model, self.metrics, self.n, self.series,
