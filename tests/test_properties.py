@@ -84,3 +84,15 @@ def test_blocked_and_expanded_window_latest_n_agree(spark, rows, slide, k, n):
     a = window_latest_n(df, "ts", slide * k, slide, n, "o", ["k"], method="blocked").select(*cols)
     b = window_latest_n(df, "ts", slide * k, slide, n, "o", ["k"], method="expand").select(*cols)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_newest_keys_strings_and_nulls(spark):
+    from tidemark.operators.recent import newest_keys, restrict_to_newest_keys
+    rows = [("b", 1), ("a", 2), (None, 3), ("c", 4), ("c", 5), ("a", 6)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(3)
+    assert [r[0] for r in newest_keys(df, 2, "k").collect()] == ["c", "b"]
+    # fewer than n non-null keys: the null group sorts last and is kept
+    assert [r[0] for r in newest_keys(df, 5, "k").collect()] == ["c", "b", "a", None]
+    kept = sorted(r["v"] for r in restrict_to_newest_keys(df, 5, "k").collect())
+    assert kept == [1, 2, 3, 4, 5, 6]
+    assert sorted(r["v"] for r in restrict_to_newest_keys(df, 1, "k").collect()) == [4, 5]

@@ -301,3 +301,19 @@ def test_processing_time_trigger_runs_until_stopped(spark, scratch):
     finally:
         q.stop()
     assert not q.isActive
+
+
+def test_keyed_state_with_a_hot_series(spark, scratch):
+    from tidemark.operators.models import weighted_moving_average
+    from tidemark.streaming.keyed import start_keyed_latest_n_stream
+    root = scratch("keyedhot")
+    ev = table(spark, SF_SMALL, "events").withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    ev.repartitionByRange(3, "ts").write.parquet(f"{root}/in")
+    src = file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1)
+    q = start_keyed_latest_n_stream(src, "WMA", ["value"], "event_id", 12, ["user_id"], f"{root}/out",
+                                    f"{root}/ck", available_now=True)
+    q.awaitTermination()
+    got = read_latest(spark, f"{root}/out", ["user_id"])
+    want = weighted_moving_average(ev, ["value"], "event_id", 12, "user_id")
+    assert rows(got, want.columns) == rows(want, want.columns)
