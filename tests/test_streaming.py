@@ -317,3 +317,20 @@ def test_keyed_state_with_a_hot_series(spark, scratch):
     got = read_latest(spark, f"{root}/out", ["user_id"])
     want = weighted_moving_average(ev, ["value"], "event_id", 12, "user_id")
     assert rows(got, want.columns) == rows(want, want.columns)
+
+
+
+def test_sliding_count_stream_in_a_half_hour_zone(spark, scratch):
+    root = scratch("zone")
+    ev = split_in_time_order(spark, f"{root}/in", 3)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        src = file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1)
+        q = start_window_count_stream(src, "ts", 21600, 3600, f"{root}/out", f"{root}/ck",
+                                      delay_s=40 * 86400, available_now=True)
+        q.awaitTermination()
+        got = read_latest(spark, f"{root}/out", ["window_start", "window_end"])
+        want = window_count(ev, "ts", 21600, 3600)
+        assert rows(got, want.columns) == rows(want, want.columns)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

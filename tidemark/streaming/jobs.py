@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.weights import DEFAULT_WEIGHTS
@@ -102,13 +103,19 @@ def start_sliding_aggregate_stream(
     State per window is a handful of partial aggregates; the watermark
     (``delay_s``) bounds it, and partial aggregation runs before the shuffle.
     Update mode: every batch writes the windows it changed.  A
-    ``timestamp_ntz`` time column is read in the session time zone (watermarks
-    need zoned timestamps) and windows are aligned to the UTC epoch, so with a
-    non-UTC session zone whose offset is not a multiple of the slide, window
-    edges shift by that offset; ``get_spark`` pins the session zone to UTC.
+    ``timestamp_ntz`` time column is taken as UTC wall-clock time for the
+    watermark (which needs zoned timestamps) and converted back, so windows
+    match the batch ``window()`` in any session time zone.
     """
     series = list(series_cols)
-    ts = F.col(time_col).cast("timestamp")
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    ntz = isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
+    if ntz:
+        # wall-clock time read as UTC (watermarks need zoned timestamps), so windows
+        # align exactly like the batch window() on timestamp_ntz, in any session zone
+        ts = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(time_col)).cast("timestamp")
+    else:
+        ts = F.col(time_col)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for m in metrics:
         aggs += [F.sum(m).alias(f"{m}_sum"), F.try_divide(F.sum(m), F.count(m)).alias(f"{m}_avg"),
@@ -120,10 +127,15 @@ def start_sliding_aggregate_stream(
            .agg(*aggs))
     out_cols = [c for c in agg.columns if c not in (*series, "__w")]
 
+    def back(c):
+        # window bounds as UTC wall-clock time (timestamp_ntz input) or unchanged
+        if not ntz:
+            return F.col(c)
+        return F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+
     def handler(batch: DataFrame, batch_id: int) -> None:
-        out = batch.select(*series,
-                           F.col("__w.start").cast("timestamp_ntz").alias("window_start"),
-                           F.col("__w.end").cast("timestamp_ntz").alias("window_end"), *out_cols)
+        out = batch.select(*series, back("__w.start").alias("window_start"),
+                           back("__w.end").alias("window_end"), *out_cols)
         write_batch(out, out_path, batch_id)
 
     w = (agg.writeStream.outputMode("update").foreachBatch(handler)
