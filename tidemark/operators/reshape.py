@@ -111,8 +111,9 @@ def business_day_index(starts: DataFrame, start_col: str, periods: int, step: in
     """Uniform business-day index: ``periods`` dates from ``start_col`` every ``step``
     business days (Mon-Fri).  A start on a weekend rolls to the next Monday.
 
-    Built from a bounded ``sequence`` per start row (``periods * step`` business
-    days need at most ``ceil(periods * step * 7 / 5) + 3`` calendar days).
+    Built from a bounded ``sequence`` per start row: ``periods * step``
+    business days fit in ``periods * step * 7 // 5 + 7`` calendar days (the
+    extra week covers a weekend start and the rounding).
     """
     if periods < 0 or step < 1:
         raise ValueError("periods must be >= 0 and step >= 1")

@@ -10,7 +10,10 @@ Windows are aligned to the epoch (Spark ``window()``), ``length`` and
 * :func:`window_latest_n` keeps the newest N rows of every pane first (a row
   outside its pane's newest N can never be among the newest N of a window that
   contains the pane), so at most ``N x length / pane`` rows reach any window:
-  the per-window group is bounded however hot a series is.
+  the per-window group is bounded however hot a series is.  With many windows
+  per pane it ranks blocks of contiguous panes in one ``applyInPandas`` group
+  each (the last ``k - 1`` panes of a block repeated in the next), so rows are
+  copied at most twice instead of once per window.
 """
 
 from __future__ import annotations
