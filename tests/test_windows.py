@@ -79,3 +79,13 @@ def test_blocked_on_zoned_timestamps_in_a_dst_zone(spark):
         assert sorted(ours.select(*cols).collect()) == sorted(ref.select(*cols).collect())
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_window_threshold_methods_agree(spark):
+    ev = table(spark, SF_SMALL, "events")
+    cols = ["event_type", "window_start", "window_end", "n_rows", "dt_value"]
+    a = window_threshold(ev, "WMA", "ts", 3600, 180, ["value"], "event_id", 4, "event_type", method="blocked")
+    b = window_threshold(ev, "WMA", "ts", 3600, 180, ["value"], "event_id", 4, "event_type", method="expand")
+    ra = sorted((r[0], r[1], r[2], r[3], round(r[4], 9)) for r in a.select(*cols).collect())
+    rb = sorted((r[0], r[1], r[2], r[3], round(r[4], 9)) for r in b.select(*cols).collect())
+    assert ra == rb

@@ -224,17 +224,19 @@ def window_threshold(
     weights: Sequence[float] = DEFAULT_WEIGHTS,
     label_col: str | None = None,
     rename: Mapping[str, str] | None = None,
+    method: str = "auto",
 ) -> DataFrame:
     """MA / WMA / WMA_FLAT over the newest ``n`` rows of each sliding window.
 
     Output: ``series.., window_start, window_end, n_rows`` and the model columns.
+    ``method`` picks how windows are ranked (see :func:`window_latest_n`).
     """
     name = model.strip()
     series = _as_list(series_cols)
     cols = list(dict.fromkeys([*series, time_col, *_as_list(order_by), *metrics,
                                *([label_col] if label_col else [])]))
     ranked = window_latest_n(df.select(*cols), time_col, length_s, slide_s, n, order_by,
-                             series, rank_col="__rank")
+                             series, rank_col="__rank", method=method)
     return aggregate_windows(ranked, name, metrics, n, series, weights, label_col, rename)
 
 
