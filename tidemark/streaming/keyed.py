@@ -9,8 +9,10 @@ checkpoints are incremental too).
 Plan per micro-batch:
 
 1. ``mapInPandas`` (stateless) keeps the newest N rows of every series inside
-   each task, so a series holding a third of the stream still ships at most N
-   rows per task into the shuffle;
+   each Arrow batch (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows,
+   10,000 by default), so a series holding a third of the stream ships at
+   most N rows per batch into the shuffle, and memory stays bounded by the
+   batch size;
 2. ``groupBy(series).applyInPandasWithState`` merges those rows with the
    series' state (its newest N rows, at most N), keeps the newest N and emits
    the model (MA / WMA / WMA_FLAT) for that series.
