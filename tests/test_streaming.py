@@ -334,3 +334,24 @@ def test_sliding_count_stream_in_a_half_hour_zone(spark, scratch):
         assert rows(got, want.columns) == rows(want, want.columns)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+
+def test_job_with_a_series_column(spark, scratch):
+    import datetime as dt
+    root = scratch("jobseries")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 30)
+    rows = [(h, f"k{i}", f"{i}.0", i, t0 + dt.timedelta(seconds=i)) for i in range(8) for h in ("h1", "h2")]
+    rows = [(h, k, v if h == "h1" else str(2 * float(v)), o, t) for h, k, v, o, t in rows]
+    df = spark.createDataFrame(rows, "host string, key string, value string, offset long, timestamp timestamp_ntz")
+    df.coalesce(1).write.parquet(f"{root}/in")
+    src = file_stream(spark, f"{root}/in", df.schema)
+    q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ck", model="MA", n=4, metrics=["value"],
+                                    available_now=True, emit="update", processing_stamp=False,
+                                    series_cols=["host"])
+    q.awaitTermination()
+    out = {(r["host"], r["window_start"]): r["dt_value"]
+           for r in read_latest(spark, f"{root}/out", ["host", "window_start", "window_end"]).collect()}
+    assert {h for h, _ in out} == {"h1", "h2"}
+    for (h, ws), v in out.items():
+        assert v == pytest.approx((5.5 if h == "h1" else 11.0))   # newest 4 of 0..7 (x2 for h2)

@@ -194,6 +194,7 @@ def start_dynamic_threshold_job(
     daily_time_col: str | None = None,
     processing_stamp: bool = True,
     emit: str = "closed",
+    series_cols: Sequence[str] = (),
 ) -> StreamingQuery:
     """The whole threshold job on a message stream ``(key, value, offset, <time_col>)``.
 
@@ -211,7 +212,9 @@ def start_dynamic_threshold_job(
     original arrival-time windows.  ``emit="closed"`` (default) writes one
     result per window when the watermark passes its end: one result per
     slide, as the original job prints one per batch.  ``"update"`` rewrites
-    every window that received rows.
+    every window that received rows.  ``series_cols`` (e.g. a host column)
+    runs one independent series per value; empty means one series, as in the
+    original single-partition job.
     """
     from tidemark.functions.schema import METRIC_COLS, PROCESSING_TS_COL, processing_timestamp
     from tidemark.functions.weights import parse_weights
@@ -223,7 +226,7 @@ def start_dynamic_threshold_job(
     w = parse_weights(weights)
 
     def prepare(ranked: DataFrame) -> DataFrame:
-        keep = ("window_start", "window_end", "__rank", "offset")
+        keep = (*series_cols, "window_start", "window_end", "__rank", "offset")
         return decode_records(ranked, metrics, keep=keep)
 
     def writer(df: DataFrame, path: str, batch_id: int) -> None:
@@ -236,7 +239,7 @@ def start_dynamic_threshold_job(
         time_col = "__arrival"
     length_s, slide_s = n * 60, slide_minutes * 60
     proc = WindowedLatestNProcessor(records.schema, f"{checkpoint.rstrip('/')}/state", out_path, time_col,
-                                    length_s, slide_s, metrics, "offset", n, (), name, w,
+                                    length_s, slide_s, metrics, "offset", n, list(series_cols), name, w,
                                     "create_date", delay_s, writer=writer,
                                     state_cols=["key", "value"], prepare=prepare, emit=emit)
     return _start(records, proc, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now, None)
