@@ -10,7 +10,8 @@ stops at the first that does not, so a sequence needs no correction of its
 own; over all sequences the error probability ``delta`` is divided by their
 number (Bonferroni).  With probability 1 - delta no stratum loses more than
 ``max_false_rejection`` of its good documents to the rules.  Among certified
-cutoffs the one rejecting most labelled junk is used, the safest of equals.
+cutoffs the one with the largest surplus of rejected junk over rejected good
+documents is used, the safest of equals.
 A stratum with too few labels certifies nothing: its documents are kept.
 """
 
@@ -190,12 +191,12 @@ def choose_cutoffs(signals: DataFrame, labels: DataFrame, id_col: str = "doc_id"
             junk[own["bin"]] = own["junk"]
             n, best = int(good.sum()), None
             for j, cut in enumerate(cuts):
-                bound = upper_bound(int(good[len(cuts) - j :].sum()), n, alpha)
+                lost, caught = int(good[len(cuts) - j :].sum()), int(junk[len(cuts) - j :].sum())
+                bound = upper_bound(lost, n, alpha)
                 if bound > share:
                     break
-                caught = int(junk[len(cuts) - j :].sum())
-                if best is None or caught > best[2]:
-                    best = (cut, bound, caught)
+                if best is None or caught - lost > best[2]:
+                    best = (cut, bound, caught - lost)
             out |= {"n_good": n, "n_junk": int(junk.sum()), rule: best and best[0], f"{rule}_bound": best and best[1]}
         return pd.DataFrame([out])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import quality, urls
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +24,34 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "stratum", "failed_rules")
+
+
+#: Rules of the url query (host, path, verdict).
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.match_rules(read_table(spark, sf_dir, "pages"), rules)
+
+
+ORACLES["op8_url_rules"] = f"""
+WITH rules(rhost, rpath, rverdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT page_id, regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1) AS h,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+named AS (
+  SELECT page_id, translate(h, '{urls.UPPER}', '{urls.LOWER}') AS host, path FROM split),
+best AS (
+  SELECT n.host, n.path, max_by(r.rhost || r.rpath, length(r.rhost || r.rpath)) AS rule,
+         max_by(r.rverdict, length(r.rhost || r.rpath)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM named) n
+  JOIN rules r ON (n.host = r.rhost OR ends_with(n.host, '.' || r.rhost)) AND starts_with(n.path, r.rpath)
+  GROUP BY 1, 2)
+SELECT n.page_id, n.host, n.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
+FROM named n LEFT JOIN best b ON n.host = b.host AND n.path = b.path
+"""
