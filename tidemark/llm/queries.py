@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, urls
+from tidemark.llm import lines, quality, urls
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,22 @@ best AS (
 SELECT n.page_id, n.host, n.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
 FROM named n LEFT JOIN best b ON n.host = b.host AND n.path = b.path
 """
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+_SPACES = "||".join(f"chr({ord(c)})" for c in lines.SPACES)
+ORACLES["op9_line_dedup"] = f"""
+WITH numbered AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM numbered),
+keyed AS (SELECT *, translate(trim(line, {_SPACES}), '{lines.UPPER}', '{lines.LOWER}') AS k FROM lines),
+common AS (SELECT k, max(doc_id) AS last_doc FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT y.*, c.k IS NOT NULL AND y.doc_id <> c.last_doc AS gone FROM keyed y LEFT JOIN common c ON y.k = c.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id
+"""
