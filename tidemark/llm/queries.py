@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, quality, urls
+from tidemark.llm import lines, mixing, quality, urls
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,11 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY r, doc_id
 """
+
+
+@query
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix_sources(docs, mixing.word_count(F.col("text")))
+    return mixed.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
