@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, quality, urls
+from tidemark.llm import lines, mixing, quality, ring, urls
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(docs, mixing.word_count(F.col("text")))
     return mixed.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = ring.assign_shards(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
