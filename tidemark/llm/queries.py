@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, quality, ring, urls
+from tidemark.llm import lines, mixing, packing, quality, ring, urls
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +90,10 @@ def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring.assign_shards(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "sequence_cost")

@@ -11,7 +11,8 @@ running sum of begins minus ends, and its top is the last begun rule of that
 depth.  The longest of a url's tops wins.
 
 Zones with many urls are salted: their urls are spread over as many sweeps as
-they have lots of ``per_sweep`` urls, each with its own copy of the zone's rules.
+they have lots of ``per_sweep`` urls (four times the zone's rules at least, so
+that the copies stay fewer than the urls), each with a copy of the zone's rules.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def zone(host: Column) -> Column:
 
 
 def match_rules(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                default: str = "allow", per_sweep: int = 200_000) -> DataFrame:
+                default: str = "allow", per_sweep: int = 5_000) -> DataFrame:
     """``id_col``, host, path, rule (host and path; null: none fits) and verdict of every url row.
 
     ``rules`` has host, path and verdict (allow or block).  Rows with a null
@@ -63,9 +64,9 @@ def match_rules(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     turned = F.reverse(labels)
     placed = seen.select("host", "path", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(turned, 1, k), "."))).alias("zone"))
-    zones = rules.select("zone").distinct()
-    placed = placed.join(zones, "zone", "left_semi")
-    lots = placed.groupBy("zone").agg(F.ceil(F.count(F.lit(1)) / per_sweep).cast("int").alias("lots"))
+    zones = rules.groupBy("zone").agg((4 * F.count(F.lit(1))).alias("least"))
+    lots = (placed.groupBy("zone").agg(F.count(F.lit(1)).alias("urls")).join(zones, "zone").select(
+        "zone", F.ceil(F.col("urls") / F.greatest(F.lit(per_sweep), F.col("least"))).cast("int").alias("lots")))
     placed = (placed.join(lots, "zone")
               .withColumn("lot", F.pmod(F.xxhash64("host", "path"), F.col("lots")).cast("int")).drop("lots"))
     copies = rules.join(lots, "zone").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
