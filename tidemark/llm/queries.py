@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, packing, quality, ring, urls
+from tidemark.llm import lines, mixing, packing, pii, quality, ring, urls
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,11 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset", "sequence_cost")
+
+
+@query
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.as_text(F.col("spans")).alias("spans"))
