@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, packing, pii, quality, ring, urls
+from tidemark.llm import embeddings, lines, mixing, packing, pii, quality, ring, urls
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
                         F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
                         pii.as_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op6_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
