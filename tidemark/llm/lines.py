@@ -83,7 +83,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines, text = lines_of(F.col(text_col)), F.coalesce(F.col(text_col), F.lit(""))
     n_lines = F.size(lines)
     keep = F.when(F.col("_line_gone").isNotNull(), kept_runs(F.col("_line_gone"), n_lines))
-    kept = F.array_join(F.flatten(F.transform(keep, lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
+    # The one-element array holds the split text, so that it is split once and not for every run.
+    kept = F.transform(F.array(lines), lambda all_lines: F.array_join(F.flatten(F.transform(
+        keep, lambda r: F.slice(all_lines, r["start"] + 1, r["length"]))), "\n"))
+    kept = F.when(F.col("_line_gone").isNotNull(), kept[0])
     return joined.select(*docs.columns, n_lines.cast("long").alias(names["n_lines"]),
                          F.coalesce(F.size("_line_gone"), F.lit(0)).cast("long").alias(names["n_dropped"]),
                          keep.alias(names["keep"]), F.coalesce(kept, text).alias(names["kept_text"]))
