@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embeddings, lines, mixing, packing, pii, quality, ring, urls
+from tidemark.llm import embeddings, jaccard, lines, mixing, packing, pii, quality, ring, urls
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,8 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
