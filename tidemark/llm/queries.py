@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embeddings, jaccard, lines, mixing, packing, pii, quality, ring, urls
+from tidemark.llm import embeddings, jaccard, lines, mixing, packing, pii, quality, ring, substrings, urls
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,10 @@ def op6_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return stripped.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                           F.sha2("kept", 256).alias("kept_sha256"))
