@@ -81,6 +81,11 @@ def targets(sources: DataFrame, budget: float, max_repeats: int = 3) -> DataFram
         full = over
 
 
+def content_hash(docs: DataFrame) -> Column:
+    """Tells rows of one id apart (map columns are not looked at)."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t])
+
+
 def mix_sources(docs: DataFrame, sizes: Column, weights: DataFrame | None = None, id_col: str = "doc_id",
                 source_col: str = "source", max_repeats: int = 3, budget: float | None = None,
                 seed: int = 0, range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -97,7 +102,7 @@ def mix_sources(docs: DataFrame, sizes: Column, weights: DataFrame | None = None
     source of their own.
     """
     # One row per distinct (id, source, size, content); n identical rows are one entry served n times as large.
-    content = F.xxhash64(*[F.col(c) for c, t in docs.dtypes if not t.startswith("map")])
+    content = content_hash(docs)
     queue = (docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                          F.coalesce(sizes, F.lit(0)).cast("long").alias("size"), content.alias("row"))
              .groupBy("id", "source", "size", "row").agg(F.count(F.lit(1)).alias("n"))
@@ -141,3 +146,14 @@ def mix_sources(docs: DataFrame, sizes: Column, weights: DataFrame | None = None
     copies = F.when(F.col("load") == 0, F.lit(1)).otherwise(F.coalesce("_copies", F.lit(0))).cast("int")
     return out.select(F.col("id").alias(id_col), "row", "n", F.col("source").alias(source_col), "size", "source_size",
                       "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def repeat_rows(docs: DataFrame, sizes: Column, id_col: str = "doc_id", source_col: str = "source", **kw) -> DataFrame:
+    """The rows of ``docs``, each as often as :func:`mix_sources` takes it; columns unchanged."""
+    mixed = mix_sources(docs, sizes, id_col=id_col, source_col=source_col, **kw)
+    copies = staged(mixed.where("copies > 0").select(F.col(id_col).alias("_mix_id"), F.col("row").alias("_mix_row"),
+                                                     F.col("copies").alias("_mix_copies")), "mix-copies")
+    same = F.col(id_col).eqNullSafe(F.col("_mix_id")) & (content_hash(docs) == F.col("_mix_row"))
+    taken = docs.join(copies, same)
+    return (taken.withColumn("_mix_turn", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
+            .select(*docs.columns))
