@@ -35,7 +35,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_BARE_PHONE = re.compile(r"(?<![\w.+/-])[(0-9][\x20().0-9-]{5,24}+(?<=[0-9])(?![\w/])")
+_BARE_PHONE = re.compile(r"(?<![\w.+/-])\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,11}+(?![\w/]|[\x20.-]?[0-9])")
+_ADDRESS = re.compile(r"[^\s\"'<>(),;:@]{1,64}")
 _WORD = re.compile(r"[^\W\d_]+|\d+")
 _REACH = 64
 
@@ -85,13 +86,11 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
 def candidate_spans(text: str, found: list, failed: list) -> list[tuple[str, int, int]]:
     """Strings that look like a kind, apart from words on both sides, and overlap no base span."""
     more = list(failed)
-    for m in _BARE_PHONE.finditer(text):
-        if 7 <= len(_digits(m[0])) <= 12:
-            more.append(("phone", *m.span()))
+    more += [("phone", *m.span()) for m in _BARE_PHONE.finditer(text)]
     at = text.find("@")
     while at >= 0:
         start = max((text.rfind(c, max(0, at - _REACH), at) for c in " \t\n\r\"'<>(),;:@"), default=-1) + 1
-        m = re.compile(r"[^\s\"'<>(),;:@]{1,%d}" % _REACH).match(text, at + 1)
+        m = _ADDRESS.match(text, at + 1)
         if m and 0 < at - start < _REACH:
             more.append(("email", start, m.end() - (text[m.end() - 1] == ".")))
         at = text.find("@", at + 1)
