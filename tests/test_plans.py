@@ -31,10 +31,27 @@ def test_global_top_n_is_take_ordered(spark, name):
 @pytest.mark.parametrize("name", ["ma_multi_metric", "wma_multi_metric", "summary_long", "ewma_limits"])
 def test_newest_orders_are_selected_before_the_aggregation(spark, name):
     plan = plan_of(spark, name)
-    assert "BroadcastExchange" in plan and "LeftSemi" in plan
+    assert "BroadcastExchange" not in plan and "Join" not in plan
+    filters = [x for x in plan.splitlines() if "DataFilters: [((l_orderkey" in x]
+    assert filters and all(">= Subquery" in x for x in filters)  # the n-th key filters the scan
     assert "MapInArrow" in plan
 
 
+@pytest.mark.parametrize("name", ["record_wma", "record_ma"])
+def test_every_message_is_built_before_the_newest_are_taken(spark, name):
+    below = plan_of(spark, name).split("TakeOrderedAndProject")[-1]
+    assert "Aggregate(keys=[l_orderkey" in below or "Aggregate(key=[l_orderkey" in below
+    assert "Subquery" not in below and "MapInArrow" not in below
+
+
+def test_large_latest_n_keeps_the_per_task_limit(spark):
+    from tidemark.operators.recent import latest_n
+    from tidemark.sources.tables import table
+    df = latest_n(table(spark, SF_SMALL, "events"), 5000, "event_id", "user_id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_no_row_at_a_time_python_anywhere(spark):
     for q in QUERIES:
         plan = q.build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()

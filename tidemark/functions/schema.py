@@ -76,3 +76,15 @@ def label_to_timestamp(label: Column | str, ntz: bool = False) -> Column:
     """Lenient cast of a text label to a timestamp; unparseable labels become null."""
     c = F.col(label) if isinstance(label, str) else label
     return c.try_cast("timestamp_ntz" if ntz else "timestamp")
+
+
+def label_to_utc(label: Column | str) -> Column:
+    """Lenient cast of a text label to UTC wall-clock time (``timestamp_ntz``).
+
+    A zone suffix (``Z``, ``+09:00``, a region name) is converted; labels without
+    one are taken as they are, in any session time zone.
+    """
+    c = F.trim(F.col(label) if isinstance(label, str) else label)
+    zoned = c.rlike(r"(?i)\d(z|[ ]?(utc|gmt|ut)([+-][\d:]+)?|[ ]?[+-]\d{1,2}(:?\d{2}){0,2}|[ ]?[a-z]+/[a-z_/]+)$") & c.contains(":")
+    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(zoned, instant).otherwise(c.try_cast("timestamp_ntz"))

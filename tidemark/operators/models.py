@@ -27,6 +27,7 @@ from tidemark.functions.schema import (
     LABEL_COL,
     PROCESSING_TS_COL,
     output_name,
+    label_to_utc,
     processing_timestamp,
 )
 from tidemark.functions.weights import (
@@ -47,22 +48,23 @@ def _group(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFr
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-LABEL_TIMESTAMP_TYPE = "timestamp_ntz"
+LABEL_TIMESTAMP_TYPE = "utc"
 
 
 def _label_agg(df: DataFrame, label_col: str | None, as_timestamp: bool,
                label_type: str = LABEL_TIMESTAMP_TYPE) -> list[Column]:
     """``max(label)``; text labels are cast to timestamps when ``as_timestamp``.
 
-    The default cast keeps the label's wall-clock time (``timestamp_ntz``), so
-    the result does not depend on the session time zone; pass
-    ``label_type="timestamp"`` for a zoned cast in the session zone.
+    By default a zone suffix is honoured and the result is UTC wall-clock time
+    (labels without a zone are taken as they are), so it does not depend on
+    the session time zone.  ``label_type="timestamp_ntz"`` ignores zones,
+    ``"timestamp"`` casts in the session zone.
     """
     if not label_col:
         return []
     c = F.col(label_col)
     if as_timestamp and isinstance(df.schema[label_col].dataType, T.StringType):
-        c = c.try_cast(label_type)
+        c = label_to_utc(c) if label_type == "utc" else c.try_cast(label_type)
     return [F.max(c).alias(LABEL_COL)]
 
 
@@ -275,6 +277,8 @@ def threshold(
     if name in ("WMA", "WMA_FLAT"):
         return weighted_moving_average(df, metrics, order_by, n, series_cols, weights,
                                        "flat" if name == "WMA_FLAT" else "banded", label_col, **kw)
+    if any(kw.values()):
+        raise ValueError(f"EWMA limits take none of {sorted(kw)}")
     return ewma_limits(df, metrics, order_by, n, series_cols, lam)
 
 

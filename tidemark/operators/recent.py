@@ -143,6 +143,21 @@ def newest_keys(df: DataFrame, n: int, key: str) -> DataFrame:
 
 
 def restrict_to_newest_keys(df: DataFrame, n: int, key: str) -> DataFrame:
-    """Rows of ``df`` whose ``key`` is among its ``n`` largest distinct keys."""
-    keys = newest_keys(df, n, key).withColumnRenamed(key, "__newest_key")
-    return df.join(F.broadcast(keys), df[key].eqNullSafe(F.col("__newest_key")), "left_semi")
+    """Rows of ``df`` whose ``key`` is among its ``n`` largest distinct keys (null: the smallest).
+
+    The n-th key becomes a scalar filter on the scan: nothing is broadcast or
+    shuffled for it, and files or row groups of older keys can be skipped.
+    """
+    keys = newest_keys(df, n, key)
+    least = keys.agg(F.min(key)).scalar()
+    known = keys.agg(F.count(key)).scalar()
+    return df.where((F.col(key) >= least) | (F.col(key).isNull() & (known < n)))
+
+
+def semi_join(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose ``on`` columns occur in ``keys``; nulls equal nulls."""
+    renamed = keys.select(*[F.col(c).alias(f"__semi_{i}") for i, c in enumerate(on)])
+    same = F.lit(True)
+    for i, c in enumerate(on):
+        same = same & F.col(c).eqNullSafe(F.col(f"__semi_{i}"))
+    return df.join(renamed, same, "left_semi")

@@ -30,19 +30,23 @@ def transpose(df: DataFrame, fields: Sequence[str], position_col: str, n_positio
     ``0 .. n_positions-1`` (null where a position is missing).  Written as one
     conditional aggregation over an explicit position list, so it adds no
     shuffle when the input is already partitioned by the series (as the
-    output of a per-series ``latest_n`` is).
+    output of a per-series ``latest_n`` is).  A position of ``n_positions`` or
+    more fails the query, so no instant is left out silently.
     """
     series = _as_list(series_cols)
     pos = F.col(position_col)
     aggs = [F.max(F.when(pos == F.lit(i), F.col(f))).alias(f"{f}__p{i}")
             for f in fields for i in range(n_positions)]
+    aggs.append(F.max(pos).alias("__top"))
     wide = df.groupBy(*series).agg(*aggs) if series else df.agg(*aggs)
     rows = F.array(*[
         F.struct(F.lit(f).alias("field"),
                  *[F.col(f"{f}__p{i}").cast("double").alias(f"p{i}") for i in range(n_positions)])
         for f in fields
     ])
-    return wide.select(*series, F.inline(rows))
+    too_far = F.raise_error(F.concat(F.lit(f"transpose has {n_positions} positions, got position "),
+                                     F.col("__top").cast("string")))
+    return wide.select(*series, F.inline(F.when(F.col("__top") >= n_positions, too_far).otherwise(rows)))
 
 
 def chunk_blocks(df: DataFrame, fields: Sequence[str], position_col: str, size: int,
@@ -101,9 +105,15 @@ def row_positions(df: DataFrame, order_by: str | Sequence[str],
                                                    F.min("__row").alias("__first"))
     before = Window.partitionBy(*series).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
-    return (numbered.join(offsets.drop("__cnt"), ["__pid", *series])
+    # null-safe: a null series is a series like any other
+    found = offsets.select(F.col("__pid").alias("__k"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(series)],
+                           "__off", "__first")
+    same = F.col("__pid") == F.col("__k")
+    for i, c in enumerate(series):
+        same = same & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    return (numbered.join(found, same)
             .withColumn(position_col, F.col("__off") + F.col("__row") - F.col("__first"))
-            .drop("__pid", "__row", "__first", "__off"))
+            .drop("__pid", "__row", "__first", "__off", "__k", *[f"__k{i}" for i in range(len(series))]))
 
 
 def business_day_index(starts: DataFrame, start_col: str, periods: int, step: int = 1,

@@ -21,13 +21,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.weights import DEFAULT_WEIGHTS
 from tidemark.operators.models import aggregate_ranked
-from tidemark.operators.recent import _as_list, latest_n
+from tidemark.operators.recent import _as_list, _desc, latest_n
 
 WINDOW_START = "window_start"
 WINDOW_END = "window_end"
@@ -119,26 +119,26 @@ def window_latest_n(
     ``"expand"`` then copies each pane row into its ``k = length / slide``
     windows and takes the newest ``n`` per window (plain DataFrame ops; cost
     grows with ``k``).  ``"blocked"`` (needs ``length`` to be a multiple of
-    ``slide`` and a single ``order_by`` column) groups contiguous panes into
-    blocks, copies only the last ``k - 1`` panes of each block into the next
-    one, and computes all windows ending in a block inside one
-    ``applyInPandas`` group of at most ``(block + k) x n`` rows: rows are copied
-    at most twice instead of ``k`` times.  ``"auto"`` picks ``blocked`` when
-    ``k >= 16`` and it applies.
+    ``slide``) groups contiguous panes into blocks, copies only the last
+    ``k - 1`` panes of each block into the next one, orders each group of at
+    most ``(block + k) x n`` rows once and picks all windows ending in the block
+    from that order: rows are copied at most twice instead of ``k`` times.  Both
+    give the same rows and ranks for any order and payload types; ``"auto"``
+    takes the cheaper one (``blocked`` from ``k = 16`` on).
     """
     series = _as_list(series_cols)
     order = _as_list(order_by)
     pane_s = _check(length_s, slide_s)
     k = length_s // slide_s
-    blocked_ok = pane_s == slide_s and len(order) == 1
+    blocked_ok = pane_s == slide_s
     if method == "auto":
         method = "blocked" if blocked_ok and k >= BLOCKED_MIN_WINDOWS_PER_PANE else "expand"
     if method == "blocked" and not blocked_ok:
-        raise ValueError("blocked needs length to be a multiple of slide and one order column")
+        raise ValueError("blocked needs length to be a multiple of slide")
     paned = pane_of(df, time_col, length_s, slide_s)
     per_pane = latest_n(paned, n, order, [*series, "__pane"], rank_col=None)
     if method == "blocked":
-        return _window_latest_n_blocked(per_pane, time_col, length_s, slide_s, n, order[0], series, rank_col)
+        return _window_latest_n_blocked(per_pane, time_col, length_s, slide_s, n, order, series, rank_col)
     expanded = expand_panes(per_pane, length_s, slide_s)
     return latest_n(expanded, n, order, [*series, WINDOW_START, WINDOW_END], rank_col=rank_col)
 
@@ -156,7 +156,13 @@ def _pane_index(df: DataFrame, pane_s: int):
 
 
 def _window_latest_n_blocked(per_pane: DataFrame, time_col: str, length_s: int, slide_s: int, n: int,
-                             order_col: str, series: list[str], rank_col: str) -> DataFrame:
+                             order: Sequence[str], series: list[str], rank_col: str) -> DataFrame:
+    """Every window's newest rows from blocks of panes (see :func:`window_latest_n`).
+
+    Rows are ordered by Spark inside each group (``row_number``, so any order
+    columns, nulls and NaN rank as in the other method).  Only that number and
+    the pane number go through pandas; the rows are joined back by it.
+    """
     k = length_s // slide_s
     block = max(4 * k, 64)                      # window ends (in panes) per group
     halo = k - 1
@@ -167,48 +173,40 @@ def _window_latest_n_blocked(per_pane: DataFrame, time_col: str, length_s: int,
     tagged = idx.withColumn("__grp", F.explode(
         F.when(in_halo & F.lit(halo > 0), F.array(F.col("__blk"), F.col("__blk") + 1))
         .otherwise(F.array(F.col("__blk"))))).drop("__blk")
-    keep = [f for f in tagged.schema.fields if f.name != "__grp"]
-    cols = [f.name for f in keep]
-    schema = T.StructType([*keep, T.StructField("__wpane", T.LongType()), T.StructField(rank_col, T.LongType())])
+    # one text per (series, block): a key that pandas can't change, whatever the series' types and nulls
+    key = F.to_json(F.struct(*[F.col(c) for c in series], F.col("__grp")), {"ignoreNullFields": "false"})
+    newest = Window.partitionBy("__key").orderBy(*_desc(order))
+    tagged = tagged.withColumn("__key", key).withColumn("__ord", F.row_number().over(newest).cast("long"))
 
     def windows_of_block(pdf):
         import numpy as np
         import pandas as pd
 
         grp = int(pdf["__grp"].iloc[0])
-        lo_end, hi_end = grp * block, (grp + 1) * block
-        pdf = pdf.sort_values(["__pidx", order_col], ascending=[True, False], kind="stable")
-        pidx = pdf["__pidx"].to_numpy()
-        order = pdf[order_col].to_numpy()
+        pdf = pdf.sort_values(["__pidx", "__ord"], kind="stable")
+        pidx, order = pdf["__pidx"].to_numpy(), pdf["__ord"].to_numpy()
         ends = np.unique((pidx[:, None] + np.arange(k)[None, :]).ravel())
-        ends = ends[(ends >= lo_end) & (ends < hi_end)]
+        ends = ends[(ends >= grp * block) & (ends < (grp + 1) * block)]
         starts = np.searchsorted(pidx, ends - k + 1, "left")
         stops = np.searchsorted(pidx, ends, "right")
-        picks, owners, ranks = [], [], []
-        for e, a, b in zip(ends, starts, stops):
-            if a >= b:
-                continue
-            if b - a > n:
-                sl = a + np.argpartition(-order[a:b], n - 1)[:n]
-            else:
-                sl = np.arange(a, b)
-            sl = sl[np.argsort(-order[sl], kind="stable")]
-            picks.append(sl)
-            owners.append(np.full(len(sl), e, dtype="int64"))
-            ranks.append(np.arange(len(sl), dtype="int64"))
-        if not picks:
-            return pd.DataFrame(columns=[*cols, "__wpane", rank_col])
-        out = pdf.iloc[np.concatenate(picks)][cols].reset_index(drop=True)
-        out["__wpane"] = np.concatenate(owners)
-        out[rank_col] = np.concatenate(ranks)
-        return out
-
-    ranked = tagged.groupBy(*series, "__grp").applyInPandas(windows_of_block, schema)
+        picks = [np.sort(np.partition(order[a:b], n - 1)[:n] if 0 < n < b - a else order[a:b])[:n]
+                 for a, b in zip(starts, stops, strict=True)]
+        sizes = [len(x) for x in picks]
+        return pd.DataFrame({
+            "__key": pdf["__key"].iloc[0],
+            "__ord": np.concatenate(picks) if picks else np.zeros(0, "int64"),
+            "__wpane": np.repeat(ends, sizes),
+            rank_col: np.concatenate([np.arange(x) for x in sizes]) if sizes else np.zeros(0, "int64"),
+        })
+
+    picked = tagged.select("__key", "__grp", "__pidx", "__ord").groupBy("__key").applyInPandas(
+        windows_of_block, f"__key string, __ord long, __wpane long, `{rank_col}` long")
+    ranked = tagged.drop("__grp").join(picked, ["__key", "__ord"])
     # the window's end is (last pane number - this row's pane number + 1) panes after this row's pane
     end = F.col("__pane") + F.make_dt_interval(secs=(F.col("__wpane") - F.col("__pidx") + 1) * F.lit(slide_s))
     return (ranked.withColumn(WINDOW_END, end)
             .withColumn(WINDOW_START, F.col(WINDOW_END) - F.make_dt_interval(secs=F.lit(length_s)))
-            .drop("__wpane", "__pane", "__pidx"))
+            .drop("__wpane", "__pane", "__pidx", "__key", "__ord"))
 
 
 def window_threshold(

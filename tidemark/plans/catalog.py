@@ -18,7 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.schema import METRIC_COLS, OUTPUT_NAMES, daily_index_name, day_bucket
+from tidemark.functions.schema import (
+    METRIC_COLS,
+    OUTPUT_NAMES,
+    PROCESSING_TS_COL,
+    PROCESSING_TS_PATTERN,
+    daily_index_name,
+    day_bucket,
+)
 from tidemark.functions.weights import DEFAULT_WEIGHTS, band_weight_sql, denominator, ewma_k
 from tidemark.operators.models import (
     aggregate_ranked,
@@ -199,8 +206,9 @@ def _wma_multi_sql(n: int) -> str:
 PAD_SEP = ",\t "
 
 
-def _records_from_order_metrics(spark, sf, newest: int) -> DataFrame:
-    om = order_metrics(spark, sf, newest=newest)
+def _records_from_order_metrics(spark, sf) -> DataFrame:
+    """One message per order, for every order."""
+    om = order_metrics(spark, sf)
     return project_record(encode_records(om, METRIC_COLS, "create_date", "offset", sep=PAD_SEP))
 
 
@@ -237,7 +245,7 @@ SQL_METRIC_FILE_READ = rounded_sql(
 
 def q_record_wma(spark, sf):
     """Message rows -> newest 20 by offset -> decode -> banded WMA (the job's WMA path)."""
-    recs = _records_from_order_metrics(spark, sf, 20)
+    recs = _records_from_order_metrics(spark, sf)
     top = latest_n(recs, 20, "offset", rank_col="rank")
     return rounded(aggregate_ranked(decode_records(top, keep=("rank",)), "WMA", METRIC_COLS, 20, [],
                                     "rank", label_col="create_date"))
@@ -245,7 +253,7 @@ def q_record_wma(spark, sf):
 
 def q_record_ma(spark, sf):
     """Message rows -> newest 20 by offset -> decode -> MA (the job's default path)."""
-    recs = _records_from_order_metrics(spark, sf, 20)
+    recs = _records_from_order_metrics(spark, sf)
     top = latest_n(recs, 20, "offset", rank_col="rank")
     return rounded(aggregate_ranked(decode_records(top, keep=("rank",)), "MA", METRIC_COLS, 20, [],
                                     "rank", label_col="create_date"))
@@ -432,10 +440,11 @@ def _window_model(model: str, length_s: int, slide_s: int, n: int, series: list[
     return build
 
 
-def _window_model_sql(model: str, length_s: int, slide_s: int, n: int, series: list[str]) -> str:
+def _window_model_sql(model: str, length_s: int, slide_s: int, n: int, series: list[str],
+                      order: str = "event_id DESC") -> str:
     keys = "".join(f"{c}, " for c in series)
     exp = _win_expand_sql(length_s, slide_s, f"{keys}event_id, value, ts")
-    ranked = (f"SELECT *, row_number() OVER (PARTITION BY {keys}window_start ORDER BY event_id DESC) - 1 AS rk "
+    ranked = (f"SELECT *, row_number() OVER (PARTITION BY {keys}window_start ORDER BY {order}) - 1 AS rk "
               f"FROM ({exp}) e QUALIFY rk < {n}")
     if model == "MA":
         val = "avg(value)"
@@ -482,6 +491,56 @@ FROM (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ev
 GROUP BY user_id, block"""
 
 
+def q_chunk_blocks_null_series(spark, sf):
+    """Blocks of a series column that holds nulls: they are one more series."""
+    ev = _events(spark, sf).select(F.nullif(F.col("user_id") % 5, F.lit(0)).alias("grp"), "event_id", "value")
+    out = chunk_blocks(row_positions(ev, "event_id", "grp", "pos"), ["value"], "pos", 64, "grp")
+    return out.select("grp", "block", "n_rows", F.transform("value", lambda x: round_half_up(x)).alias("value"))
+
+
+SQL_CHUNK_BLOCKS_NULL_SERIES = """
+SELECT grp, block, count(*) AS n_rows, list(""" + round_half_up_sql("value") + """ ORDER BY pos) AS value
+FROM (SELECT grp, value, row_number() OVER (PARTITION BY grp ORDER BY event_id) - 1 AS pos,
+             (row_number() OVER (PARTITION BY grp ORDER BY event_id) - 1) // 64 AS block
+      FROM (SELECT *, NULLIF(user_id % 5, 0) AS grp FROM events) e) p
+GROUP BY grp, block"""
+
+
+def q_latest_n_per_series_large(spark, sf):
+    ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type", "value")
+    return rounded(latest_n(ev, 1500, "event_id", "event_type"))
+
+
+SQL_LATEST_N_PER_SERIES_LARGE = rounded_sql(f"""
+SELECT {EV_COLS}, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) - 1 AS rank
+FROM events QUALIFY rank < 1500""", ["value"])
+
+
+def q_wma_label_zone(spark, sf):
+    """Labels of mixed zones: the same instants, written as UTC or nine hours ahead."""
+    text = F.when(F.col("event_id") % 2 == 0, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
+    ahead = F.col("ts") + F.expr("INTERVAL 9 HOURS")
+    text = text.otherwise(F.concat(F.date_format(ahead, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+09:00")))
+    ev = _events(spark, sf).select("user_id", "event_id", "value", text.alias("label"))
+    return rounded(weighted_moving_average(ev, ["value"], "event_id", 20, "user_id", label_col="label"))
+
+
+def q_processing_stamp(spark, sf):
+    """Thresholds with their run stamp: how many, and how many stamps parse and lie within the run."""
+    ev = _events(spark, sf)
+    out = moving_average(ev, ["value"], "event_id", 20, "user_id", processing_stamp=True)
+    at = F.try_to_timestamp(F.col(PROCESSING_TS_COL), F.lit(PROCESSING_TS_PATTERN))
+    now = F.current_timestamp()
+    good = (at >= now - F.expr("INTERVAL 1 HOUR")) & (at <= now + F.expr("INTERVAL 1 SECOND"))
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(good.cast("long")).alias("n_stamped"))
+
+
+def q_window_latest_n_ts_order(spark, sf):
+    """The default window settings, newest by two columns (time, then id)."""
+    ev = _events(spark, sf)
+    return rounded(window_threshold(ev, "MA", "ts", 6000, 60, ["value"], ["ts", "event_id"], 100, label_col="ts"))
+
+
 def q_business_day_index(spark, sf):
     starts = _events(spark, sf).groupBy("event_type").agg(F.min("ts").alias("start"))
     return business_day_index(starts, "start", 5, 2).select("event_type", "period", "day")
@@ -540,6 +599,13 @@ QUERIES: list[Query] = [
        _window_model_sql("WMA", 6000, 60, 100, [])),
     _q("transpose", ["R2"], q_transpose, _transpose_sql()),
     _q("chunk_blocks", ["R3"], q_chunk_blocks, SQL_CHUNK_BLOCKS),
+    _q("chunk_blocks_null_series", ["R3"], q_chunk_blocks_null_series, SQL_CHUNK_BLOCKS_NULL_SERIES),
+    _q("latest_n_per_series_large", ["T2", "T3"], q_latest_n_per_series_large, SQL_LATEST_N_PER_SERIES_LARGE),
+    _q("wma_label_zone", ["A2", "A6", "E3"], q_wma_label_zone, _wma_sql_per_user(20)),
+    _q("processing_stamp", ["E2"], q_processing_stamp,
+       "SELECT count(DISTINCT user_id) AS n_rows, count(DISTINCT user_id) AS n_stamped FROM events"),
+    _q("window_latest_n_ts_order", ["W2", "W5", "A1"], q_window_latest_n_ts_order,
+       _window_model_sql("MA", 6000, 60, 100, [], "ts DESC, event_id DESC")),
     _q("business_day_index", ["R4"], q_business_day_index, SQL_BUSINESS_DAY_INDEX),
 ]
 

@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # latest-N keeps its per-task limit up to this many rows per series
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 
@@ -36,12 +38,15 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) a folder is created and registered.
+    On a cluster the setting must point at shared storage and is used as is.
+    Only a local master may leave it unset: a folder is then created and
+    registered.  Elsewhere executors could not see a local folder, so it raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to storage that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -11,7 +11,7 @@ are tested on file sources.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,26 +28,42 @@ def tail_start_offset(end_offset: int, tail_n: int, log_start: int = 0) -> int:
 def kafka_options(
     brokers: str,
     topic: str,
-    partition: int = 0,
-    start_offset: int | None = None,
+    partition: int | Sequence[int] | None = 0,
+    start_offset: int | Mapping[int, int] | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """Options reading one assigned partition from ``start_offset`` (``latest`` if None)."""
-    opts = {
-        "kafka.bootstrap.servers": brokers,
-        "assign": json.dumps({topic: [partition]}),
-        "startingOffsets": "latest" if start_offset is None
-        else json.dumps({topic: {str(partition): int(start_offset)}}),
-        "failOnDataLoss": "false",
-        "includeHeaders": "false",
-    }
+    """Reader options for one partition, several, or all of a topic (``partition=None``).
+
+    ``start_offset`` is an offset for the one partition, or a mapping from
+    partition to offset; partitions without one start at ``latest``.  Expired
+    offsets fail the query (Spark's default): an incomplete result is not silent.
+    """
+    opts = {"kafka.bootstrap.servers": brokers, "includeHeaders": "false"}
+    if partition is None:
+        opts["subscribe"] = topic
+        known = dict(start_offset or {})
+    else:
+        assigned = [partition] if isinstance(partition, int) else list(partition)
+        opts["assign"] = json.dumps({topic: assigned})
+        if isinstance(start_offset, int):
+            if len(assigned) != 1:
+                raise ValueError("one start offset needs one partition; give a mapping")
+            start_offset = {assigned[0]: start_offset}
+        # in a JSON of offsets, -1 is latest
+        known = {p: (start_offset or {}).get(p, -1) for p in assigned} if start_offset else {}
+    opts["startingOffsets"] = json.dumps({topic: {str(p): int(o) for p, o in known.items()}}) if known else "latest"
     if extra:
         opts.update(extra)
     return opts
 
 
+#: Newest message first when several partitions are read: offsets only order one partition.
+MESSAGE_ORDER = ("timestamp", "partition", "offset")
+
+
 def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """Streaming ``(key, value, offset, timestamp)`` rows from Kafka (needs the
-    Kafka connector); ``timestamp`` is the message time, i.e. arrival time."""
+    """Streaming ``(key, value, offset, timestamp, partition)`` rows from Kafka (needs the
+    Kafka connector); ``timestamp`` is the message time, i.e. arrival time.  With
+    several partitions, order rows by :data:`MESSAGE_ORDER`."""
     raw = spark.readStream.format("kafka").options(**options).load()
-    return project_record(raw, extra=("timestamp",))
+    return project_record(raw, extra=("timestamp", "partition"))

@@ -185,10 +185,10 @@ def start_dynamic_threshold_job(
     model: str = "MA",
     n: int = 100,
     slide_minutes: int = 1,
-    weights: str | Sequence[float] = "0.1,0.2,0.3,0.4",
+    weights: str | Sequence[float] = DEFAULT_WEIGHTS,
     metrics: Sequence[str] | None = None,
     time_col: str | None = "timestamp",
-    delay_s: int = 3600,
+    delay_s: int | None = None,
     trigger_seconds: int = 60,
     available_now: bool = False,
     daily_time_col: str | None = None,
@@ -209,7 +209,8 @@ def start_dynamic_threshold_job(
 
     ``time_col`` is the Kafka message time by default; ``None`` windows by
     arrival at the job (the micro-batch's processing time), like the
-    original arrival-time windows.  ``emit="closed"`` (default) writes one
+    original arrival-time windows.  ``delay_s`` defaults to an hour of
+    lateness, and to none for arrival time, which can't be late.  ``emit="closed"`` (default) writes one
     result per window when the watermark passes its end: one result per
     slide, as the original job prints one per batch.  ``"update"`` rewrites
     every window that received rows.  ``series_cols`` (e.g. a host column)
@@ -237,6 +238,8 @@ def start_dynamic_threshold_job(
     if time_col is None:
         records = records.withColumn("__arrival", F.current_timestamp())
         time_col = "__arrival"
+        delay_s = 0 if delay_s is None else delay_s
+    delay_s = 3600 if delay_s is None else delay_s
     length_s, slide_s = n * 60, slide_minutes * 60
     proc = WindowedLatestNProcessor(records.schema, f"{checkpoint.rstrip('/')}/state", out_path, time_col,
                                     length_s, slide_s, metrics, "offset", n, list(series_cols), name, w,

@@ -116,8 +116,10 @@ def start_keyed_latest_n_stream(
         out = dict(zip(series, ([k] for k in key)))
         for m, o in zip(metrics, out_names):
             x = rows[m].to_numpy(dtype=float)
-            if is_ma:
-                val = float(np.nanmean(x)) if len(x) else None
+            if np.isnan(x).all():  # no value at all: null, as in the batch models
+                val = None
+            elif is_ma:
+                val = float(np.nanmean(x))
             else:
                 val = None if d == 0 else float(np.nansum(x * rank_weights[:len(x)]) / d)
             out[o] = [val]

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.weights import DEFAULT_WEIGHTS
 from tidemark.operators.models import aggregate_ranked
-from tidemark.operators.recent import _as_list, latest_n, recency_rank
+from tidemark.operators.recent import _as_list, latest_n, recency_rank, semi_join
 from tidemark.operators.windows import (
     BLOCKED_MIN_WINDOWS_PER_PANE,
     WINDOW_END,
@@ -74,19 +74,24 @@ class LatestNProcessor:
         self.sink_path = sink_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         new = batch.select(*self.cols).persist()
+        try:
+            self._process(new, batch_id)
+        finally:
+            new.unpersist()
+
+    def _process(self, new: DataFrame, batch_id: int) -> None:
+        spark = new.sparkSession
         prev = self.state.read(spark, batch_id)
         merged = latest_n(prev.unionByName(new), self.n, self.order, self.series, rank_col=None)
         current = self.state.write(merged, batch_id)
         if self.series:
             touched = new.select(*self.series).distinct()
-            current = current.join(touched, self.series, "left_semi")
+            current = semi_join(current, touched, self.series)
         ranked = recency_rank(current, self.order, self.series, "__rank")
         out = aggregate_ranked(ranked, self.model, self.metrics, self.n, self.series, "__rank",
                                self.weights, self.label_col, self.rename)
         self.writer(out, self.sink_path, batch_id)
-        new.unpersist()
 
 
 class WindowedLatestNProcessor:
@@ -133,8 +138,7 @@ class WindowedLatestNProcessor:
                               + [T.StructField("__pane", self.time_type, True)])
         self.state = VersionedState(state_path, schema)
         self.sink_path = sink_path
-        self._blocked = (self.pane_s == slide_s and len(self.order) == 1
-                         and length_s // slide_s >= BLOCKED_MIN_WINDOWS_PER_PANE)
+        self._blocked = self.pane_s == slide_s and length_s // slide_s >= BLOCKED_MIN_WINDOWS_PER_PANE
 
     def _last_window_end(self, pane: str = "__pane"):
         """End of the latest window that contains the pane."""
@@ -177,8 +181,14 @@ class WindowedLatestNProcessor:
                 .drop("__pane", "__s_lo", "__s_hi"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         new = pane_of(batch.select(*self.cols), self.time_col, self.length_s, self.slide_s).persist()
+        try:
+            self._process(new, batch_id)
+        finally:
+            new.unpersist()
+
+    def _process(self, new: DataFrame, batch_id: int) -> None:
+        spark = new.sparkSession
         prev = self.state.read(spark, batch_id)
         wm = self._watermark(prev)
         if wm is not None:
@@ -194,28 +204,30 @@ class WindowedLatestNProcessor:
             hi = self._watermark_text(current)
             if hi is None or (emitted_to is not None and hi <= emitted_to):
                 self.state.write_value(spark, emitted_to, batch_id)
-                new.unpersist()
                 return
             rows = self._closing_windows(current, emitted_to, hi)
         else:
             touched_panes = new.select(*self.series, "__pane").distinct()
             touched = expand_panes(touched_panes, self.length_s, self.slide_s).distinct()
+            if wm is not None:
+                # a late row can lie in an open pane that closed windows share: those stay as they were written
+                touched = touched.filter(F.col(WINDOW_END) > wm)
             # only panes that share a window with a touched pane (closer than the
             # window length) can matter: expand those, not the whole state
             span = F.make_dt_interval(secs=F.lit(self.length_s - self.pane_s))
             step = F.make_dt_interval(secs=F.lit(self.pane_s))
             near = touched_panes.select(*self.series, F.explode(F.sequence(
                 F.col("__pane") - span, F.col("__pane") + span, step)).alias("__pane")).distinct()
-            relevant = current.join(near, [*self.series, "__pane"], "left_semi")
+            relevant = semi_join(current, near, [*self.series, "__pane"])
             if self._blocked:
                 # many windows per pane: rank every window of the relevant panes with
                 # the blocked method (rows copied at most twice), keep the touched ones
                 ranked = _window_latest_n_blocked(relevant, self.time_col, self.length_s, self.slide_s,
-                                                  self.n, self.order[0], self.series, "__rank")
+                                                  self.n, self.order, self.series, "__rank")
                 rows = None
-                ranked = ranked.join(touched, keys, "left_semi")
+                ranked = semi_join(ranked, touched, keys)
             else:
-                rows = expand_panes(relevant, self.length_s, self.slide_s).join(touched, keys, "left_semi")
+                rows = semi_join(expand_panes(relevant, self.length_s, self.slide_s), touched, keys)
         if rows is not None:
             ranked = latest_n(rows, self.n, self.order, keys, rank_col="__rank")
         if self.prepare is not None:
@@ -225,4 +237,3 @@ class WindowedLatestNProcessor:
         self.writer(out, self.sink_path, batch_id)
         if self.emit == "closed":
             self.state.write_value(spark, hi, batch_id)
-        new.unpersist()

@@ -22,6 +22,7 @@ from tidemark.plans.catalog import (
     Query,
     _window_model_sql,
     rounded,
+    rounded_sql,
 )
 from tidemark.session import scratch_path
 from tidemark.sources.tables import table
@@ -145,6 +146,67 @@ def q_stream_keyed_wma(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(read_latest(spark, f"{root}/out", ["user_id"]))
 
 
+def q_stream_latest_n_null_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest-N thresholds of a series column that holds nulls."""
+    root, src = _stream(spark, sf, "stream_latest_n_null_series")
+    src = src.withColumn("grp", F.nullif(F.col("user_id") % 5, F.lit(0)))
+    q = start_threshold_stream(src, "MA", ["value"], "event_id", 20, f"{root}/out", f"{root}/ckpt",
+                               ["grp"], label_col="ts", available_now=True)
+    q.awaitTermination()
+    return rounded(read_latest(spark, f"{root}/out", ["grp"]))
+
+
+SQL_STREAM_LATEST_N_NULL_SERIES = rounded_sql("""
+SELECT grp, avg(value) AS dt_value, max(ts) AS create_date
+FROM (SELECT *, NULLIF(user_id % 5, 0) AS grp FROM events
+      QUALIFY row_number() OVER (PARTITION BY NULLIF(user_id % 5, 0) ORDER BY event_id DESC) <= 20) t
+GROUP BY grp""", ["dt_value"])
+
+
+def q_stream_keyed_wma_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Keyed WMA of a metric that is null for two thirds of the users."""
+    root, src = _stream(spark, sf, "stream_keyed_wma_nulls")
+    src = src.withColumn("value", F.when(F.col("user_id") % 3 == 0, F.col("value")))
+    q = start_keyed_latest_n_stream(src, "WMA", ["value"], "event_id", 20, ["user_id"], f"{root}/out",
+                                    f"{root}/ckpt", label_col="ts", available_now=True)
+    q.awaitTermination()
+    return rounded(read_latest(spark, f"{root}/out", ["user_id"]))
+
+
+SQL_STREAM_KEYED_WMA_NULLS = _wma_sql_per_user(20).replace(
+    "sum(value ", "sum(CASE WHEN user_id % 3 = 0 THEN value END ")
+
+
+CLOSED_DELAY_S = 6 * 3600
+
+
+def q_stream_record_job_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """The job's default emission: every window once, when the watermark has passed its end."""
+    root = scratch_path(spark, "stream_record_job_closed")
+    ev = table(spark, sf, "events")
+    recs = ev.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("key"),
+                     F.col("value").cast("string").alias("value"),
+                     F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
+    # one file per micro-batch, written (and so read) in time order
+    first, last = recs.agg(F.min("timestamp"), F.max("timestamp")).first()
+    step = (last - first) / N_FILES
+    for i in range(N_FILES):
+        part = recs.where(F.col("timestamp") >= F.lit(first + i * step).cast("timestamp_ntz"))
+        if i + 1 < N_FILES:
+            part = part.where(F.col("timestamp") < F.lit(first + (i + 1) * step).cast("timestamp_ntz"))
+        part.coalesce(1).write.mode("append").parquet(f"{root}/input")
+    src = file_stream(spark, f"{root}/input", recs.schema, max_files_per_trigger=1)
+    q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ckpt", model="WMA", n=20, slide_minutes=1,
+                                    metrics=["value"], delay_s=CLOSED_DELAY_S, available_now=True,
+                                    daily_time_col="window_end", processing_stamp=False)
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/out").drop("batch_id"))
+
+
+SQL_STREAM_RECORD_JOB_CLOSED = (
+    f"SELECT * FROM ({SQL_STREAM_RECORD_JOB}) j WHERE window_end <= (SELECT date_trunc('minute', max(ts)) "
+    f"+ INTERVAL '{60 - CLOSED_DELAY_S} seconds' FROM events)")
+
 SQL_STREAM_DAILY_SINK = (
     "SELECT *, 'poc_os_metric_dt_' || strftime(create_date, '%Y_%m_%d') AS index_name "
     f"FROM ({SQL_MA_PER_SERIES}) m")
@@ -159,4 +221,9 @@ STREAM_QUERIES: list[Query] = [
     Query("stream_keyed_wma", ("W3", "W4", "T2", "T3", "A2"), q_stream_keyed_wma, _wma_sql_per_user(20)),
     Query("stream_record_job", ("S3", "S4", "S5", "W1", "W2", "W5", "T1", "T3", "A2", "E3", "K1", "M7"),
           q_stream_record_job, SQL_STREAM_RECORD_JOB),
+    Query("stream_record_job_closed", ("S3", "S4", "S5", "W1", "W2", "W3", "W4", "W5", "A2", "K1"),
+          q_stream_record_job_closed, SQL_STREAM_RECORD_JOB_CLOSED),
+    Query("stream_latest_n_null_series", ("W3", "W4", "T2", "A1"), q_stream_latest_n_null_series,
+          SQL_STREAM_LATEST_N_NULL_SERIES),
+    Query("stream_keyed_wma_nulls", ("W3", "W4", "T2", "A2"), q_stream_keyed_wma_nulls, SQL_STREAM_KEYED_WMA_NULLS),
 ]

@@ -20,8 +20,12 @@ BATCH_COL = "batch_id"
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = ()) -> None:
-    """Write one micro-batch's rows to ``<path>/batch_id=<batch_id>`` (replay-safe)."""
-    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+    """Write one micro-batch's rows to ``<path>/batch_id=<batch_id>`` (replay-safe).
+
+    The folder is replaced as a whole, whatever the session's overwrite mode:
+    a replay may write other partitions (another day) than the first attempt.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
 
 
 def daily_partitions(df: DataFrame, time_col: str | None = None,
