@@ -53,6 +53,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     holders = spread.select("h1", "h2", "doc").distinct()
     common = (holders.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("holders"), F.max("doc").alias("last"))
               .where(F.col("holders") >= min_docs).select("h1", "h2", "last"))
+    common = staged(common, "line-common")  # a plain table, so that a common line's rows are split in the join
     dropped = (rows.join(common, ["h1", "h2"]).where(~F.col("doc").eqNullSafe(F.col("last")))
                .groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("gone")))
     return dropped.select(F.col("doc").alias(id_col), "text_hash", "gone")
