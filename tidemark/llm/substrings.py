@@ -290,7 +290,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
     cells = staged(cell_table(rows.where(F.octet_length("text") >= length), length, gram), "substring-cells")
-    shared = cells.groupBy("f").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("f")
+    # Staged, so that the join is between plain tables and a common fingerprint's cells are split over tasks.
+    shared = staged(cells.groupBy("f").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("f"),
+                    "substring-fingerprints")
     cells = staged(cells.join(shared, "f", "left_semi"), "substring-shared")
     release(spark)
     kinds = staged(cells.groupBy("f", "c", "windows").agg(
