@@ -1,6 +1,7 @@
 """Stream = batch, replay safety and bounded state of the streaming processors."""
 
 import glob
+import json
 import os
 import time
 
@@ -24,6 +25,41 @@ from tidemark.streaming.sinks import read_latest
 from tidemark.operators.windows import window_count
 
 
+def committed(spark, path, batch_id):
+    """The manifest that batch ``batch_id`` committed."""
+    return json.loads(spark.read.text(f"{path}_meta/slot={batch_id % 2}", wholetext=True).first()[0])
+
+
+def stored(spark, path, batch_id):
+    """All state rows as of batch ``batch_id``."""
+    out = None
+    for bucket, batch in committed(spark, path, batch_id)["buckets"].items():
+        rows = spark.read.parquet(f"{path}/batch={batch}").where(f"__bucket = {bucket}").drop("__bucket")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, scratch):
+    root = scratch("buckets")
+    schema = "s int, id long, v double"
+    proc = LatestNProcessor(spark.createDataFrame([], schema).schema, f"{root}/state", f"{root}/out", ["v"], "id", 3,
+                            ["s"])
+    proc(spark.createDataFrame([(s, i, 1.0) for s in range(60) for i in range(5)], schema), 0)
+    before = committed(spark, f"{root}/state", 0)["buckets"]
+    proc(spark.createDataFrame([(7, 99, 2.0)], schema), 1)
+    after = committed(spark, f"{root}/state", 1)["buckets"]
+    assert len(before) > 8 and set(before.values()) == {0}
+    assert sorted(after.values()) == [0] * (len(before) - 1) + [1]
+    rewritten = spark.read.parquet(f"{root}/state/batch=1")
+    assert rewritten.select("__bucket").distinct().count() == 1
+    rows = stored(spark, f"{root}/state", 1)
+    assert rows.count() == 180 and rows.where("s = 7 AND id = 99").count() == 1
+    for b in range(2, 5):  # folders that no bucket needs any more are deleted
+        proc(spark.createDataFrame([(s, 100 + b, 1.0) for s in range(60)], schema), b)
+    names = {r[0] for r in spark.read.parquet(f"{root}/state").select("batch").distinct().collect()}
+    assert names == {3, 4}
+
+
 def split_in_time_order(spark, path, n_files=6):
     """Events in n time-range files whose modification times follow time order."""
     ev = table(spark, SF_SMALL, "events")
@@ -55,7 +91,7 @@ def test_windowed_stream_equals_batch_with_watermark(spark, scratch):
     cols = ["event_type", "window_start", "window_end", "n_rows", "dt_value", "create_date"]
     assert rows(got, cols) == rows(want, cols)
     # bounded state: panes older than the watermark were evicted
-    last = spark.read.parquet(f"{root}/ck/state/slot={q.lastProgress['batchId'] % 2}")
+    last = stored(spark, f"{root}/ck/state", q.lastProgress["batchId"])
     assert last.count() < ev.count()
     assert last.groupBy("event_type", "__pane").count().agg(F.max("count")).first()[0] <= 8
 
@@ -83,7 +119,7 @@ def test_replayed_batch_is_idempotent(spark, scratch):
     first = sorted(spark.read.parquet(f"{root}/out").collect())
     proc(halves[1], 1)            # replay after a failure before the commit
     assert sorted(spark.read.parquet(f"{root}/out").collect()) == first
-    state = spark.read.parquet(f"{root}/state/slot=1")
+    state = stored(spark, f"{root}/state", 1)
     assert state.count() == 25     # 5 rows x 5 event types
 
 
@@ -260,7 +296,7 @@ def test_closed_windows_emitted_once_and_equal_batch(spark, scratch):
                                label_col="ts", available_now=True, emit="closed")
     q.awaitTermination()
     last = q.lastProgress["batchId"]
-    emitted_to = spark.read.parquet(f"{root}/ck/state_meta/slot={last % 2}").first()[0]
+    emitted_to = committed(spark, f"{root}/ck/state", last)["emitted_to"]
     out = spark.read.parquet(f"{root}/out")
     keys = ["event_type", "window_start", "window_end"]
     assert out.groupBy(*keys).count().filter("count > 1").count() == 0      # each window once
@@ -282,10 +318,10 @@ def test_closed_mode_replay_is_idempotent(spark, scratch):
     proc(parts[0], 0)
     proc(parts[1], 1)
     first = sorted(spark.read.parquet(f"{root}/out").collect())
-    marker = spark.read.parquet(f"{root}/state_meta/slot=1").first()[0]
+    marker = committed(spark, f"{root}/state", 1)
     proc(parts[1], 1)                       # replay of batch 1
     assert sorted(spark.read.parquet(f"{root}/out").collect()) == first
-    assert spark.read.parquet(f"{root}/state_meta/slot=1").first()[0] == marker
+    assert committed(spark, f"{root}/state", 1) == marker
 
 
 def test_processing_time_trigger_runs_until_stopped(spark, scratch):

@@ -70,7 +70,7 @@ class LatestNProcessor:
         self.weights, self.label_col, self.rename = weights, label_col, rename
         self.cols = _columns(self.series, self.order, self.metrics, label_col)
         schema = T.StructType([input_schema[c] for c in self.cols])
-        self.state = VersionedState(state_path, schema)
+        self.state = VersionedState(state_path, schema, self.series)
         self.sink_path = sink_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -82,9 +82,12 @@ class LatestNProcessor:
 
     def _process(self, new: DataFrame, batch_id: int) -> None:
         spark = new.sparkSession
-        prev = self.state.read(spark, batch_id)
+        manifest = self.state.manifest(spark, batch_id)
+        buckets = self.state.touched(new)
+        prev = self.state.read(spark, manifest, buckets)
         merged = latest_n(prev.unionByName(new), self.n, self.order, self.series, rank_col=None)
-        current = self.state.write(merged, batch_id)
+        manifest = self.state.write(merged, batch_id, manifest, buckets)
+        current = self.state.read(spark, manifest, buckets)
         if self.series:
             touched = new.select(*self.series).distinct()
             current = semi_join(current, touched, self.series)
@@ -92,6 +95,7 @@ class LatestNProcessor:
         out = aggregate_ranked(ranked, self.model, self.metrics, self.n, self.series, "__rank",
                                self.weights, self.label_col, self.rename)
         self.writer(out, self.sink_path, batch_id)
+        self.state.commit(spark, batch_id, manifest)
 
 
 class WindowedLatestNProcessor:
@@ -136,7 +140,7 @@ class WindowedLatestNProcessor:
         self.time_type = input_schema[time_col].dataType
         schema = T.StructType([input_schema[c] for c in self.cols]
                               + [T.StructField("__pane", self.time_type, True)])
-        self.state = VersionedState(state_path, schema)
+        self.state = VersionedState(state_path, schema, [*self.series, "__pane"])
         self.sink_path = sink_path
         self._blocked = self.pane_s == slide_s and length_s // slide_s >= BLOCKED_MIN_WINDOWS_PER_PANE
 
@@ -145,19 +149,15 @@ class WindowedLatestNProcessor:
         start = F.window(pane, f"{self.slide_s} seconds").start
         return start + F.make_dt_interval(secs=F.lit(self.length_s))
 
-    def _watermark_text(self, state: DataFrame) -> str | None:
-        """Watermark as text: end of the newest pane in ``state`` minus the lateness."""
+    def _watermark_text(self, new: DataFrame, before: str | None) -> str | None:
+        """Watermark as text: end of the newest pane seen (in ``new`` or before) minus the lateness."""
         wm = F.max("__pane") + F.make_dt_interval(secs=F.lit(self.pane_s - self.delay_s))
-        row = state.agg(F.date_format(wm, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")).first()
-        return None if row is None else row["m"]
+        text = new.agg(F.date_format(wm, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")).first()["m"]
+        return max(filter(None, (text, before)), default=None)
 
     def _ts(self, text: str):
         return F.lit(text).cast(self.time_type)
 
-    def _watermark(self, prev: DataFrame):
-        text = self._watermark_text(prev)
-        return None if text is None else self._ts(text)
-
     def _floor(self, c):
         return F.window(c, f"{self.slide_s} seconds").start
 
@@ -189,21 +189,24 @@ class WindowedLatestNProcessor:
 
     def _process(self, new: DataFrame, batch_id: int) -> None:
         spark = new.sparkSession
-        prev = self.state.read(spark, batch_id)
-        wm = self._watermark(prev)
-        if wm is not None:
-            open_pane = self._last_window_end() > wm
-            new = new.filter(open_pane)
-            prev = prev.filter(open_pane)
+        manifest = self.state.manifest(spark, batch_id)
+        passed = manifest.get("watermark")
+        wm = None if passed is None else self._ts(passed)
+        open_pane = F.lit(True) if wm is None else self._last_window_end() > wm
+        new = new.filter(open_pane)
+        # only the buckets of panes that got rows are merged and rewritten; closed panes go when theirs is
+        buckets = self.state.touched(new)
+        prev = self.state.read(spark, manifest, buckets).filter(open_pane)
         merged = latest_n(prev.unionByName(new), self.n, self.order, [*self.series, "__pane"], rank_col=None)
-        current = self.state.write(merged, batch_id)
+        manifest = self.state.write(merged, batch_id, manifest, buckets)
+        manifest["watermark"] = hi = self._watermark_text(new, passed)
+        current = self.state.read(spark, manifest).filter(open_pane)
 
         keys = [*self.series, WINDOW_START, WINDOW_END]
         if self.emit == "closed":
-            emitted_to = self.state.read_value(spark, batch_id)
-            hi = self._watermark_text(current)
+            emitted_to = manifest.get("emitted_to")
             if hi is None or (emitted_to is not None and hi <= emitted_to):
-                self.state.write_value(spark, emitted_to, batch_id)
+                self.state.commit(spark, batch_id, manifest)
                 return
             rows = self._closing_windows(current, emitted_to, hi)
         else:
@@ -236,4 +239,5 @@ class WindowedLatestNProcessor:
                                 self.weights, self.label_col, self.rename)
         self.writer(out, self.sink_path, batch_id)
         if self.emit == "closed":
-            self.state.write_value(spark, hi, batch_id)
+            manifest["emitted_to"] = hi
+        self.state.commit(spark, batch_id, manifest)
