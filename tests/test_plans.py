@@ -1,5 +1,7 @@
 """Regression guards on the physical plans of the registered queries (see PLANS.md)."""
 
+import re
+
 import pytest
 
 from tests.conftest import SF_SMALL
@@ -62,3 +64,13 @@ def test_no_row_at_a_time_python_anywhere(spark):
 def test_sliding_windows_aggregate_panes_first(spark, name):
     plan = plan_of(spark, name)
     assert "Expand" not in plan.split("Exchange")[-1]   # no raw-row expansion below the first shuffle
+
+
+def test_decoding_is_generated_code(spark):
+    plan = BY_NAME["decode_vector"].build(spark, SF_SMALL)._jdf.queryExecution().toString()
+    assert "transform(" not in plan and "exists(" not in plan
+    physical = BY_NAME["decode_vector"].build(spark, SF_SMALL)
+    physical.collect()
+    lines = physical._jdf.queryExecution().executedPlan().toString().splitlines()
+    steps = [x for x in lines if re.search(r"\b(Project|Filter) [\[(]", x)]
+    assert steps and all("*(" in x for x in steps)

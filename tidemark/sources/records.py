@@ -55,26 +55,32 @@ def decode_records(
 
     ``on_error="fail"`` (default) stops the job on a non-number, a wrong
     number of fields, a null value or a null key, as the streaming job does;
-    ``"null"`` yields nulls for bad or missing numbers instead.  The value is
-    parsed once per row (an array column), then split into metric columns.
+    ``"null"`` yields nulls for bad or missing numbers instead.  Fields are
+    taken from one split by position, so decoding stays in generated code; the
+    checks are one filter, which holds whatever columns are read later.
     """
     if on_error not in ("fail", "null"):
         raise ValueError("on_error must be 'fail' or 'null'")
-    k = len(metrics)
-    staged = df.select("key", decode_vector("value", "null").alias("__vec"), "value", *keep)
-    vec, key, value = F.col("__vec"), F.col("key"), F.col("value")
+    parts = F.split("value", ",")
+    fields = [F.trim(F.get(parts, F.lit(i))).try_cast("double") for i in range(len(metrics))]
     if on_error == "fail":
-        key = F.when(key.isNull(), F.raise_error(F.lit("metric record has a null key"))).otherwise(key)
-        vec = (F.when(value.isNull(), F.raise_error(F.lit("metric record has a null value")))
-               .when(F.size(vec) != F.lit(k),
-                     F.raise_error(F.concat(F.lit(f"metric record needs {k} fields, got "),
-                                            F.size(vec).cast("string"))))
-               .when(F.exists(vec, lambda x: x.isNull()),
-                     F.raise_error(F.concat(F.lit("metric record has a field that is not a number: "),
-                                            value)))
-               .otherwise(vec))
-    items = [F.try_element_at(vec, F.lit(i + 1)).alias(m) for i, m in enumerate(metrics)]
-    return staged.select(key.alias(label), *items, *keep)
+        df = df.where(_checked(parts, fields))
+    return df.select(F.col("key").alias(label), *[x.alias(m) for x, m in zip(fields, metrics, strict=True)], *keep)
+
+
+def _checked(parts: Column, fields: Sequence[Column]) -> Column:
+    """True for a well-formed record; otherwise the query fails with what is wrong."""
+    missing = F.lit(False)
+    for x in fields:
+        missing = missing | x.isNull()
+    return (F.when(F.col("key").isNull(), F.raise_error(F.lit("metric record has a null key")))
+            .when(F.col("value").isNull(), F.raise_error(F.lit("metric record has a null value")))
+            .when(F.size(parts) != F.lit(len(fields)),
+                  F.raise_error(F.concat(F.lit(f"metric record needs {len(fields)} fields, got "),
+                                         F.size(parts).cast("string"))))
+            .when(missing, F.raise_error(F.concat(F.lit("metric record has a field that is not a number: "),
+                                                  F.col("value"))))
+            .otherwise(F.lit(True)).cast("boolean"))
 
 
 def encode_records(df: DataFrame, metrics: Sequence[str], key: Column | str,
