@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import small_or_plain, staged
 
 #: Rows per range of a distributed running sum, on average.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 4_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -108,7 +108,8 @@ def mix_sources(docs: DataFrame, sizes: Column, weights: DataFrame | None = None
              .groupBy("id", "source", "size", "row").agg(F.count(F.lit(1)).alias("n"))
              .withColumn("key", F.xxhash64(F.lit(seed), "id", "row")).withColumn("load", F.col("size") * F.col("n")))
     queue = staged(queue, "mix-queue")
-    sources = queue.groupBy("source").agg(F.sum("load").alias("source_size"))
+    sources = queue.groupBy("source").agg(F.sum("load").alias("source_size"),
+                                          F.ceil(F.count(F.lit(1)) / range_rows).alias("ranges"))
     total, rows = queue.agg(F.sum("load"), F.count(F.lit(1))).first()
     budget = float(total or 0) if budget is None else float(budget)
     weights = default_weights(sources) if weights is None else weights
@@ -116,15 +117,15 @@ def mix_sources(docs: DataFrame, sizes: Column, weights: DataFrame | None = None
     sources = (sources.join(weights, F.col("source").eqNullSafe(F.col("_w_source")), "left").drop("_w_source")
                .fillna(0.0, ["weight"]))
     sources = staged(targets(staged(sources, "mix-sources"), budget, max_repeats), "mix-targets").select(
-        F.col("source").alias("_s"), "source_size", "target")
+        F.col("source").alias("_s"), "source_size", "target", "ranges")
     known = small_or_plain(sources)
 
-    # Queue positions: ranges of the 64-bit key, as many as rows ask for.
-    n_ranges = max(1, -(-rows // range_rows))
-    cell = F.floor(F.col("key") / F.lit(2.0**64 / n_ranges))
-    queue = running_sum(queue, "load", ["source"], cell, ["key", "id", "row"], "upto", "mix-source-sums")
+    # Queue positions: ranges of the 64-bit key, as many as the source's rows ask for.
     queue = queue.join(known, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    cell = F.floor(F.col("key") / (F.lit(2.0**64) / F.col("ranges")))
+    queue = running_sum(queue, "load", ["source"], cell, ["key", "id", "row"], "upto", "mix-source-sums")
 
+    n_ranges = max(1, -(-rows // range_rows))
     # Copies with their virtual finish times; a whole round of a source takes source_size / target.
     turn = F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("turn")
     finish = (F.col("turn") * F.col("source_size") + F.col("upto")) / F.col("target")
