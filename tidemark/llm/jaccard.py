@@ -36,8 +36,8 @@ from tidemark.llm.graph import components
 WORDS, PERCENT = 5, 75
 #: Text bytes per hash range and tokens per exchanged window.
 RANGE_BYTES, WINDOW_TOKENS = 16_000_000, 1_000_000
-PART_SETS = 2048
-CELL_SETS = 4096
+PART_SETS = 1024
+CELL_SETS = 1024
 ORDERS = 3
 
 
