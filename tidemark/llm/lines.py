@@ -3,15 +3,15 @@
 Lines become rows of (128-bit hash, document, position), without their text.
 Rows are range-partitioned by hash and document and sorted by hash, document
 and position, so that a common line's rows spread over several partitions;
-each task streams over its runs of equal hashes and passes on one partial
-count, last document per hash (map-side combined).  A row is dropped if its
+each task streams over them, takes the first occurrence in each document and
+passes on one partial count and last document per hash (map-side combined).  A row is dropped if its
 hash is common and its document is not the last.  Dropped positions come back
 per document as a compressed keep bitmap: the runs of kept lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
@@ -50,7 +50,9 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc", "text_hash", "at"))
     rows = staged(rows, "line-hashes")
     spread = rows.repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "at")
-    holders = spread.select("h1", "h2", "doc").distinct()
+    # Partitions and order are the window's own, so each task streams over its sorted rows.
+    first = F.row_number().over(Window.partitionBy("h1", "h2", "doc").orderBy("at"))
+    holders = spread.withColumn("nth", first).where("nth = 1").select("h1", "h2", "doc")
     common = (holders.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("holders"), F.max("doc").alias("last"))
               .where(F.col("holders") >= min_docs).select("h1", "h2", "last"))
     common = staged(common, "line-common")  # a plain table, so that a common line's rows are split in the join
