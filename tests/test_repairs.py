@@ -211,3 +211,27 @@ def test_console_prints_a_batch(spark, scratch):
         assert q.lastProgress["numInputRows"] >= 0 and q.exception() is None
     finally:
         q.stop()
+
+
+def test_a_typo_is_refused_when_strict(spark):
+    from tidemark.operators.models import aggregate_ranked
+    df = spark.createDataFrame([(0, 1.0)], "__rank long, v double")
+    with pytest.raises(ValueError):
+        aggregate_ranked(df, "WAM", ["v"], 4, [], strict=True)
+    assert aggregate_ranked(df, "WAM", ["v"], 4, []).first()["dt_v"] == 1.0
+
+
+def test_several_partitions_are_ordered_by_time(spark, scratch):
+    from tidemark.sources.kafka import MESSAGE_ORDER
+    from tidemark.sources.records import project_record
+    root = scratch("partitions")
+    schema = "key string, value string, offset long, timestamp timestamp_ntz, partition int"
+    # partition 1 has the larger offsets, partition 0 the newer messages
+    rows = [(str(T0), str(i), 100 + i, T0 + i * MINUTE / 60, 1) for i in range(5)]
+    rows += [(str(T0), str(50 + i), i, T0 + (10 + i) * MINUTE / 60, 0) for i in range(5)]
+    rows += [(str(T0), "0", 999, T0 + 10 * MINUTE, 1)]  # moves the watermark
+    src = project_record(feed(spark, f"{root}/in", [rows], schema), extra=("timestamp", "partition"))
+    start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ckpt", n=4, metrics=["v"], delay_s=0, available_now=True,
+                                processing_stamp=False, order_by=MESSAGE_ORDER).awaitTermination()
+    first = spark.read.parquet(f"{root}/out").where(F.col("window_end") == T0 + MINUTE).first()
+    assert (first["n_rows"], first["dt_v"]) == (4, 52.5)

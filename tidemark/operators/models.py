@@ -232,9 +232,16 @@ def aggregate_ranked(
     rename: Mapping[str, str] | None = None,
     lam: float = DEFAULT_LAMBDA,
     extra_aggs: Sequence[Column] = (),
+    strict: bool = False,
 ) -> DataFrame:
-    """Apply a model to rows that are already the newest ``n`` of each group."""
+    """Apply a model to rows that are already the newest ``n`` of each group.
+
+    Unknown names fall back to ``MA`` unless ``strict``.  ``EWMA`` gives its
+    limits in long form, without ``extra_aggs`` and label.
+    """
     name = model.strip()
+    if strict and name not in MODELS:
+        raise ValueError(f"unknown model {model!r}; expected one of {MODELS}")
     if name in ("WMA", "WMA_FLAT"):
         aggs = wma_aggs(ranked, metrics, n, rank_col, weights, name == "WMA_FLAT", label_col, rename)
     elif name == "EWMA":

@@ -224,9 +224,10 @@ def window_threshold(
     rename: Mapping[str, str] | None = None,
     method: str = "auto",
 ) -> DataFrame:
-    """MA / WMA / WMA_FLAT over the newest ``n`` rows of each sliding window.
+    """MA / WMA / WMA_FLAT / EWMA over the newest ``n`` rows of each sliding window.
 
-    Output: ``series.., window_start, window_end, n_rows`` and the model columns.
+    Output: ``series.., window_start, window_end, n_rows`` and the model columns
+    (EWMA: its limits in long form, one row per metric, without ``n_rows``).
     ``method`` picks how windows are ranked (see :func:`window_latest_n`).
     """
     name = model.strip()

@@ -535,6 +535,18 @@ def q_processing_stamp(spark, sf):
     return out.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(good.cast("long")).alias("n_stamped"))
 
 
+SQL_WINDOW_LATEST_N_EWMA = _ewma_sql(
+    f"SELECT *, window_start + INTERVAL '21600 seconds' AS window_end "
+    f"FROM ({_win_expand_sql(21600, 3600, 'event_type, event_id, value, ts')}) w",
+    ["event_type", "window_start", "window_end"], 20, "event_id", ["value"])
+
+
+def q_window_latest_n_ewma(spark, sf):
+    """Control limits inside every sliding window of each event type."""
+    return rounded(window_threshold(_events(spark, sf), "EWMA", "ts", 21600, 3600, ["value"], "event_id", 20,
+                                    ["event_type"]))
+
+
 def q_window_latest_n_ts_order(spark, sf):
     """The default window settings, newest by two columns (time, then id)."""
     ev = _events(spark, sf)
@@ -604,6 +616,7 @@ QUERIES: list[Query] = [
     _q("wma_label_zone", ["A2", "A6", "E3"], q_wma_label_zone, _wma_sql_per_user(20)),
     _q("processing_stamp", ["E2"], q_processing_stamp,
        "SELECT count(DISTINCT user_id) AS n_rows, count(DISTINCT user_id) AS n_stamped FROM events"),
+    _q("window_latest_n_ewma", ["W2", "W5", "M5", "M6"], q_window_latest_n_ewma, SQL_WINDOW_LATEST_N_EWMA),
     _q("window_latest_n_ts_order", ["W2", "W5", "A1"], q_window_latest_n_ts_order,
        _window_model_sql("MA", 6000, 60, 100, [], "ts DESC, event_id DESC")),
     _q("business_day_index", ["R4"], q_business_day_index, SQL_BUSINESS_DAY_INDEX),

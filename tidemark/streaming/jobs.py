@@ -195,6 +195,7 @@ def start_dynamic_threshold_job(
     processing_stamp: bool = True,
     emit: str = "closed",
     series_cols: Sequence[str] = (),
+    order_by: str | Sequence[str] = "offset",
 ) -> StreamingQuery:
     """The whole threshold job on a message stream ``(key, value, offset, <time_col>)``.
 
@@ -215,7 +216,9 @@ def start_dynamic_threshold_job(
     slide, as the original job prints one per batch.  ``"update"`` rewrites
     every window that received rows.  ``series_cols`` (e.g. a host column)
     runs one independent series per value; empty means one series, as in the
-    original single-partition job.
+    original single-partition job.  Messages are newest first by ``order_by``;
+    with several partitions use ``sources.kafka.MESSAGE_ORDER``, because
+    offsets only order one partition.
     """
     from tidemark.functions.schema import METRIC_COLS, PROCESSING_TS_COL, processing_timestamp
     from tidemark.functions.weights import parse_weights
@@ -227,7 +230,7 @@ def start_dynamic_threshold_job(
     w = parse_weights(weights)
 
     def prepare(ranked: DataFrame) -> DataFrame:
-        keep = (*series_cols, "window_start", "window_end", "__rank", "offset")
+        keep = (*series_cols, "window_start", "window_end", "__rank")
         return decode_records(ranked, metrics, keep=keep)
 
     def writer(df: DataFrame, path: str, batch_id: int) -> None:
@@ -242,7 +245,7 @@ def start_dynamic_threshold_job(
     delay_s = 3600 if delay_s is None else delay_s
     length_s, slide_s = n * 60, slide_minutes * 60
     proc = WindowedLatestNProcessor(records.schema, f"{checkpoint.rstrip('/')}/state", out_path, time_col,
-                                    length_s, slide_s, metrics, "offset", n, list(series_cols), name, w,
+                                    length_s, slide_s, metrics, order_by, n, list(series_cols), name, w,
                                     "create_date", delay_s, writer=writer,
                                     state_cols=["key", "value"], prepare=prepare, emit=emit)
     return _start(records, proc, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now, None)
