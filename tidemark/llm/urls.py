@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_or_plain, staged
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -67,6 +69,8 @@ def match_rules(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     zones = rules.groupBy("zone").agg((4 * F.count(F.lit(1))).alias("least"))
     lots = (placed.groupBy("zone").agg(F.count(F.lit(1)).alias("urls")).join(zones, "zone").select(
         "zone", F.ceil(F.col("urls") / F.greatest(F.lit(per_sweep), F.col("least"))).cast("int").alias("lots")))
+    # One row per zone with rules and urls: counted, and broadcast if few, so that urls move only by (zone, lot).
+    lots = small_or_plain(staged(lots, "url-lots"))
     placed = (placed.join(lots, "zone")
               .withColumn("lot", F.pmod(F.xxhash64("host", "path"), F.col("lots")).cast("int")).drop("lots"))
     copies = rules.join(lots, "zone").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
