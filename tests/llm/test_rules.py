@@ -77,6 +77,47 @@ def test_quality_odd_rows(spark):
     assert quality.quality(docs, labels.limit(0)).where("kept").count() == 1550
 
 
+def of_language(spark, lang, first, n_good, n_bad, noisy=0):
+    docs, labels = labelled(spark, n_good, n_bad, noisy)
+    return (docs.withColumns({"doc_id": F.col("doc_id") + first, "lang": F.lit(lang)}),
+            labels.withColumn("doc_id", F.col("doc_id") + first))
+
+
+def test_junk_falls_in_languages_with_few_labels(spark):
+    parts = [of_language(spark, "en", 0, 1200, 60), of_language(spark, "fr", 10_000, 300, 20),
+             of_language(spark, "es", 20_000, 40, 10), of_language(spark, "de", 30_000, 400, 30, noisy=80),
+             of_language(spark, "pt", 40_000, 30, 10, noisy=5), of_language(spark, "it", 50_000, 20, 10)]
+    docs, labels = parts[0]
+    for i, (d, m) in enumerate(parts[1:]):
+        docs, labels = docs.unionByName(d), labels.unionByName(m) if i < 4 else labels  # no labels for "it"
+    kept = {(r["stratum"], r["good"]): r["kept"] for r in quality.quality(docs, labels).groupBy(
+        "stratum", ((F.col("doc_id") % 10_000) < F.create_map(*[F.lit(x) for x in (
+            "en", 1200, "fr", 300, "es", 40, "de", 320, "pt", 25, "it", 20)])[F.col("stratum")]).alias("good"))
+        .agg(F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert kept["en", True] == 1200 and kept["en", False] == 0
+    assert kept["fr", True] == 300 and kept["fr", False] == 0  # 300 good labels of its own suffice
+    assert kept["de", False] == 110 and kept["pt", False] == 15  # their own good documents would go
+
+
+def test_pool_serves_languages_without_proof_of_their_own(spark):
+    parts = [of_language(spark, "en", 0, 1200, 60), of_language(spark, "es", 10_000, 40, 10),
+             of_language(spark, "it", 20_000, 20, 10)]
+    docs = parts[0][0].unionByName(parts[1][0]).unionByName(parts[2][0])
+    labels = parts[0][1].unionByName(parts[1][1])  # none for "it"
+    kept = verdicts(docs, labels)
+    assert all(kept[i] == (i % 10_000 < {0: 1200, 1: 40, 2: 20}[i // 10_000]) for i in kept)
+    counted = quality.with_counts(docs.select("doc_id", F.col("lang").alias("stratum"), "text"))
+    rows = {r["stratum"]: r for r in quality.fit(counted, labels).collect()}
+    assert {k: r["pooled"] for k, r in rows.items()} == {"en": False, "es": True, "it": True}
+
+
+def test_a_bad_rule_does_not_block_a_good_one():
+    # Half of all documents exceed the second rule's cutoffs, junk alone those of the first.
+    bins = np.array([[0, 0, 0, 0], [0, 7, 0, 0], [10, 7, 0, 0], [10, 0, 0, 0], [0, 7, 1, 0]])
+    steps = quality.tightening(bins, np.array([0, 0, 50, 50, 3]), np.array([500, 500, 40, 40, 20]))
+    assert steps[0] == [1, 0, 0, 0] and steps[-1] in ([1, 0, 8, 0], [1, 1, 0, 0])
+
+
 # --- url rules -------------------------------------------------------------
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),

@@ -1,18 +1,26 @@
 """Quality rules with risk-controlled cutoffs (operator 1).
 
 Text statistics become signals (symbols per word, share of capitals, ...).  A
-document fails a rule when a signal exceeds the rule's cutoff.  Cutoffs are
-chosen per stratum from labelled documents: for each (stratum, rule) a fixed
-sequence of cutoffs is tested from the safest on.  A cutoff is certified while
-the exact (Clopper-Pearson) upper bound of the rate at which it rejects good
-documents stays within the rule's share of ``max_false_rejection``.  Testing
-stops at the first that does not, so a sequence needs no correction of its
-own; over all sequences the error probability ``delta`` is divided by their
-number (Bonferroni).  With probability 1 - delta no stratum loses more than
-``max_false_rejection`` of its good documents to the rules.  Among certified
-cutoffs the one with the largest surplus of rejected junk over rejected good
-documents is used, the safest of equals.
-A stratum with too few labels certifies nothing: its documents are kept.
+document fails a rule when a signal exceeds the rule's cutoff, and falls if any
+rule fails.  Cutoffs are chosen per stratum from labelled documents: all rules
+are tightened along one fixed sequence, cutoff by cutoff.  A step is certified
+while the exact (Clopper-Pearson) upper bound of the rate at which good
+documents fall stays within ``max_false_rejection``.  Testing stops at the first
+step that is not, so a sequence needs no correction of its own; over all
+sequences the error probability ``delta`` is divided by their number
+(Bonferroni).  Strata with too few good labels for any proof are not tested and
+not counted.  The order of the steps comes from junk labels and unlabelled
+documents only, so it is fixed as far as the good labels are concerned.  Among
+certified steps the one with the largest surplus of rejected junk over rejected
+good documents is used, the last of equals (each step catches labelled junk of
+some stratum).
+
+One more sequence is tested on all labels together, the pool.  Strata that
+certify nothing of their own, also those without labels, use the pool's cutoffs,
+unless more than ``max_false_rejection`` of their own good labels would fall.
+With probability 1 - delta no stratum with cutoffs of its own loses more than
+``max_false_rejection`` of its good documents to the rules, nor does the pool as
+a whole; for a single stratum that uses the pool's cutoffs nothing is proven.
 """
 
 from __future__ import annotations
@@ -158,51 +166,100 @@ def upper_bound(k: int, n: int, alpha: float) -> float:
     return high
 
 
+def tightening(bins: np.ndarray, junk: np.ndarray, other: np.ndarray) -> list[list[int]]:
+    """Sequence of cutoffs, as the number taken of each rule's, from the safest on; each catches more junk.
+
+    ``bins`` holds a row per cell with the number of cutoffs exceeded of each
+    rule, ``junk`` and ``other`` the cell's labelled junk and unlabelled
+    documents.  The next rule is the one that catches the most new junk per
+    unlabelled document that newly falls (and ten, so that one junk document
+    alone does not make a rule the best).
+    """
+    sizes = np.array([len(cuts) for _, cuts in RULES.values()])
+    need = sizes - bins + 1  # cutoffs to take of a rule until it catches the cell
+    taken, free, out = np.zeros(len(sizes), np.int64), np.ones(len(bins), bool), []
+    while True:
+        best = None
+        for r in range(len(sizes)):
+            left = free & (junk > 0) & (bins[:, r] > 0)
+            if not left.any():
+                continue
+            upto = need[left, r].min()
+            falls = free & (need[:, r] <= upto)
+            worth = junk[falls].sum() / (other[falls].sum() + 10)
+            if best is None or worth > best[0]:
+                best = (worth, r, upto, falls)
+        if best is None:
+            return out
+        taken[best[1]] = best[2]
+        free &= ~best[3]
+        out.append(taken.tolist())
+
+
 def choose_cutoffs(signals: DataFrame, labels: DataFrame, id_col: str = "doc_id", stratum: str = "stratum",
                    label: str = "quality", max_false_rejection: float = 0.02, delta: float = 0.05) -> DataFrame:
-    """One row per stratum: its label counts, a cutoff per rule (null: none certified) and its bound.
+    """One row per stratum: its label counts, a cutoff per rule (null: not used) and the bound of all together.
 
-    ``signals`` holds id, stratum and a double column per rule; ``labels`` id
-    and 1 (good) or 0 (junk).  Null ids or labels are left out; an id labelled
-    both ways counts as good.  Only counts per (stratum, rule, bin) leave the
+    ``pooled`` marks cutoffs taken from the pool of all strata.  ``signals``
+    holds id, stratum and a double column per rule; ``labels`` id and 1 (good)
+    or 0 (junk).  Null ids or labels are left out; an id labelled both ways counts
+    as good.  Only counts per (stratum, bins of all rules) leave the
     aggregation; they follow the strata, not the documents.
     """
+    names, sizes = list(RULES), np.array([len(cuts) for _, cuts in RULES.values()])
     marks = (labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1))
              .groupBy(id_col).agg((F.max(label) == 1).alias("good")))
-    known = signals.join(marks, id_col)
-    bins = [F.struct(F.lit(rule).alias("rule"),
-                     sum((F.col(rule) > F.lit(c)).cast("int") for c in cuts).alias("bin"))  # cutoffs exceeded
+    bins = [sum((F.col(rule) > F.lit(c)).cast("int") for c in cuts).alias(rule)  # cutoffs exceeded
             for rule, (_, cuts) in RULES.items()]
-    counts = (known.select(stratum, "good", F.explode(F.array(*bins)).alias("b"))
-              .groupBy(stratum, "b.rule", "b.bin")
-              .agg(F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("junk")))
-    counts = staged(counts, "quality-bins")
-    n_strata = max(1, counts.select(F.coalesce(F.col(stratum), F.lit("")), F.col(stratum).isNull()).distinct().count())
-    alpha = delta / (n_strata * len(RULES))
-    share = max_false_rejection / len(RULES)
+    good, one = F.col("good").cast("long"), F.lit(1).cast("long")
+    cells = (signals.select(stratum, *bins, F.lit(0).cast("long").alias("good"), F.lit(0).cast("long").alias("junk"),
+                            one.alias("other"))
+             .unionByName(signals.join(marks, id_col).select(
+                 stratum, *bins, good.alias("good"), (one - good).alias("junk"), F.lit(-1).cast("long").alias("other")))
+             .groupBy(stratum, *names).agg(*[F.sum(c).alias(c) for c in ("good", "junk", "other")]))
+    cells = staged(cells, "quality-bins")
+    # So many good labels prove the bound if none falls and two sequences share delta: the least of all.
+    least = math.log(delta / 2) / math.log1p(-max_false_rejection)
+    tested = cells.groupBy(stratum).agg(F.sum("good").alias("n")).where(F.col("n") >= least).count()
+    alpha = delta / (tested + 1)
+    # At most one row for each combination of bins.
+    pool = cells.groupBy(*names).agg(*[F.sum(c).alias(c) for c in ("good", "junk", "other")]).toPandas()
+
+    def falling(rows: pd.DataFrame, step: list[int]) -> np.ndarray:
+        return (rows[names].to_numpy() > sizes - np.array(step)).any(axis=1)
+
+    def certify(rows: pd.DataFrame) -> tuple[int, list[int] | None, float | None]:
+        """Certified steps, and the cutoffs and bound of the best (none: nothing gained)."""
+        both = rows.merge(pool[[*names, "junk"]], on=names, how="outer", suffixes=("", "_any")).fillna(0)
+        n, best, steps_ = int(rows["good"].sum()), (0, None, None), 0
+        for step in tightening(both[names].to_numpy(np.int64), both["junk_any"].to_numpy(), both["other"].to_numpy()):
+            falls = falling(rows, step)
+            lost, caught = int(rows["good"][falls].sum()), int(rows["junk"][falls].sum())
+            bound = upper_bound(lost, n, alpha)
+            if bound > max_false_rejection:
+                break
+            steps_ += 1
+            if caught - lost >= best[0]:
+                best = (caught - lost, step, bound)
+        return steps_, best[1], best[2]
+
+    _, pool_step, pool_bound = certify(pool)
 
     def one_stratum(rows: pd.DataFrame) -> pd.DataFrame:
-        out = {stratum: rows[stratum].iloc[0]}
-        for rule, (_, cuts) in RULES.items():
-            own = rows[rows["rule"] == rule]
-            good = np.zeros(len(cuts) + 1, np.int64)
-            junk = np.zeros(len(cuts) + 1, np.int64)
-            good[own["bin"]] = own["good"]
-            junk[own["bin"]] = own["junk"]
-            n, best = int(good.sum()), None
-            for j, cut in enumerate(cuts):
-                lost, caught = int(good[len(cuts) - j :].sum()), int(junk[len(cuts) - j :].sum())
-                bound = upper_bound(lost, n, alpha)
-                if bound > share:
-                    break
-                if best is None or caught - lost > best[2]:
-                    best = (cut, bound, caught - lost)
-            out |= {"n_good": n, "n_junk": int(junk.sum()), rule: best and best[0], f"{rule}_bound": best and best[1]}
+        n, pooled = int(rows["good"].sum()), False
+        steps_, step, bound = certify(rows) if n >= least else (0, None, None)
+        if not steps_ and pool_step is not None:
+            pooled = bool(rows["good"][falling(rows, pool_step)].sum() <= max_false_rejection * n)
+            step, bound = (pool_step, pool_bound) if pooled else (None, None)
+        out = {stratum: rows[stratum].iloc[0], "pooled": pooled, "n_good": n, "n_junk": int(rows["junk"].sum())}
+        for r, (rule, (_, cuts)) in enumerate(RULES.items()):
+            used = step is not None and step[r] > 0
+            out |= {rule: cuts[step[r] - 1] if used else None, f"{rule}_bound": bound if used else None}
         return pd.DataFrame([out])
 
     fields = ", ".join(f"`{r}` double, `{r}_bound` double" for r in RULES)
-    return staged(counts.groupBy(stratum).applyInPandas(
-        one_stratum, f"`{stratum}` string, n_good long, n_junk long, {fields}"), "quality-cutoffs")
+    return staged(cells.groupBy(stratum).applyInPandas(
+        one_stratum, f"`{stratum}` string, pooled boolean, n_good long, n_junk long, {fields}"), "quality-cutoffs")
 
 
 def judge(df: DataFrame, cutoffs: DataFrame, stratum: F.Column, prefix: str = "") -> DataFrame:
