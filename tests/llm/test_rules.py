@@ -202,6 +202,38 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert all(got[i]["spans"] == got[i]["base"] for i in range(30))
 
 
+LONG = ["00442079460958", "0044 20 7946 0958", "001 415 555 0199", "415 555 0123"]
+
+
+def test_phones_with_prefix_and_beginnings_of_longer_numbers(spark):
+    texts = [f"call our office at +1 415 555 {i:04d} now" for i in range(80)]
+    texts += [f"call our office at {x} now" for x in LONG]
+    texts += ["call our office at +1 415 555 0177 20240501 now", "room 301 415 555 0123 again", "lot 00442079461111 of goods"]
+    got = {r["doc_id"]: r for r in pii.find_pii(documents(spark, texts)).collect()}
+    found = [[(pii.KINDS[s["kind"]], texts[i][s["start"]:s["end"]]) for s in got[i]["spans"]] for i in range(80, len(texts))]
+    assert found[:4] == [[("phone", x)] for x in LONG]
+    assert found[4] == [("phone", "+1 415 555 0177")]
+    assert found[5:] == [[("phone", "415 555 0123")], []]
+
+
+def test_candidates_under_every_kind():
+    def offered(text):
+        return {(k, text[s:e]) for k, s, e in pii.candidate_spans(text, *pii.base_spans(text))}
+
+    assert {("card", "00442079460958"), ("phone", "00442079460958")} <= offered("at 00442079460958 now")
+    assert {("phone", "+1 415 555 0199 20240501"), ("phone", "+1 415 555 0199")} <= offered("+1 415 555 0199 20240501")
+    assert ("phone", "00 44 1234 567890123") in offered("at 00 44 1234 567890123 now")  # 00 and 15 digits
+    assert ("phone", "1234567890123456") not in offered("at 1234567890123456 now")
+
+
+def test_discovered_spans_lie_apart():
+    span = lambda k, s, e, score, odd=False: {"kind": k, "start": s, "end": e, "score": score, "odd": odd}
+    spans = [span(2, 0, 9, 0.8), span(3, 0, 9, 0.9), span(3, 9, 12, 0.8), span(3, 20, 40, 0.9, True), span(3, 20, 30, 0.9),
+             span(3, 25, 40, 0.85), span(3, 30, 35, 0.8)]
+    assert sorted((x["kind"], x["start"], x["end"]) for x in pii.apart(spans)) == [
+        (3, 0, 9), (3, 9, 12), (3, 20, 30), (3, 30, 35)]
+
+
 def test_personal_data_odd_rows(spark):
     docs = documents(spark, ["mail a@b.org", "mail a@b.org", None, "1" * 100_000, "@" * 20_000], ids=[1, 1, None, 2, 3])
     got = pii.find_pii(docs).collect()

@@ -16,6 +16,7 @@ pattern or an identifier in a third of all documents is one row per partner.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -36,6 +37,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _BARE_PHONE = re.compile(r"(?<![\w.+/-])\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,11}+(?![\w/]|[\x20.-]?[0-9])")
+#: Up to 15 digits, or 00 and up to 15.
+_LONG_PHONE = re.compile(r"(?<![\w.+/-])(?:\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,14}+|\(?00(?:[\x20().-]{0,2}+[0-9]){7,15}+)"
+                         r"(?![\w/]|[\x20.-]?[0-9])")
 _ADDRESS = re.compile(r"[^\s\"'<>(),;:@]{1,64}")
 _WORD = re.compile(r"[^\W\d_]+|\d+")
 _REACH = 64
@@ -80,13 +84,33 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
     for m in _PHONE.finditer(text):
         if 8 <= len(_digits(m[0])) <= 15:
             found.append(("phone", *m.span()))
+        else:
+            failed.append(("phone", *m.span()))
     return found, failed
 
 
+def phone_prefixes(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Beginnings of a phone match that hold 8 to 15 digits and end where a group of digits does."""
+    out, n = [], 0
+    for i in range(start, end - 1):
+        if "0" <= text[i] <= "9":
+            n += 1
+            if n > 15:
+                break
+            if n >= 8 and not "0" <= text[i + 1] <= "9":
+                out.append((start, i + 1))
+    return out
+
+
 def candidate_spans(text: str, found: list, failed: list) -> list[tuple[str, int, int]]:
-    """Strings that look like a kind, apart from words on both sides, and overlap no base span."""
+    """Strings that look like a kind, apart from words on both sides, and overlap no base span.
+
+    A string is offered under each kind whose form it has, and candidates may
+    overlap: which of them is an identifier is for the patterns to tell.
+    """
     more = list(failed)
-    more += [("phone", *m.span()) for m in _BARE_PHONE.finditer(text)]
+    more += [("phone", *m.span()) for form in (_BARE_PHONE, _LONG_PHONE) for m in form.finditer(text)]
+    more += [("phone", *p) for kind, s, e in failed if kind == "phone" for p in phone_prefixes(text, s, e)]
     at = text.find("@")
     while at >= 0:
         start = max((text.rfind(c, max(0, at - _REACH), at) for c in " \t\n\r\"'<>(),;:@"), default=-1) + 1
@@ -96,7 +120,7 @@ def candidate_spans(text: str, found: list, failed: list) -> list[tuple[str, int
         at = text.find("@", at + 1)
     taken = sorted((s, e) for _, s, e in found)
     out = []
-    for kind, s, e in sorted(more, key=lambda x: x[1]):
+    for kind, s, e in sorted(set(more), key=lambda x: x[1:]):
         if (s and (text[s - 1].isalnum())) or (e < len(text) and text[e].isalnum()):
             continue
         if any(a < e and s < b for a, b in taken):
@@ -189,20 +213,43 @@ def discover(places: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_supp
     return found
 
 
+def apart(spans: list[dict]) -> list[dict]:
+    """Spans that do not overlap: those not ``odd`` first, of them the best score, the longest, the first."""
+    starts, ends, out = [], [], []
+    for x in sorted(spans, key=lambda x: (x["odd"], -x["score"], x["start"] - x["end"], x["start"], x["kind"])):
+        i = bisect.bisect_left(starts, x["end"])  # the first taken span at or after this one's end
+        if i and ends[i - 1] > x["start"]:
+            continue
+        starts.insert(i, x["start"])
+        ends.insert(i, x["end"])
+        out.append({k: x[k] for k in ("kind", "start", "end")})
+    return out
+
+
+def best_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+    for batch in batches:
+        more = pa.array([apart(x) for x in batch.column("_more").to_pylist()], kind)
+        yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_hash"), more], names=["_doc", "_hash", "_more"])
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """``id_col``, base counts (n_email, n_ip, n_card, n_phone), base and spans of every document row.
 
     ``base`` and ``spans`` are arrays of (kind number, start, end) in code
     points, ordered by kind and start; ``spans`` holds the base spans and the
-    discovered ones, which overlap no base span.  Null texts have none.
+    discovered ones, which overlap no base span nor each other.  Null texts have none.
     Repeated rows get the same spans each.  Other columns are not read.
     """
     scanned = staged(scan(docs, id_col, text_col), "pii-places")
     places = scanned.select(F.col(id_col).alias("_doc"), F.col("text_hash").alias("_hash"),
                             F.explode("places").alias("p")).select("_doc", "_hash", "p.*")
     found = discover(places, **kw)
-    more = (places.where(~F.col("seed")).join(small_or_plain(found), ["kind", "instance"], "left_semi")
-            .groupBy("_doc", "_hash").agg(F.collect_set(F.struct("kind", "start", "end")).alias("_more")))
+    # A phone with a number of digits that no phone has yields to any other reading of its place.
+    odd = (F.col("kind") == KINDS.index("phone")) & ~F.col("instance").rlike("^(00)?[0-9]{7,15}$")
+    more = (places.where(~F.col("seed")).join(small_or_plain(found), ["kind", "instance"])
+            .groupBy("_doc", "_hash").agg(F.collect_set(F.struct("kind", "start", "end", "score", odd.alias("odd"))).alias("_more")))
+    more = more.mapInArrow(best_apart, plus_fields(more.drop("_more"), ("_more", "array<struct<kind:int,start:long,end:long>>")))
     joined = scanned.join(more, F.col(id_col).eqNullSafe(F.col("_doc")) & F.col("text_hash").eqNullSafe(F.col("_hash")),
                           "left")
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
