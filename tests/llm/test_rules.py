@@ -234,6 +234,16 @@ def test_discovered_spans_lie_apart():
         (3, 0, 9), (3, 9, 12), (3, 20, 30), (3, 30, 35)]
 
 
+def test_discovery_follows_chains_of_any_length(spark):
+    # Instances of a link stand once in the pattern of the link before, which trusts them, and often in their own.
+    links, size = 9, 6
+    rows = [("phone", f"{link}-{i}", link == 0, [f"p{p}"]) for link in range(links) for i in range(size)
+            for p in [max(0, link - 1)] + [link] * 100]
+    places = spark.createDataFrame(rows, "kind string, instance string, seed boolean, patterns array<string>")
+    found = {r["instance"] for r in pii.discover(places).collect()}
+    assert found == {f"{link}-{i}" for link in range(1, links) for i in range(size)}
+
+
 def test_personal_data_odd_rows(spark):
     docs = documents(spark, ["mail a@b.org", "mail a@b.org", None, "1" * 100_000, "@" * 20_000], ids=[1, 1, None, 2, 3])
     got = pii.find_pii(docs).collect()

@@ -17,6 +17,7 @@ pattern or an identifier in a third of all documents is one row per partner.
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from tidemark.llm.common import per_text, plus_fields, small_or_plain, staged, s
 
 KINDS = ("email", "ip", "card", "phone")
 #: A pattern needs this share of trusted instances and so many of them; an instance this score.
-MIN_CONFIDENCE, MIN_SUPPORT, MIN_SCORE, MAX_ROUNDS = 0.8, 5, 0.8, 5
+MIN_CONFIDENCE, MIN_SUPPORT, MIN_SCORE = 0.8, 5, 0.8
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -186,18 +187,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def discover(places: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_support: int = MIN_SUPPORT,
-             min_score: float = MIN_SCORE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+             min_score: float = MIN_SCORE) -> DataFrame:
     """Trusted (kind, instance) pairs that are not seeds, with their score.
 
     ``places`` has kind, instance, seed and patterns, one row per occurrence.
+    From round to round trusted instances and their scores only grow, so the
+    rounds end by themselves: when no instance joins and the scores stand still.
     """
     edges = staged(places.select("kind", "instance", "seed", F.explode("patterns").alias("pattern"))
                    .groupBy("kind", "pattern", "instance")
                    .agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("n")), "pii-edges")
     seeds = edges.where("seed").select("kind", "instance").distinct().withColumn("score", F.lit(1.0))
     open_edges = edges.join(seeds.select("kind", "instance"), ["kind", "instance"], "left_anti")
-    trusted, known = seeds, 0
-    for turn in range(max_rounds):
+    trusted, known, sum_known = seeds, 0, 0.0
+    for turn in itertools.count():
         scored = edges.join(trusted, ["kind", "instance"], "left").fillna(0.0, ["score"])
         patterns = (scored.groupBy("kind", "pattern")
                     .agg((F.sum(F.col("n") * F.col("score")) / (F.sum("n") + 1)).alias("confidence"),
@@ -206,11 +209,11 @@ def discover(places: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_supp
         found = staged(open_edges.join(patterns, ["kind", "pattern"]).groupBy("kind", "instance")
                        .agg(F.max("confidence").alias("score")).where(F.col("score") >= min_score),
                        f"pii-found-{turn}")
-        n = found.count()
-        if n == known:
-            break
-        known, trusted = n, seeds.unionByName(found)
-    return found
+        n, total = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("score"), F.lit(0.0))).first()
+        # Growing scores can still lift a pattern over its threshold.
+        if n == known and total <= sum_known * (1 + 1e-9):
+            return found
+        known, sum_known, trusted = n, total, seeds.unionByName(found)
 
 
 def apart(spans: list[dict]) -> list[dict]:
