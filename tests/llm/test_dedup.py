@@ -85,6 +85,13 @@ def test_substrings(spark, split_cells, shard_bytes):
     assert rows == dict(enumerate(strip_repeats(texts)))
 
 
+def test_cells_of_long_texts_are_those_of_short_ones(monkeypatch):
+    data, offsets = np.random.default_rng(3).integers(0, 256, 2_000_000, dtype=np.uint8), np.array([0, 2_000_000])
+    whole = substrings.cells_of(data, offsets, 200, 64)
+    monkeypatch.setattr(substrings, "PLACE_BITS", 16)  # slices of 65,536 bytes
+    assert all(np.array_equal(x, y) for x, y in zip(whole, substrings.cells_of(data, offsets, 200, 64), strict=True))
+
+
 def test_substrings_of_repeated_and_null_ids(spark):
     text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(400))
     docs = documents(spark, [text, text, "other", None], ids=[1, 1, None, None])

@@ -35,7 +35,7 @@ from tidemark.llm.common import Rolling, plus_fields, staged, steps, text_bytes
 
 LENGTH, GRAM = 200, 64
 SHARD_BYTES, SPLIT_CELLS = 2_000_000, 4096
-#: Bits of a place within the texts of one step.
+#: Bits of a place within one slice of hashes.
 PLACE_BITS = 28
 #: Small steps keep the rolling minimum's arrays in the processor's cache.
 SCAN_BYTES = 300_000
@@ -57,6 +57,22 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
+def least_places(h: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of each ``width`` successive hashes stands, by their top bits, the first of equals.
+
+    Longer arrays go in overlapping slices, so that as many bits decide in all.
+    """
+    bits = np.uint64(PLACE_BITS)
+    out = np.empty(len(h) - width + 1, np.int64)
+    step = (1 << PLACE_BITS) - width
+    for a in range(0, len(out), step):
+        part = h[a : a + step + width - 1]
+        # The place is carried in the low bits, so that the least value tells it.
+        low = sliding_min((part >> bits << bits) | np.arange(len(part), dtype=np.uint64), width)
+        out[a : a + len(low)] = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64) + a
+    return out
+
+
 def cells_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Text number, start, number of windows, fingerprint and digest of each cell of some texts."""
     if len(data) < length:
@@ -64,9 +80,7 @@ def cells_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
         return none, none, none, none, none
     at = np.arange(len(data) - gram + 1)
     h = Rolling(data, 1).spans(at, at + gram)
-    # The place is carried in the low bits, so that the least value tells it.
-    bits = np.uint64(PLACE_BITS if len(data) < 1 << PLACE_BITS else 40)
-    low = sliding_min((h >> bits << bits) | at.astype(np.uint64), length - gram + 1)
+    low = least_places(h, length - gram + 1)
     start = np.arange(len(low))
     text = np.searchsorted(offsets, start, "right") - 1
     valid = start + length <= offsets[text + 1]
@@ -76,8 +90,7 @@ def cells_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
     cell = np.cumsum(new) - 1
     windows = np.bincount(cell[valid], minlength=len(first))
     digest = Rolling(data, 2).spans(first, first + windows + length - 1)
-    fingerprint = h[(low[first] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)]
-    return text[first], first - offsets[text[first]], windows, fingerprint, digest
+    return text[first], first - offsets[text[first]], windows, h[low[first]], digest
 
 
 def cell_table(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
