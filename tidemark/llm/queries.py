@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embeddings, jaccard, lines, mixing, packing, pii, quality, ring, substrings, urls
+from tidemark.llm import (
+    alignment, counts, embeddings, jaccard, lines, mixing, packing, pii, quality, ring, substrings, urls, whitening)
 from tidemark.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +123,19 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stripped = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
     return stripped.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                            F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
