@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -35,7 +34,7 @@ from tidemark.llm.byte_level import PATTERN, ByteLevelFile
 from tidemark.llm.common import staged, steps, text_bytes
 
 #: Text bytes of a window (or one longer text).
-WINDOW_BYTES = 4_000_000
+WINDOW_BYTES = 1_000_000
 #: Texts with a run this long of one class are encoded by the file's own library.
 _LONG_RUN = r"\S{20000}|\s{20000}"
 
@@ -48,12 +47,10 @@ class TokenPair:
 
         import sentencepiece
         import tiktoken
-        from tokenizers import Tokenizer
 
         file = ByteLevelFile(a_path)
+        self.a_path, self._a_library = a_path, None
         self.a_bytes = file.token_bytes()
-        self.a_library = Tokenizer.from_file(a_path)
-        self.a_library.encode_special_tokens = True
         self.a_fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=file.ids, special_tokens={})
         self.long_run = re.compile(_LONG_RUN)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -71,9 +68,18 @@ class TokenPair:
         self.words = [f"{i}{c}" for i in range(len(self.a_bytes)) for c in ",|"]
         self.words += [f"{i}{c}" for i in range(n) for c in ",;"]
 
+    def a_library(self):
+        """The file's own library, loaded when a text first needs it."""
+        if self._a_library is None:
+            from tokenizers import Tokenizer
+
+            self._a_library = Tokenizer.from_file(self.a_path)
+            self._a_library.encode_special_tokens = True
+        return self._a_library
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """A and B ids of each text; none of either where the joined bytes are not those of a space and the text."""
-        a = [self.a_library.encode(f" {t}", add_special_tokens=False).ids if self.long_run.search(t)
+        a = [self.a_library().encode(f" {t}", add_special_tokens=False).ids if self.long_run.search(t)
              else self.a_fast.encode_ordinary(f" {t}") if t else [] for t in texts]
         b = self.b.encode(texts, num_threads=1) if texts else []
         for i, t in enumerate(texts):
