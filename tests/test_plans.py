@@ -74,3 +74,14 @@ def test_decoding_is_generated_code(spark):
     lines = physical._jdf.queryExecution().executedPlan().toString().splitlines()
     steps = [x for x in lines if re.search(r"\b(Project|Filter) [\[(]", x)]
     assert steps and all("*(" in x for x in steps)
+
+
+def test_messages_are_decoded_once(spark):
+    plan = plan_of(spark, "decode_vector")
+    assert plan.count("split(") == 1 and plan.count("concat_ws(") == 1
+
+
+@pytest.mark.parametrize("name", ["window_latest_n_default", "sliding_limits", "sliding_summary"])
+def test_windows_from_panes_read_once_and_stay_in_the_jvm(spark, name):
+    plan = plan_of(spark, name)
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Python" not in plan

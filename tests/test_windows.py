@@ -5,7 +5,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tidemark.operators.windows import sliding_aggregate, window_latest_n, window_threshold
+from tidemark.operators.windows import (
+    sliding_aggregate,
+    sliding_limits,
+    sliding_summary,
+    window_latest_n,
+    window_threshold,
+)
 from tidemark.sources.tables import table
 
 
@@ -89,3 +95,63 @@ def test_window_threshold_methods_agree(spark):
     ra = sorted((r[0], r[1], r[2], r[3], round(r[4], 9)) for r in a.select(*cols).collect())
     rb = sorted((r[0], r[1], r[2], r[3], round(r[4], 9)) for r in b.select(*cols).collect())
     assert ra == rb
+
+
+def rows_of(df, digits=9):
+    fix = lambda x: round(x, digits) if isinstance(x, float) else x
+    return sorted(repr(tuple(fix(r[c]) for c in sorted(df.columns))) for r in df.collect())
+
+
+@pytest.mark.parametrize("model", ["MA", "WMA", "WMA_FLAT", "EWMA"])
+@pytest.mark.parametrize("series", [[], ["at"], ["dec"], ["f"], ["name"]])
+def test_models_of_both_methods_agree_for_any_series_type(spark, model, series):
+    """Series a microsecond apart, decimals, floats with NaN, nulls; orders with ties; metrics of several types."""
+    ev = table(spark, SF_SMALL, "events").limit(300)
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("event_id") % 2) / F.lit(1e6))
+    df = ev.select(
+        "ts", "event_id", (F.col("event_id") % 4).alias("tied"), "value",
+        F.when(F.col("event_id") % 5 > 0, at).alias("at"), (F.col("event_id") % 3).cast("decimal(9,2)").alias("dec"),
+        F.when(F.col("event_id") % 3 > 0, F.lit(float("nan"))).otherwise(F.lit(-0.0)).cast("float").alias("f"),
+        F.concat(F.lit("s"), F.col("event_id") % 2).alias("name"),
+        F.when(F.col("event_id") % 4 > 0, F.col("value").cast("decimal(10,2)")).alias("m_dec"),
+        F.col("event_id").cast("int").alias("m_int"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("label"))
+    out = [rows_of(window_threshold(df, model, "ts", 86400, 3600, ["value", "m_dec", "m_int"], "tied", 5, series,
+                                    label_col="label", method=m), 6) for m in ("expand", "blocked")]
+    assert out[0] == out[1] and out[0]
+
+
+def test_blocked_reads_its_input_once(spark, capsys):
+    ev = table(spark, SF_SMALL, "events")
+    plan = window_threshold(ev, "MA", "ts", 6000, 60, ["value"], "event_id", 20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Python" not in plan and "Pandas" not in plan
+
+
+def test_blocked_refuses_maps_and_auto_takes_them(spark):
+    ev = table(spark, SF_SMALL, "events").withColumn("tags", F.create_map(F.lit("a"), F.col("event_id")))
+    with pytest.raises(ValueError):
+        window_latest_n(ev, "ts", 1200, 60, 3, "event_id", method="blocked")
+    assert window_latest_n(ev, "ts", 1200, 60, 3, "event_id").count() > 0
+
+
+@pytest.mark.parametrize("length_s,slide_s", [(3600, 600), (1500, 600), (7200, 7200)])
+def test_sliding_moments_match_native_aggregates(spark, length_s, slide_s):
+    ev = table(spark, SF_SMALL, "events").withColumn("value", F.when(F.col("event_id") % 7 > 0, F.col("value")))
+    ev = ev.withColumn("grp", F.nullif(F.col("event_id") % 3, F.lit(0))).withColumn("big", F.col("value") + F.lit(1e9))
+    got = sliding_summary(ev, "ts", length_s, slide_s, ["value", "big"], "grp")
+    ref = native_windows(ev, length_s, slide_s).groupBy("grp", "window_start", "window_end").agg(
+        *[f(m).cast("double").alias(f"{s}__{m}") for m in ("value", "big")
+          for s, f in {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}.items()])
+    want = {(r["grp"], r["window_start"], r["window_end"]): r for r in ref.collect()}
+    rows = got.collect()
+    assert len(rows) == 5 * len(want)
+    for r in rows:
+        for m in ("value", "big"):
+            x, y = r[m], want[r["grp"], r["window_start"], r["window_end"]][f"{r['metric']}__{m}"]
+            assert (x is None) == (y is None) and (x is None or x == pytest.approx(y, rel=1e-6, abs=1e-6))
+
+
+def test_moments_are_stable_for_a_large_mean(spark):
+    df = spark.range(4000).select(F.timestamp_seconds(F.col("id") * 3).alias("ts"), (F.lit(1e9) + (F.col("id") % 2) * 2 - 1).alias("v"))
+    out = sliding_limits(df, "ts", 600, 60, ["v"]).where("window_start >= '1970-01-01' AND window_end <= '1970-01-01 03:00:00'")
+    got = out.agg(F.min("stddev"), F.max("stddev")).first()
+    assert got[0] == pytest.approx((200 / 199) ** 0.5, rel=1e-6) and got[1] == pytest.approx(got[0], rel=1e-6)

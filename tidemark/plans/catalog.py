@@ -44,7 +44,13 @@ from tidemark.operators.reshape import (
     summary_to_long,
     transpose,
 )
-from tidemark.operators.windows import sliding_aggregate, window_count, window_threshold
+from tidemark.operators.windows import (
+    sliding_aggregate,
+    sliding_limits,
+    sliding_summary,
+    window_count,
+    window_threshold,
+)
 from tidemark.sources.records import decode_records, encode_records, project_record
 from tidemark.sources.tables import ORDER_METRICS_SQL, order_metrics, table
 
@@ -553,6 +559,49 @@ def q_window_latest_n_ts_order(spark, sf):
     return rounded(window_threshold(ev, "MA", "ts", 6000, 60, ["value"], ["ts", "event_id"], 100, label_col="ts"))
 
 
+def q_window_latest_n_ts_series(spark, sf):
+    """Newest rows per window of timestamp series, some a microsecond apart, with a null series; one-column order."""
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        secs=(F.col("user_id") % 5).cast("decimal(18,6)") / F.lit(1000000))
+    ev = _events(spark, sf).withColumn("series", F.when(F.col("user_id") % 5 > 0, at))
+    return rounded(window_threshold(ev, "MA", "ts", 72000, 3600, ["value"], "event_id", 20, ["series"], label_col="ts"))
+
+
+SQL_TS_SERIES = ("(SELECT *, CASE WHEN user_id % 5 > 0 THEN TIMESTAMP '2024-01-01 00:00:00' "
+                 "+ to_microseconds(user_id % 5) END AS series FROM events) s")
+SQL_WINDOW_LATEST_N_TS_SERIES = _window_model_sql("MA", 72000, 3600, 20, ["series"]).replace("FROM events", f"FROM {SQL_TS_SERIES}")
+
+
+def q_sliding_summary(spark, sf):
+    """Count, mean, stddev, least and largest value of every sliding window, from merged panes."""
+    return rounded(sliding_summary(_events(spark, sf), "ts", 21600, 3600, ["value"], ["event_type"]))
+
+
+def _sliding_stats_sql(length_s: int, slide_s: int) -> str:
+    return (f"SELECT event_type, window_start, window_start + INTERVAL '{length_s} seconds' AS window_end, "
+            f"CAST(count(value) AS DOUBLE) AS c, avg(value) AS mean, stddev_samp(value) AS stddev, min(value) AS lo, "
+            f"max(value) AS hi FROM ({_win_expand_sql(length_s, slide_s, 'event_type, value, ts')}) w "
+            f"GROUP BY event_type, window_start")
+
+
+SQL_SLIDING_SUMMARY = rounded_sql(" UNION ALL ".join(
+    f"SELECT event_type, window_start, window_end, '{metric}' AS metric, {column} AS value "
+    f"FROM ({_sliding_stats_sql(21600, 3600)}) s"
+    for metric, column in (("count", "c"), ("mean", "mean"), ("stddev", "stddev"), ("min", "lo"), ("max", "hi"))),
+    ["value"])
+
+
+def q_sliding_limits(spark, sf):
+    """Control limits over all rows of every 100-minute window, sliding by one minute."""
+    return rounded(sliding_limits(_events(spark, sf), "ts", 6000, 60, ["value"], ["event_type"]))
+
+
+SQL_SLIDING_LIMITS = rounded_sql(
+    f"SELECT event_type, window_start, window_end, 'value' AS field, mean, stddev, mean + {_d(3 * ewma_k(0.3))} * stddev AS ucl, "
+    f"mean - {_d(3 * ewma_k(0.3))} * stddev AS lcl FROM ({_sliding_stats_sql(6000, 60)}) s",
+    ["mean", "stddev", "ucl", "lcl"])
+
+
 def q_business_day_index(spark, sf):
     starts = _events(spark, sf).groupBy("event_type").agg(F.min("ts").alias("start"))
     return business_day_index(starts, "start", 5, 2).select("event_type", "period", "day")
@@ -619,6 +668,9 @@ QUERIES: list[Query] = [
     _q("window_latest_n_ewma", ["W2", "W5", "M5", "M6"], q_window_latest_n_ewma, SQL_WINDOW_LATEST_N_EWMA),
     _q("window_latest_n_ts_order", ["W2", "W5", "A1"], q_window_latest_n_ts_order,
        _window_model_sql("MA", 6000, 60, 100, [], "ts DESC, event_id DESC")),
+    _q("window_latest_n_ts_series", ["W2", "W5", "A1"], q_window_latest_n_ts_series, SQL_WINDOW_LATEST_N_TS_SERIES),
+    _q("sliding_summary", ["A4", "W2"], q_sliding_summary, SQL_SLIDING_SUMMARY),
+    _q("sliding_limits", ["M5", "W2", "E8"], q_sliding_limits, SQL_SLIDING_LIMITS),
     _q("business_day_index", ["R4"], q_business_day_index, SQL_BUSINESS_DAY_INDEX),
 ]
 

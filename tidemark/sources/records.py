@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.schema import LABEL_COL, METRIC_COLS, metric_schema
+from tidemark.operators.panes import barrier
 
 OFFSET_COL = "offset"
 
@@ -56,28 +57,35 @@ def decode_records(
     ``on_error="fail"`` (default) stops the job on a non-number, a wrong
     number of fields, a null value or a null key, as the streaming job does;
     ``"null"`` yields nulls for bad or missing numbers instead.  Fields are
-    taken from one split by position, so decoding stays in generated code; the
-    checks are one filter, which holds whatever columns are read later.
+    taken from one split by position, so decoding stays in generated code.
+    The message, its split and its numbers are evaluated once per row; the
+    checks filter on their results and hold whatever columns are read later.
     """
     if on_error not in ("fail", "null"):
         raise ValueError("on_error must be 'fail' or 'null'")
-    parts = F.split("value", ",")
-    fields = [F.trim(F.get(parts, F.lit(i))).try_cast("double") for i in range(len(metrics))]
-    if on_error == "fail":
-        df = df.where(_checked(parts, fields))
-    return df.select(F.col("key").alias(label), *[x.alias(m) for x, m in zip(fields, metrics, strict=True)], *keep)
-
-
-def _checked(parts: Column, fields: Sequence[Column]) -> Column:
+    if on_error == "null":
+        parts = F.split("value", ",")
+        fields = [F.trim(F.get(parts, F.lit(i))).try_cast("double") for i in range(len(metrics))]
+        return df.select(F.col("key").alias(label), *[x.alias(m) for x, m in zip(fields, metrics, strict=True)], *keep)
+    own = ["key", "value", *[c for c in keep if c not in ("key", "value")]]
+    split = barrier(df, *own, __parts=F.split("value", ","))
+    named = [f"__f{i}" for i in range(len(metrics))]
+    read = barrier(split, *own, __n=F.size("__parts"), **{
+        f: F.trim(F.get("__parts", F.lit(i))).try_cast("double") for i, f in enumerate(named)})
+    return read.where(_checked(named)).select(
+        F.col("key").alias(label), *[F.col(f).alias(m) for f, m in zip(named, metrics, strict=True)], *keep)
+
+
+def _checked(fields: Sequence[str]) -> Column:
     """True for a well-formed record; otherwise the query fails with what is wrong."""
     missing = F.lit(False)
     for x in fields:
-        missing = missing | x.isNull()
+        missing = missing | F.col(x).isNull()
     return (F.when(F.col("key").isNull(), F.raise_error(F.lit("metric record has a null key")))
             .when(F.col("value").isNull(), F.raise_error(F.lit("metric record has a null value")))
-            .when(F.size(parts) != F.lit(len(fields)),
+            .when(F.col("__n") != F.lit(len(fields)),
                   F.raise_error(F.concat(F.lit(f"metric record needs {len(fields)} fields, got "),
-                                         F.size(parts).cast("string"))))
+                                         F.col("__n").cast("string"))))
             .when(missing, F.raise_error(F.concat(F.lit("metric record has a field that is not a number: "),
                                                   F.col("value"))))
             .otherwise(F.lit(True)).cast("boolean"))

@@ -41,6 +41,7 @@ from tidemark.operators.windows import (
     aggregate_windows,
     expand_panes,
     pane_of,
+    settle_ties,
 )
 from tidemark.streaming.sinks import write_batch
 from tidemark.streaming.state import VersionedState
@@ -225,7 +226,7 @@ class WindowedLatestNProcessor:
             if self._blocked:
                 # many windows per pane: rank every window of the relevant panes with
                 # the blocked method (rows copied at most twice), keep the touched ones
-                ranked = _window_latest_n_blocked(relevant, self.time_col, self.length_s, self.slide_s,
+                ranked = _window_latest_n_blocked(settle_ties(relevant), self.time_col, self.length_s, self.slide_s,
                                                   self.n, self.order, self.series, "__rank")
                 rows = None
                 ranked = semi_join(ranked, touched, keys)
