@@ -1,0 +1,189 @@
+"""Closed windows on the state store, chained pane aggregations and the compacting daily sink."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_repairs import MINUTE, T0
+from tidemark.operators.windows import sliding_aggregate, window_threshold
+from tidemark.streaming.daily import CompactingDailySink, Folder, _manifest, read_daily
+from tidemark.streaming.jobs import file_stream, start_sliding_aggregate_stream
+from tidemark.streaming.window_state import start_window_state_stream
+
+SERIES = "s int, ts timestamp_ntz, id long, v double"
+
+
+def batches(n=6, per=40):
+    rows = [(None if i % 3 == 0 else i % 3, T0 + i * 0.4 * MINUTE, i, None if i % 11 == 0 else float(i % 17)) for i in range(n * per)]
+    return [rows[i * per : (i + 1) * per] for i in range(n)]
+
+
+def put(spark, path, rows):
+    spark.createDataFrame(rows, SERIES).coalesce(1).write.mode("append").parquet(path)
+
+
+def run(spark, root, series, order="id", delay_s=60):
+    src = file_stream(spark, f"{root}/in", spark.createDataFrame([], SERIES).schema, max_files_per_trigger=1)
+    start_window_state_stream(src, "WMA", ["v"], order, 5, (600, 60), "ts", f"{root}/out", f"{root}/ckpt", series,
+                              delay_s=delay_s, label_col="ts", available_now=True).awaitTermination()
+
+
+def rows_of(df):
+    fix = lambda x: round(x, 9) if isinstance(x, float) else x
+    return sorted(repr(tuple(fix(r[c]) for c in sorted(set(df.columns) - {"batch_id"}))) for r in df.collect())
+
+
+def expected(spark, parts, series, delay_s=60):
+    df = spark.createDataFrame([r for p in parts for r in p], SERIES)
+    last = max(r[1] for p in parts for r in p)
+    closed = last.replace(second=0, microsecond=0) + dt.timedelta(seconds=60 - delay_s)
+    return rows_of(window_threshold(df, "WMA", "ts", 600, 60, ["v"], "id", 5, series, label_col="ts")
+                   .where(F.col("window_end") <= F.lit(closed).cast("timestamp_ntz")))
+
+
+@pytest.mark.parametrize("series", [[], ["s"]])
+def test_state_store_windows_equal_batch_windows_over_restarts(spark, scratch, series):
+    root, parts = scratch("tws"), batches()
+    for part in parts[:3]:
+        put(spark, f"{root}/in", part)
+    run(spark, root, series)
+    for part in parts[3:]:  # the query restarts from its checkpoint
+        put(spark, f"{root}/in", part)
+    run(spark, root, series)
+    got = rows_of(spark.read.parquet(f"{root}/out"))
+    assert got == expected(spark, parts, series) and got
+
+
+def test_a_replayed_batch_changes_nothing(spark, scratch):
+    root, parts = scratch("tws-replay"), batches()
+    for part in parts:
+        put(spark, f"{root}/in", part)
+    run(spark, root, ["s"])
+    first = rows_of(spark.read.parquet(f"{root}/out"))
+    # lose the last commit: the batch runs again on the state before it
+    commits = f"{root}/ckpt/query/commits".removeprefix("file:")
+    last = max((x for x in os.listdir(commits) if x.isdigit()), key=int)
+    os.rename(f"{commits}/{last}", f"{commits}/.lost-{last}")
+    if os.path.exists(f"{commits}/.{last}.crc"):
+        os.rename(f"{commits}/.{last}.crc", f"{commits}/.lost-crc")
+    run(spark, root, ["s"])
+    assert rows_of(spark.read.parquet(f"{root}/out")) == first
+
+
+def test_late_rows_do_not_reopen_windows(spark, scratch):
+    root, parts = scratch("tws-late"), batches()
+    for part in parts[:4]:
+        put(spark, f"{root}/in", part)
+    run(spark, root, ["s"])
+    before = rows_of(spark.read.parquet(f"{root}/out"))
+    put(spark, f"{root}/in", [(1, T0, 10_000, 99.0)])
+    run(spark, root, ["s"])
+    assert rows_of(spark.read.parquet(f"{root}/out")) == before
+
+
+def test_only_whole_slides(spark, scratch):
+    src = spark.readStream.format("rate").load().withColumn("v", F.lit(1.0))
+    with pytest.raises(ValueError):
+        start_window_state_stream(src, "MA", ["v"], "value", 5, (100, 30), "timestamp", "o", "c")
+
+
+# --- chained aggregation -----------------------------------------------------
+
+@pytest.mark.parametrize("length_s,slide_s", [(600, 60), (500, 200)])
+def test_windows_chained_from_panes(spark, scratch, length_s, slide_s):
+    root, parts = scratch("chain"), batches()
+    for part in parts:
+        put(spark, f"{root}/in", part)
+    src = file_stream(spark, f"{root}/in", spark.createDataFrame([], SERIES).schema, max_files_per_trigger=1)
+    start_sliding_aggregate_stream(src, "ts", length_s, slide_s, f"{root}/out", f"{root}/ckpt", ["v"], ["s"], 60,
+                                   available_now=True, emit="closed").awaitTermination()
+    df = spark.createDataFrame([r for p in parts for r in p], SERIES)
+    last = max(r[1] for p in parts for r in p) - MINUTE
+    want = sliding_aggregate(df, "ts", length_s, slide_s, ["v"], "s").where(
+        F.col("window_end") <= F.lit(last).cast("timestamp_ntz"))
+    got = rows_of(spark.read.parquet(f"{root}/out"))
+    assert got == rows_of(want) and got
+    with pytest.raises(ValueError):
+        start_sliding_aggregate_stream(src, "ts", 60, 60, "o", "c", emit="never")
+
+
+# --- daily sink ----------------------------------------------------------------
+
+DAILY = "k int, at timestamp_ntz, v int"
+
+
+def day_rows(spark, rows):
+    return spark.createDataFrame([(k, T0 + dt.timedelta(days=d), v) for k, d, v in rows], DAILY)
+
+
+def view(spark, root):
+    return {(r["k"], r["index_name"][-2:]): r["v"] for r in read_daily(spark, root, ["k"]).collect()}
+
+
+def test_daily_folders_stay_few_and_newest(spark, scratch):
+    root = scratch("daily")
+    sink = CompactingDailySink(["k"], "at", max_deltas=3)
+    want = {}
+    for b in range(12):
+        rows = [(b % 4, 0, b), (7, 0, 100 + b)] + ([(1, 1, b)] if b % 5 == 0 else [])
+        sink(day_rows(spark, rows), root, b)
+        want |= {(k, f"0{d + 1}"): v for k, d, v in rows}
+        assert view(spark, root) == want
+        folder = Folder(spark, root)
+        for day in folder.names("manifest"):
+            assert len(_manifest(folder, day)[1]) <= 3 + 2
+            assert len(folder.names(f"data/{day}")) <= 2 * (3 + 2) and len(folder.names(f"manifest/{day}")) <= 3
+    only = read_daily(spark, root, ["k"], [d for d in Folder(spark, root).names("manifest") if d.endswith("02")])
+    assert [(r["k"], r["v"]) for r in only.collect()] == [(1, 10)]
+
+
+def test_replays_replace_their_first_attempt(spark, scratch):
+    root = scratch("daily-replay")
+    sink = CompactingDailySink(["k"], "at", max_deltas=1)
+    for b in range(4):
+        sink(day_rows(spark, [(1, 0, b), (b + 10, 0, b)]), root, b)
+    sink(day_rows(spark, [(1, 0, 40), (2, 1, 40)]), root, 4)
+    sink(day_rows(spark, [(1, 0, 41)]), root, 4)  # the replay has other rows, and none for the second day
+    assert view(spark, root) == {(1, "01"): 41, **{(b + 10, "01"): b for b in range(4)}}
+
+
+@pytest.mark.parametrize("step", ["write", "rename", "_swap", "_compact", "delete"])
+def test_a_crash_between_any_steps_is_repaired_by_the_replay(spark, scratch, monkeypatch, step):
+    root = scratch("daily-crash")
+    make = lambda: CompactingDailySink(["k"], "at", max_deltas=2)
+    for b in range(4):
+        make()(day_rows(spark, [(1, 0, b), (b + 10, 0, b)]), root, b)
+    want = view(spark, root) | {(1, "01"): 4, (14, "01"): 4}
+    rows = day_rows(spark, [(1, 0, 4), (14, 0, 4)])
+    owner = Folder if step in ("write", "delete") else CompactingDailySink
+    name = "_take" if step == "rename" else step
+    real = getattr(owner, name)
+    for at in range(3):
+        count = [0]
+
+        def failing(self, *a, **kw):
+            count[0] += 1
+            if count[0] > at:
+                raise RuntimeError("lost")
+            return real(self, *a, **kw)
+
+        monkeypatch.setattr(owner, name, failing)
+        try:
+            make()(rows, root, 4)
+        except RuntimeError:
+            pass
+        monkeypatch.setattr(owner, name, real)
+        reading = view(spark, root)
+        assert {k: v for k, v in reading.items() if k not in ((1, "01"), (14, "01"))} == {
+            k: v for k, v in want.items() if k not in ((1, "01"), (14, "01"))}
+    make()(rows, root, 4)
+    assert view(spark, root) == want
+    make()(day_rows(spark, [(1, 0, 5)]), root, 5)
+    assert view(spark, root) == want | {(1, "01"): 5}
+
+
+def test_reading_nothing(spark, scratch):
+    with pytest.raises(FileNotFoundError):
+        read_daily(spark, scratch("none"), ["k"])

@@ -9,6 +9,7 @@ calls ``query.awaitTermination()`` to run until stopped.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,6 +96,7 @@ def start_sliding_aggregate_stream(
     delay_s: int = 3600,
     trigger_seconds: int = 60,
     available_now: bool = False,
+    emit: str = "update",
 ) -> StreamingQuery:
     """Row count and per-metric sum / avg / min / max of every sliding window,
     with Spark's own stateful window aggregation (same columns as the batch
@@ -102,7 +104,11 @@ def start_sliding_aggregate_stream(
 
     State per window is a handful of partial aggregates; the watermark
     (``delay_s``) bounds it, and partial aggregation runs before the shuffle.
-    Update mode: every batch writes the windows it changed.  A
+    ``emit="update"``: every batch writes the windows it changed, and each row
+    is copied into its windows.  ``emit="closed"``: two chained stateful
+    aggregations, rows into panes of ``gcd(length, slide)`` seconds and closed
+    panes into windows, so only pane rows are copied; each window is written
+    once, when the watermark has passed its end.  A
     ``timestamp_ntz`` time column is taken as UTC wall-clock time for the
     watermark (which needs zoned timestamps) and converted back, so windows
     match the batch ``window()`` in any session time zone.
@@ -116,15 +122,28 @@ def start_sliding_aggregate_stream(
         ts = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(time_col)).cast("timestamp")
     else:
         ts = F.col(time_col)
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for m in metrics:
-        aggs += [F.sum(m).alias(f"{m}_sum"), F.try_divide(F.sum(m), F.count(m)).alias(f"{m}_avg"),
-                 F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max")]
-    win = F.window("__et", f"{length_s} seconds", f"{slide_s} seconds").alias("__w")
-    agg = (df.select(*series, *metrics, ts.alias("__et"))
-           .withWatermark("__et", f"{delay_s} seconds")
-           .groupBy(*series, win)
-           .agg(*aggs))
+    if emit not in ("update", "closed"):
+        raise ValueError("emit must be 'update' or 'closed'")
+    timed = (df.select(*series, *[m for m in metrics if m not in series], ts.alias("__et"))
+             .withWatermark("__et", f"{delay_s} seconds"))
+    length, slide = f"{length_s} seconds", f"{slide_s} seconds"
+    if emit == "update":
+        aggs = [F.count(F.lit(1)).alias("n_rows")]
+        for m in metrics:
+            aggs += [F.sum(m).alias(f"{m}_sum"), F.try_divide(F.sum(m), F.count(m)).alias(f"{m}_avg"),
+                     F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max")]
+        agg = timed.groupBy(*series, F.window("__et", length, slide).alias("__w")).agg(*aggs)
+    else:
+        partial, aggs = [F.count(F.lit(1)).alias("__n")], [F.sum("__n").alias("n_rows")]
+        for i, m in enumerate(metrics):
+            partial += [F.sum(m).alias(f"__s{i}"), F.count(m).alias(f"__c{i}"), F.min(m).alias(f"__lo{i}"),
+                        F.max(m).alias(f"__hi{i}")]
+            aggs += [F.sum(f"__s{i}").alias(f"{m}_sum"),
+                     F.try_divide(F.sum(f"__s{i}"), F.sum(f"__c{i}")).alias(f"{m}_avg"),
+                     F.min(f"__lo{i}").alias(f"{m}_min"), F.max(f"__hi{i}").alias(f"{m}_max")]
+        pane = F.window("__et", f"{math.gcd(length_s, slide_s)} seconds").alias("__pane")
+        panes = timed.groupBy(*series, pane).agg(*partial)
+        agg = panes.groupBy(*series, F.window("__pane", length, slide).alias("__w")).agg(*aggs)
     out_cols = [c for c in agg.columns if c not in (*series, "__w")]
 
     def back(c):
@@ -138,7 +157,8 @@ def start_sliding_aggregate_stream(
                            back("__w.end").alias("window_end"), *out_cols)
         write_batch(out, out_path, batch_id)
 
-    w = (agg.writeStream.outputMode("update").foreachBatch(handler)
+    mode = "update" if emit == "update" else "append"
+    w = (agg.writeStream.outputMode(mode).foreachBatch(handler)
          .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_seconds} seconds")
     return w.start()
@@ -155,10 +175,11 @@ def start_window_count_stream(
     series_cols: Sequence[str] = (),
     trigger_seconds: int = 60,
     available_now: bool = False,
+    emit: str = "update",
 ) -> StreamingQuery:
     """Rows per sliding window on a stream (the job's window row count)."""
     return start_sliding_aggregate_stream(df, time_col, length_s, slide_s, out_path, checkpoint, (),
-                                          series_cols, delay_s, trigger_seconds, available_now)
+                                          series_cols, delay_s, trigger_seconds, available_now, emit)
 
 
 def start_daily_stream(

@@ -25,7 +25,9 @@ from tidemark.plans.catalog import (
     rounded_sql,
 )
 from tidemark.session import scratch_path
+from tidemark.sources.records import decode_records
 from tidemark.sources.tables import table
+from tidemark.streaming.daily import CompactingDailySink, read_daily
 from tidemark.streaming.jobs import (
     file_stream,
     start_dynamic_threshold_job,
@@ -35,10 +37,13 @@ from tidemark.streaming.jobs import (
 )
 from tidemark.streaming.keyed import start_keyed_latest_n_stream
 from tidemark.streaming.sinks import read_latest, write_daily
+from tidemark.streaming.window_state import start_window_state_stream
 
 N_FILES = 8
 FILES_PER_BATCH = 2
 LATENESS_S = 40 * 86400
+#: Lateness of the queries that write closed windows (their files come in time order).
+CLOSED_DELAY_S = 6 * 3600
 
 
 # Time-range copies of events already written in this Spark application, by
@@ -137,6 +142,48 @@ def q_stream_sliding_avg(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(read_latest(spark, f"{root}/out", ["event_type", "window_start", "window_end"]))
 
 
+def q_stream_sliding_count_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per closed window, from panes (two chained stateful aggregations)."""
+    root = scratch_path(spark, "stream_sliding_count_closed")
+    src = _in_time_order(spark, table(spark, sf, "events"), "ts", f"{root}/input")
+    q = start_window_count_stream(src, "ts", 1200, 60, f"{root}/out", f"{root}/ckpt", delay_s=CLOSED_DELAY_S,
+                                  available_now=True, emit="closed")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
+def q_stream_sliding_avg_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """Aggregates of closed windows per event type, from panes."""
+    root = scratch_path(spark, "stream_sliding_avg_closed")
+    src = _in_time_order(spark, table(spark, sf, "events"), "ts", f"{root}/input")
+    src = src.withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    q = start_sliding_aggregate_stream(src, "ts", 3600, 600, f"{root}/out", f"{root}/ckpt", ["cents"], ["event_type"],
+                                       delay_s=CLOSED_DELAY_S, available_now=True, emit="closed")
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/out").drop("batch_id"))
+
+
+def _closed_sql(inner: str) -> str:
+    return (f"SELECT * FROM ({inner}) w WHERE window_end <= (SELECT date_trunc('milliseconds', max(ts)) "
+            f"- INTERVAL '{CLOSED_DELAY_S} seconds' FROM events)")
+
+
+def q_stream_daily_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Updated thresholds in daily folders that are compacted as batches go by; the newest row per key and day."""
+    root, src = _stream(spark, sf, "stream_daily_compacted")
+    sink = CompactingDailySink(["event_type", "window_start"], "window_start", max_deltas=2)
+    q = start_threshold_stream(src, "MA", ["value"], "event_id", 20, f"{root}/out", f"{root}/ckpt", ["event_type"],
+                               window=(21600, 3600), time_col="ts", delay_s=LATENESS_S, label_col="ts",
+                               available_now=True, writer=sink)
+    q.awaitTermination()
+    return rounded(read_daily(spark, f"{root}/out", ["event_type", "window_start"]))
+
+
+SQL_STREAM_DAILY_COMPACTED = (
+    "SELECT *, 'poc_os_metric_dt_' || strftime(window_start, '%Y_%m_%d') AS index_name "
+    f"FROM ({_window_model_sql('MA', 21600, 3600, 20, ['event_type'])}) w")
+
+
 def q_stream_keyed_wma(spark: SparkSession, sf: str) -> DataFrame:
     """Per-user banded WMA of the newest 20 events on the keyed state store."""
     root, src = _stream(spark, sf, "stream_keyed_wma")
@@ -177,25 +224,31 @@ SQL_STREAM_KEYED_WMA_NULLS = _wma_sql_per_user(20).replace(
     "sum(value ", "sum(CASE WHEN user_id % 3 = 0 THEN value END ")
 
 
-CLOSED_DELAY_S = 6 * 3600
+def _in_time_order(spark: SparkSession, rows: DataFrame, time_col: str, path: str) -> DataFrame:
+    """Stream of ``rows``, one file per micro-batch, written (and so read) in time order."""
+    first, last = rows.agg(F.min(time_col), F.max(time_col)).first()
+    step = (last - first) / N_FILES
+    for i in range(N_FILES):
+        part = rows.where(F.col(time_col) >= F.lit(first + i * step).cast("timestamp_ntz"))
+        if i + 1 < N_FILES:
+            part = part.where(F.col(time_col) < F.lit(first + (i + 1) * step).cast("timestamp_ntz"))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return file_stream(spark, path, rows.schema, max_files_per_trigger=1)
 
 
-def q_stream_record_job_closed(spark: SparkSession, sf: str) -> DataFrame:
-    """The job's default emission: every window once, when the watermark has passed its end."""
-    root = scratch_path(spark, "stream_record_job_closed")
+def _records_in_time_order(spark: SparkSession, sf: str, root: str) -> DataFrame:
+    """Stream of events as messages, in time order."""
     ev = table(spark, sf, "events")
     recs = ev.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("key"),
                      F.col("value").cast("string").alias("value"),
                      F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
-    # one file per micro-batch, written (and so read) in time order
-    first, last = recs.agg(F.min("timestamp"), F.max("timestamp")).first()
-    step = (last - first) / N_FILES
-    for i in range(N_FILES):
-        part = recs.where(F.col("timestamp") >= F.lit(first + i * step).cast("timestamp_ntz"))
-        if i + 1 < N_FILES:
-            part = part.where(F.col("timestamp") < F.lit(first + (i + 1) * step).cast("timestamp_ntz"))
-        part.coalesce(1).write.mode("append").parquet(f"{root}/input")
-    src = file_stream(spark, f"{root}/input", recs.schema, max_files_per_trigger=1)
+    return _in_time_order(spark, recs, "timestamp", f"{root}/input")
+
+
+def q_stream_record_job_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """The job's default emission: every window once, when the watermark has passed its end."""
+    root = scratch_path(spark, "stream_record_job_closed")
+    src = _records_in_time_order(spark, sf, root)
     q = start_dynamic_threshold_job(src, f"{root}/out", f"{root}/ckpt", model="WMA", n=20, slide_minutes=1,
                                     metrics=["value"], delay_s=CLOSED_DELAY_S, available_now=True,
                                     daily_time_col="window_end", processing_stamp=False)
@@ -207,6 +260,42 @@ SQL_STREAM_RECORD_JOB_CLOSED = (
     f"SELECT * FROM ({SQL_STREAM_RECORD_JOB}) j WHERE window_end <= (SELECT date_trunc('minute', max(ts)) "
     f"+ INTERVAL '{60 - CLOSED_DELAY_S} seconds' FROM events)")
 
+def q_stream_window_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The same windows on the keyed state store, closed by event-time timers; messages decoded once ranked."""
+    root = scratch_path(spark, "stream_window_state")
+    src = _records_in_time_order(spark, sf, root)
+
+    def decode(ranked: DataFrame) -> DataFrame:
+        return decode_records(ranked, ["value"], keep=("window_start", "window_end", "__rank"))
+
+    def daily(df: DataFrame, path: str, batch_id: int) -> None:
+        write_daily(df, path, batch_id, "window_end")
+
+    q = start_window_state_stream(src, "WMA", ["value"], "offset", 20, (1200, 60), "timestamp", f"{root}/out",
+                                  f"{root}/ckpt", delay_s=CLOSED_DELAY_S, label_col="create_date",
+                                  payload=["key", "value"], prepare=decode, writer=daily, available_now=True)
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/out").drop("batch_id"))
+
+
+def q_stream_window_state_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed windows of a series column that holds nulls, on the keyed state store."""
+    root = scratch_path(spark, "stream_window_state_series")
+    path, ev = _event_files(spark, sf)
+    src = file_stream(spark, path, ev.schema)
+    src = src.withColumn("grp", F.nullif(F.col("user_id") % 5, F.lit(0)))
+    q = start_window_state_stream(src, "MA", ["value"], "event_id", 20, (21600, 3600), "ts", f"{root}/out",
+                                  f"{root}/ckpt", ["grp"], delay_s=CLOSED_DELAY_S, label_col="ts", available_now=True)
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/out").drop("batch_id"))
+
+
+SQL_STREAM_WINDOW_STATE_SERIES = (
+    "SELECT * FROM (" + _window_model_sql("MA", 21600, 3600, 20, ["grp"]).replace(
+        "FROM events", "FROM (SELECT *, NULLIF(user_id % 5, 0) AS grp FROM events) g")
+    + ") w WHERE window_end <= (SELECT date_trunc('hour', max(ts)) + "
+    f"INTERVAL '{3600 - CLOSED_DELAY_S} seconds' FROM events)")
+
 SQL_STREAM_DAILY_SINK = (
     "SELECT *, 'poc_os_metric_dt_' || strftime(create_date, '%Y_%m_%d') AS index_name "
     f"FROM ({SQL_MA_PER_SERIES}) m")
@@ -223,6 +312,14 @@ STREAM_QUERIES: list[Query] = [
           q_stream_record_job, SQL_STREAM_RECORD_JOB),
     Query("stream_record_job_closed", ("S3", "S4", "S5", "W1", "W2", "W3", "W4", "W5", "A2", "K1"),
           q_stream_record_job_closed, SQL_STREAM_RECORD_JOB_CLOSED),
+    Query("stream_sliding_count_closed", ("A5", "W2", "W4"), q_stream_sliding_count_closed,
+          _closed_sql(SQL_SLIDING_COUNT)),
+    Query("stream_sliding_avg_closed", ("W2", "W4"), q_stream_sliding_avg_closed, _closed_sql(SQL_SLIDING_AVG)),
+    Query("stream_daily_compacted", ("K1", "E7", "W2", "W5"), q_stream_daily_compacted, SQL_STREAM_DAILY_COMPACTED),
+    Query("stream_window_state", ("W2", "W3", "W4", "W5", "S4", "A2", "K1"), q_stream_window_state,
+          SQL_STREAM_RECORD_JOB_CLOSED),
+    Query("stream_window_state_series", ("W2", "W3", "W5", "A1"), q_stream_window_state_series,
+          SQL_STREAM_WINDOW_STATE_SERIES),
     Query("stream_latest_n_null_series", ("W3", "W4", "T2", "A1"), q_stream_latest_n_null_series,
           SQL_STREAM_LATEST_N_NULL_SERIES),
     Query("stream_keyed_wma_nulls", ("W3", "W4", "T2", "A2"), q_stream_keyed_wma_nulls, SQL_STREAM_KEYED_WMA_NULLS),
