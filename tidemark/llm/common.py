@@ -45,6 +45,25 @@ def plus_fields(df: DataFrame, *fields: tuple[str, str]) -> T.StructType:
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields))])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as no column of ``df`` has it (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def fresh_prefix(df: DataFrame, prefix: str) -> str:
+    """``prefix`` with as many underscores in front as no column of ``df`` begins with it."""
+    while any(c.lower().startswith(prefix.lower()) for c in df.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 def schema_of(*fields: tuple[str, pa.DataType]) -> pa.Schema:
     return pa.schema([pa.field(n, t) for n, t in fields])
 

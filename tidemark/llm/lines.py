@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import fresh, staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "\t\n\x0b\x0c\r "
@@ -79,17 +79,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     names = {k: prefix + k for k in ("n_lines", "n_dropped", "keep", "kept_text")}
     docs = docs.drop(*names.values())
+    doc, hash_, gone_ = fresh(docs, "_line_doc", "_line_hash", "_line_gone")
     gone = keep_bitmaps(docs.select(id_col, text_col), id_col, text_col, min_chars, min_docs).select(
-        F.col(id_col).alias("_line_doc"), F.col("text_hash").alias("_line_hash"), F.col("gone").alias("_line_gone"))
-    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_line_doc"))
-                       & (F.xxhash64(text_col) == F.col("_line_hash")), "left")
+        F.col(id_col).alias(doc), F.col("text_hash").alias(hash_), F.col("gone").alias(gone_))
+    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col(doc)) & (F.xxhash64(text_col) == F.col(hash_)), "left")
     lines, text = lines_of(F.col(text_col)), F.coalesce(F.col(text_col), F.lit(""))
     n_lines = F.size(lines)
-    keep = F.when(F.col("_line_gone").isNotNull(), kept_runs(F.col("_line_gone"), n_lines))
+    keep = F.when(F.col(gone_).isNotNull(), kept_runs(F.col(gone_), n_lines))
     # The one-element array holds the split text, so that it is split once and not for every run.
     kept = F.transform(F.array(lines), lambda all_lines: F.array_join(F.flatten(F.transform(
         keep, lambda r: F.slice(all_lines, r["start"] + 1, r["length"]))), "\n"))
-    kept = F.when(F.col("_line_gone").isNotNull(), kept[0])
+    kept = F.when(F.col(gone_).isNotNull(), kept[0])
     return joined.select(*docs.columns, n_lines.cast("long").alias(names["n_lines"]),
-                         F.coalesce(F.size("_line_gone"), F.lit(0)).cast("long").alias(names["n_dropped"]),
+                         F.coalesce(F.size(gone_), F.lit(0)).cast("long").alias(names["n_dropped"]),
                          keep.alias(names["keep"]), F.coalesce(kept, text).alias(names["kept_text"]))

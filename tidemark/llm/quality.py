@@ -34,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Rolling, per_text, plus_fields, shingles, small_or_plain, staged, steps, text_bytes, words_of
+from tidemark.llm.common import (
+    Rolling, fresh_prefix, per_text, plus_fields, shingles, small_or_plain, staged, steps, text_bytes, words_of)
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
@@ -264,14 +265,15 @@ def choose_cutoffs(signals: DataFrame, labels: DataFrame, id_col: str = "doc_id"
 
 def judge(df: DataFrame, cutoffs: DataFrame, stratum: F.Column, prefix: str = "") -> DataFrame:
     """``df`` (with counts) plus ``prefix`` base_failed, kept, and failed_rules (names, null: none)."""
-    cut = small_or_plain(cutoffs.select(F.col("stratum").alias("_cut_stratum"),
-                                        *[F.col(r).alias(f"_cut_{r}") for r in RULES]))
-    joined = df.join(cut, stratum.eqNullSafe(F.col("_cut_stratum")), "left")
-    failed = F.concat_ws(",", *[F.when(signal(r, prefix) > F.col(f"_cut_{r}"), F.lit(r)) for r in RULES])
+    own = fresh_prefix(df, "_cut_")
+    cut = small_or_plain(cutoffs.select(F.col("stratum").alias(f"{own}stratum"),
+                                        *[F.col(r).alias(f"{own}{r}") for r in RULES]))
+    joined = df.join(cut, stratum.eqNullSafe(F.col(f"{own}stratum")), "left")
+    failed = F.concat_ws(",", *[F.when(signal(r, prefix) > F.col(f"{own}{r}"), F.lit(r)) for r in RULES])
     return (joined.withColumn(prefix + "base_failed", base_failed(prefix))
             .withColumn(prefix + "failed_rules", F.when(failed != "", failed))
             .withColumn(prefix + "kept", ~F.col(prefix + "base_failed") & F.col(prefix + "failed_rules").isNull())
-            .drop("_cut_stratum", *[f"_cut_{r}" for r in RULES]))
+            .drop(f"{own}stratum", *[f"{own}{r}" for r in RULES]))
 
 
 def fit(counted: DataFrame, labels: DataFrame, **kw) -> DataFrame:
@@ -301,6 +303,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
     counted = staged(with_counts(docs.select("doc_id", F.col("lang").cast("string").alias("stratum"), "text"))
                      .drop("text"), "quality-counts")
     cutoffs = fit(counted, labels, **kw)
-    prefix = "_quality_"
+    prefix = fresh_prefix(docs, "_quality_")
     judged = judge(with_counts(docs, prefix=prefix), cutoffs, F.col("lang").cast("string"), prefix)
     return judged.where(F.col(prefix + "kept")).select(*docs.columns)
