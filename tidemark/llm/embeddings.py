@@ -68,6 +68,11 @@ def bucket_codes(x: np.ndarray, tables: int, k: int, probes: int, seed: int = 0)
     return np.concatenate(codes, 1)
 
 
+def tables_for(k: int) -> int:
+    """Tables that keep the recall above 0.9 at the threshold: a table with more hashes finds a pair less often."""
+    return TABLES * 2 ** max(0, k - 3)
+
+
 def links_between(a: np.ndarray, b: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs with a dot product of at least ``threshold``: i < j within ``a``, or between ``a`` and ``b``."""
     if b is None:
@@ -77,15 +82,15 @@ def links_between(a: np.ndarray, b: np.ndarray | None, threshold: float) -> tupl
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                    threshold: float = 0.93, tables: int = TABLES, probes: int = PROBES, k: int | None = None,
+                    threshold: float = 0.93, tables: int | None = None, probes: int = PROBES, k: int | None = None,
                     block: int = BLOCK, seed: int = 0) -> DataFrame:
     """``id_col``, n_links, component_id and kept of every row.
 
     Two rows link if their labels are equal and not null and their cosine is at
     least ``threshold``.  Vectors that are null, empty, zero, or hold null or
     non-finite components, and rows with a null id, link with nothing (their
-    component is their own id).  Rows of one id count as vectors of their own
-    with a shared id; vectors of different lengths are never compared.
+    component is their own id).  Rows of one id are vectors of their own, each
+    with the links of its own vector; vectors of different lengths are never compared.
     Other columns are not read.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
@@ -97,14 +102,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                   .withColumn("class", F.when(F.col("usable"), F.struct(
                       F.xxhash64("label", "v").alias("h1"), F.xxhash64(F.lit(1), "label", "v").alias("h2")))),
                   "vector-rows")
+    # Classes go by a number of their own (fixed once written): one id may name rows of several classes.
     classes = staged(rows.where("usable").groupBy("class").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("label").alias("label"), F.first("v").alias("v")),
-        "vector-classes")
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("label").alias("label"), F.first("v").alias("v"))
+        .withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
     if k is None:
         largest, longest = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).agg(
             F.max("n"), F.max("d")).first()
         axes = 2 << max(1, ((longest or 2) - 1).bit_length())
         k = max(1, math.ceil(math.log(max(2, (largest or 1) * probes / BUCKET_VECTORS), axes)))
+    tables = tables or tables_for(k)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,9 +177,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                    .groupBy("cell").applyInPandas(verify, "rep long, root long, links long"), "vector-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "vector-components")
-    per_class = (classes.select("class", "rep", "n").join(links, "rep", "left")
-                 .join(groups, F.col("rep") == F.col("node"), "left")
-                 .select(F.col("class").alias("_class"), F.coalesce("component", "rep").alias("component"),
+    placed = staged(classes.select("class", "rep", "least", "n").join(links, "rep", "left")
+                    .join(groups, F.col("rep") == F.col("node"), "left")
+                    .withColumn("group", F.coalesce("component", "rep")).drop("component", "node"), "vector-groups")
+    named = placed.groupBy("group").agg(F.min("least").alias("component"))
+    per_class = (placed.join(named, "group")
+                 .select(F.col("class").alias("_class"), "component",
                          (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links")))
     component = F.coalesce("component", "id")
     return (rows.join(per_class, F.col("class") == F.col("_class"), "left")
