@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, lines, mixing, packing, quality
-from tidemark.llm.common import read_table, staged
+from tidemark.llm.common import fresh_prefix, read_table, staged
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -31,7 +31,8 @@ def _with_text(docs: DataFrame, new: DataFrame, text: F.Column) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that other documents keep."""
-    return _with_text(docs, lines.dedup_lines(docs, prefix="_line_"), F.col("_line_kept_text"))
+    prefix = fresh_prefix(docs, "_line_")
+    return _with_text(docs, lines.dedup_lines(docs, prefix=prefix), F.col(f"{prefix}kept_text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

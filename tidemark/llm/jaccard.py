@@ -15,8 +15,9 @@
    verified links is not looked at, so a group of thousands of near copies
    needs few verifications.  Large blocks are split: every part is verified by
    itself and with the first; whatever then lies outside the block's dominant
-   component is verified against all parts.  No pair that could connect two
-   components is left out, and no task holds more than two parts.
+   component is verified against the sets it shares prefix tokens with.  No pair
+   that could connect two components is left out, and no task holds more than
+   two parts.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    Rolling, lower_ascii, mix, shingles, small_or_plain, staged, steps, text_bytes, words_of)
+    Rolling, fresh, lower_ascii, mix, shingles, small_or_plain, staged, steps, text_bytes, words_of)
 from tidemark.llm.graph import components
 
 WORDS, PERCENT = 5, 75
@@ -78,17 +79,17 @@ def digests(token: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.n
 
 
 def set_digests(docs: DataFrame, n_words: int = WORDS) -> DataFrame:
-    """id, n_shingles, d1 and d2 of every row of ``docs`` (id, text)."""
+    """id, hash (of the text), n_shingles, d1 and d2 of every row of ``docs`` (id, hash, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             token, of = token_sets(*text_bytes(batch.column("text")), n_words)
             size, d1, d2 = digests(token, of, batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(size), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))],
-                names=["id", "n_shingles", "d1", "d2"])
+                [batch.column("id"), batch.column("hash"), pa.array(size), pa.array(d1.view(np.int64)),
+                 pa.array(d2.view(np.int64))], names=["id", "hash", "n_shingles", "d1", "d2"])
 
-    return docs.mapInArrow(run, "id long, n_shingles long, d1 long, d2 long")
+    return docs.mapInArrow(run, "id long, hash long, n_shingles long, d1 long, d2 long")
 
 
 def _range_of(h: np.ndarray, n: int) -> np.ndarray:
@@ -282,29 +283,23 @@ def verify_block(rep: np.ndarray, sets: list[np.ndarray], prefixes: list[list[np
     return links
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = WORDS,
-                       percent: int = PERCENT, part_sets: int = PART_SETS) -> DataFrame:
-    """``id_col``, n_shingles and component_id of every document row.
+def _classes_and_links(docs: DataFrame, n_words: int, percent: int, part_sets: int) -> DataFrame:
+    """id, hash, n_shingles, component (a number) and least (its smallest id) of every row of ``docs`` (id, hash, text).
 
-    A set holds the distinct ``n_words``-word shingles of the text with A-Z
-    lower-cased (fewer words: the whole sequence as one; null or wordless
-    text: empty, linked with nothing).  Rows link when 100 * intersection is
-    at least ``percent`` * union; the component is the smallest id reachable,
-    the row's own included.  Ids are integers.  Rows that repeat an id are each
-    judged by their own text; where one id represents two texts' classes, these
-    are one component.  Rows with a null id get the component of their class,
-    if it has an id, and connect nothing.  Other columns are not read.
+    Rows without words or without id in their class have no component.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs
     sets = staged(set_digests(rows, n_words), "jaccard-digests")
+    # Classes go by a number of their own (fixed once written): one id may name rows of several classes.
     classes = staged(sets.where("n_shingles > 0 AND id IS NOT NULL").groupBy("n_shingles", "d1", "d2")
-                     .agg(F.min("id").alias("rep")), "jaccard-classes")
+                     .agg(F.min("id").alias("rep")).withColumn("cls", F.monotonically_increasing_id()), "jaccard-classes")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     alive = staged(with_shared_tokens(rows, percent, n_words, total), "jaccard-alive")
     reps = staged(classes.join(small_or_plain(alive), "d1", "left_semi"), "jaccard-reps")
 
-    # The remaining classes' token sets.
-    wanted = small_or_plain(reps.select(F.col("rep").alias("id"), F.struct("n_shingles", "d1", "d2").alias("set"))
+    # The remaining classes' token sets; from here on, id is the class number.
+    member = F.struct("n_shingles", "d1", "d2", "cls")
+    wanted = small_or_plain(reps.select(F.col("rep").alias("id"), member.alias("set"))
                             .groupBy("id").agg(F.collect_set("set").alias("wanted")))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,20 +309,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             upto = np.cumsum(size)
             lists = [token[e - n : e].view(np.int64) for e, n in zip(upto.tolist(), size.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(size),
+                [pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(size),
                  pa.array(lists, pa.list_(pa.int64())), batch.column("wanted")],
-                names=["id", "d1", "d2", "n", "tokens", "wanted"])
-
-    kind = reps.select(F.array(F.struct("n_shingles", "d1", "d2"))).schema[0].dataType.simpleString()
-    owned = (rows.join(wanted, "id").mapInArrow(
-        tokens, f"id long, d1 long, d2 long, n long, tokens array<long>, wanted {kind}")
-        .where(F.exists("wanted", lambda w: (w["d1"] == F.col("d1")) & (w["d2"] == F.col("d2"))))
-        .drop("wanted").dropDuplicates(["id", "d1", "d2"]))
+                names=["d1", "d2", "n", "tokens", "wanted"])
+
+    kind = reps.select(F.array(member)).schema[0].dataType.simpleString()
+    found = F.filter("wanted", lambda w: (w["d1"] == F.col("d1")) & (w["d2"] == F.col("d2")))
+    owned = (rows.select("id", "text").join(wanted, "id").mapInArrow(
+        tokens, f"d1 long, d2 long, n long, tokens array<long>, wanted {kind}")
+        .select(F.get(found, F.lit(0))["cls"].alias("id"), "d1", "n", "tokens")
+        .where("id IS NOT NULL").dropDuplicates(["id"]))
     owned = staged(owned, "jaccard-sets")
 
     # Prefixes under each order.  Tokens of one set only come first in all orders and join nothing.
     flat = owned.select("id", "d1", "n", F.explode("tokens").alias("token"))
-    frequency = flat.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # Staged, so that the join is between plain tables and a common token's sets are split over tasks.
+    frequency = staged(flat.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "jaccard-frequency")
     shared = (flat.join(frequency, "token").groupBy("id", "d1", "n")
               .agg(F.collect_list(F.struct("df", "token")).alias("shared")))
     allowed = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("shared"))
@@ -342,7 +339,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prefixed = staged(shared.withColumn("allowed", allowed.cast("int")).where("allowed > 0").select(
         "id", "d1", ordered(exact, 1).alias("p0"), ordered(exact, 2).alias("p1"), ordered(rough, 3).alias("p2")),
         "jaccard-prefixes")
-    met = prefixed.select("id", F.explode("p0").alias("token"))
+    met = staged(prefixed.select("id", F.explode("p0").alias("token")), "jaccard-prefix-tokens")
     least = met.groupBy("token").agg(F.min("id").alias("least"))
     blocks = components(met.join(least, "token").where("id <> least").select(
         F.col("id").alias("a"), F.col("least").alias("b")), "jaccard-blocks")
@@ -385,40 +382,115 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         main = (placed.groupBy("block", "known").agg(F.count(F.lit(1)).alias("n"))
                 .groupBy("block").agg(F.max_by("known", F.struct("n", "known")).alias("main")))
         outside = staged(placed.join(main, "block").where("known <> main").drop("main"), "jaccard-outside")
-        out_parts = outside.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / part_sets).cast("int").alias("outs"))
-        outside = (outside.join(out_parts, "block").withColumn("out", F.pmod(F.xxhash64("d1", "id"), F.col("outs")))
-                   .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-                   .withColumn("side", F.lit(1)).drop("outs"))
-        rest = (placed.join(out_parts, "block")
-                .withColumn("out", F.explode(F.sequence(F.lit(0), F.col("outs") - 1)))
-                .withColumn("with", F.col("part")).withColumn("side", F.lit(0)).drop("outs"))
-        more = verified(outside.unionByName(rest.withColumn("out", F.col("out").cast("bigint")))
-                        .withColumn("task", F.concat_ws("/", "block", "with", "out")), "jaccard-more-links")
-        links = links.unionByName(more)
+        links = links.unionByName(_links_by_token(placed, outside, met, verified, percent, part_sets))
     joined = components(links, "jaccard-components")
-    per_class = (classes.join(joined, F.col("rep") == F.col("node"), "left")
+    grouped = staged(classes.join(joined, F.col("cls") == F.col("node"), "left")
+                     .withColumn("component", F.coalesce("component", "cls")).drop("node", "cls"), "jaccard-groups")
+    named = grouped.groupBy("component").agg(F.min("rep").alias("least")).withColumnRenamed("component", "_component")
+    per_class = (grouped.join(named, F.col("component") == F.col("_component"))
                  .select(F.col("n_shingles").alias("_n"), F.col("d1").alias("_d1"), F.col("d2").alias("_d2"),
-                         F.coalesce("component", "rep").alias("component")))
-    result = sets.join(per_class, (F.col("n_shingles") == F.col("_n")) & (F.col("d1") == F.col("_d1"))
-                       & (F.col("d2") == F.col("_d2")), "left")
-    return result.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+                         "component", "least"))
+    same = (F.col("n_shingles") == F.col("_n")) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))
+    return sets.join(per_class, same, "left").select("id", "hash", "n_shingles", "component", "least")
+
+
+def _links_by_token(placed: DataFrame, outside: DataFrame, met: DataFrame, verified, percent: int,
+                    hot: int) -> DataFrame:
+    """Links between sets ``outside`` their block's main component and any of the block's others.
+
+    Linked sets share a prefix token.  A token of at most ``hot`` sets gives
+    pairs of ids, which must pass the length filter and the other two orders
+    before their tokens are fetched; so what is handed to verification follows
+    the pairs that share rare tokens, not the block's size.  Sets of a token
+    that more hold meet part by part in numpy, as blocks do.
+    """
+    # Tokens of the sets in question: those that some outside set has, and how many sets have them.
+    of_outside = met.join(outside.select("id").distinct(), "id", "left_semi").select("token").distinct()
+    holders = met.join(of_outside, "token", "left_semi")
+    counted = staged(holders.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "jaccard-holders")
+    rare = holders.join(counted.where(F.col("sets") <= hot).select("token"), "token", "left_semi")
+    left = rare.join(outside.select("id", "known"), "id").select("token", F.col("id").alias("a"), F.col("known").alias("ka"))
+    right = rare.join(placed.select("id", "known"), "id").select("token", F.col("id").alias("b"), F.col("known").alias("kb"))
+    pairs = staged(left.join(right, "token").where("ka <> kb").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
+    small = placed.select("id", F.size("tokens").alias("n"), "p1", "p2")
+    sides = pairs
+    for side in "ab":
+        sides = sides.join(small.select(*[F.col(c).alias(f"{c}_{side}") for c in small.columns]),
+                           F.col(side) == F.col(f"id_{side}")).drop(f"id_{side}")
+    sides = sides.where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                        & F.arrays_overlap("p1_a", "p1_b") & F.arrays_overlap("p2_a", "p2_b")).select("a", "b")
+    sides = staged(sides, "jaccard-candidates")
+    full = placed.select("id", "tokens")
+    checked = (sides.join(full.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
+               .join(full.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b"))
+    common = F.size(F.array_intersect("x", "y"))
+    links = staged(checked.withColumn("common", common).where(
+        100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b"), "jaccard-rare-links")
+
+    often = staged(holders.join(counted.where(F.col("sets") > hot).select("token"), "token", "left_semi")
+                   .select("id").distinct(), "jaccard-often")
+    if often.isEmpty():
+        return links
+    out = outside.join(often, "id", "left_semi")
+    rest = placed.join(often, "id", "left_semi")
+    rest_parts = rest.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("rests"))
+    out_parts = out.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / hot).cast("int").alias("outs"))
+    number = lambda name: F.pmod(F.xxhash64("d1", "id"), F.col(name)).cast("int")
+    out = (out.join(rest_parts, "block").join(out_parts, "block").withColumn("out", number("outs"))
+           .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("rests") - 1))).withColumn("side", F.lit(1)))
+    rest = (rest.join(rest_parts, "block").join(out_parts, "block").withColumn("with", number("rests"))
+            .withColumn("out", F.explode(F.sequence(F.lit(0), F.col("outs") - 1))).withColumn("side", F.lit(0)))
+    more = verified(out.unionByName(rest).withColumn("task", F.concat_ws("/", "block", "with", "out")), "jaccard-more-links")
+    return links.unionByName(more)
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = WORDS,
+                       percent: int = PERCENT, part_sets: int = PART_SETS) -> DataFrame:
+    """``id_col``, n_shingles and component_id of every document row.
+
+    A set holds the distinct ``n_words``-word shingles of the text with A-Z
+    lower-cased (fewer words: the whole sequence as one; null or wordless
+    text: empty, linked with nothing).  Rows link when 100 * intersection is
+    at least ``percent`` * union; the component is the smallest id reachable,
+    the row's own included.  Ids are integers.  Rows that repeat an id are each
+    judged by their own text.  Rows with a null id get the component of their
+    class, if it has an id, and connect nothing.  Other columns are not read.
+    """
+    found = _classes_and_links(_rows(docs, id_col, text_col), n_words, percent, part_sets)
+    return found.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("least", "id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = WORDS,
+             percent: int = PERCENT, part_sets: int = PART_SETS) -> DataFrame:
     """One row of each group of linked documents, unchanged: that of the smallest id.
 
-    Rows without words are linked with nothing and all stay.  Of rows that
-    repeat an id, or have none, one of each text stays.
+    If several texts of a group have that id, the one with the smallest text
+    hash stays; of rows that repeat id and text, one.  Rows without words are
+    linked with nothing and all stay.  Of rows without id, one of each text
+    stays.
     """
-    found = staged(jaccard_components(docs, id_col, text_col, **kw), "jaccard-found")
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    left = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    again = staged(found.where("n_shingles > 0").groupBy(F.col(id_col).alias("_again")).count()
-                   .where("count > 1").select("_again"), "jaccard-repeated")
+    found = staged(_classes_and_links(_rows(docs, id_col, text_col), n_words, percent, part_sets), "jaccard-found")
+    worded = found.where("n_shingles > 0")
+    one = (worded.where("id IS NOT NULL").groupBy("component").agg(F.min(F.struct("id", "hash")).alias("one"))
+           .select("one.*").distinct())
+    id_, hash_ = fresh(docs, "_keep_id", "_keep_hash")
+    stays = staged(one.unionByName(worded.where("id IS NULL").select("id", "hash").distinct())
+                   .select(F.col("id").alias(id_), F.col("hash").alias(hash_)), "jaccard-stays")
+    text = F.col(f"`{text_col}`").cast("string")
+    own_id = F.col(f"`{id_col}`").cast("long")
+    same = own_id.eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(hash_))
+    wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = docs.where(~wordless).join(stays, same, "left_semi")
+    again = staged(worded.groupBy("id", "hash").count().where("count > 1")
+                   .select(F.col("id").alias(id_), F.col("hash").alias(hash_)), "jaccard-repeated")
+    out = docs.where(wordless)
     if again.isEmpty():
-        return left
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_again"))
-    repeated = left.join(again, same, "left_semi")
-    wordless = ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return (left.join(again, same, "left_anti").unionByName(repeated.where(wordless))
-            .unionByName(repeated.where(~wordless).dropDuplicates([id_col, text_col])))
+        return out.unionByName(kept)
+    repeated = kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col])
+    return out.unionByName(kept.join(again, same, "left_anti")).unionByName(repeated)
