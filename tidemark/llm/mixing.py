@@ -17,10 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_or_plain, staged
+from tidemark.llm.common import fresh, small_or_plain, staged
 
 #: Rows per range of a distributed running sum, on average.
 RANGE_ROWS = 4_000
+#: Cells that one task adds up.
+SPAN_CELLS = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -34,13 +36,23 @@ def running_sum(df: DataFrame, value: str, group: list[str], cell: Column, order
     """``df`` with ``out``: the sum of ``value`` over rows of the same group up to and including the row.
 
     Rows are ordered by (cell, order); ``cell`` must rise with the order.  Cell
-    sums are added up along the cells of a group, so one task sees at most a
-    cell's rows or a group's cells.
+    sums are added up along the cells of a span, and these along the spans of a group,
+    so one task sees at most a cell's rows, SPAN_CELLS cells or a group's spans.
     """
     df = df.withColumn("_cell", cell)
     cells = staged(df.groupBy(*group, "_cell").agg(F.sum(value).alias("_sum")), name)
-    before = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    # Cells in turn are summed over spans of SPAN_CELLS, so that no task sees all cells of a large group.
+    cells = cells.withColumn("_span", F.floor(F.col("_cell") / SPAN_CELLS).cast("long"))
+    spans = cells.groupBy(*group, "_span").agg(F.sum("_sum").alias("_in_span"))
+    earlier = Window.partitionBy(*group).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("_spans", F.coalesce(F.sum("_in_span").over(earlier), F.lit(0)))
+    spans = spans.select(*[F.col(g).alias(f"_s{i}") for i, g in enumerate(group)], F.col("_span").alias("_of"), "_spans")
+    of_span = F.col("_span") == F.col("_of")
+    for i, g in enumerate(group):
+        of_span = of_span & F.col(g).eqNullSafe(F.col(f"_s{i}"))
+    before = Window.partitionBy(*group, "_span").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (cells.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).join(spans, of_span)
+             .withColumn("_before", F.col("_before") + F.col("_spans")))
     cells = cells.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
                          F.col("_cell").alias("_c"), "_before")
     same = F.col("_cell").eqNullSafe(F.col("_c"))
@@ -89,21 +101,21 @@ def content_hash(docs: DataFrame) -> Column:
 def mix_sources(docs: DataFrame, sizes: Column, weights: DataFrame | None = None, id_col: str = "doc_id",
                 source_col: str = "source", max_repeats: int = 3, budget: float | None = None,
                 seed: int = 0, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """``id_col``, row hash, size, source, source_size, target, copies and taken of every document row.
+    """``id_col``, row hash, size, source, source_size, target, copies, part and taken of every document row.
 
     ``sizes`` is a long expression over ``docs``; ``budget`` defaults to the sum
     of all sizes.  ``weights`` has ``source_col`` and weight (default:
     :func:`default_weights`; null-safe; sources without one weigh 0).  A row's
-    ``copies`` (0 to ``max_repeats``) are served whole and ``taken`` is their
-    size, so a source misses its target by less than its largest document, and
-    the budget is not exceeded.  The order inside a source is a hash of id,
+    ``copies`` (0 to ``max_repeats``) are served whole; of the copy that a source is
+    serving when the budget ends it takes a ``part``, up to the source's target (identical
+    rows share theirs).  ``taken`` is both together, and the budget is not exceeded.  The order inside a source is a hash of id,
     text row and ``seed``; identical rows are queued one after the other.
     Rows of size 0 are taken once and cost nothing.  Null sources are a
     source of their own.
     """
     # One row per distinct (id, source, size, content); n identical rows are one entry served n times as large.
     content = content_hash(docs)
-    queue = (docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+    queue = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
                          F.coalesce(sizes, F.lit(0)).cast("long").alias("size"), content.alias("row"))
              .groupBy("id", "source", "size", "row").agg(F.count(F.lit(1)).alias("n"))
              .withColumn("key", F.xxhash64(F.lit(seed), "id", "row")).withColumn("load", F.col("size") * F.col("n")))
@@ -132,10 +144,8 @@ def mix_sources(docs: DataFrame, sizes: Column, weights: DataFrame | None = None
     copies = (queue.where((F.col("load") > 0) & (F.col("target") > 0))
               .select("source", "key", "id", "row", "load", "source_size", "target", "upto", turn)
               .withColumn("finish", finish))
-    # What ends after 2 is sorted only if the budget lasts that long: then, most sources have had twice their target.
-    early = copies.where(F.col("finish") <= 2)
-    if (early.agg(F.sum("load")).first()[0] or 0) > budget:
-        copies = early
+    # At virtual time 1 every source has had its target and the budget is spent: later copies need no sorting.
+    copies = copies.where(F.col("finish") <= 1)
     served = running_sum(copies, "load", [], F.floor(F.col("finish") * n_ranges).cast("long"),
                          ["finish", F.col("source").asc_nulls_last(), "turn", "key", "id", "row"], "spent",
                          "mix-global-sums")
@@ -145,16 +155,25 @@ def mix_sources(docs: DataFrame, sizes: Column, weights: DataFrame | None = None
                      F.col("id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")) & (F.col("key") == F.col("_key"))
                      & F.col("source").eqNullSafe(F.col("_source")), "left")
     copies = F.when(F.col("load") == 0, F.lit(1)).otherwise(F.coalesce("_copies", F.lit(0))).cast("int")
+    # The copy a source is serving when the budget ends: what lies before the source's target.
+    start = copies * F.col("source_size") + F.col("upto") - F.col("load")
+    part = F.least(F.greatest(F.floor("target") - start, F.lit(0)), F.col("load"))
+    part = F.when((F.col("load") > 0) & (copies < max_repeats), F.floor(part / F.col("n"))).otherwise(F.lit(0)).cast("long")
     return out.select(F.col("id").alias(id_col), "row", "n", F.col("source").alias(source_col), "size", "source_size",
-                      "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+                      "target", copies.alias("copies"), part.alias("part"), (copies * F.col("size") + part).alias("taken"))
 
 
 def repeat_rows(docs: DataFrame, sizes: Column, id_col: str = "doc_id", source_col: str = "source", **kw) -> DataFrame:
-    """The rows of ``docs``, each as often as :func:`mix_sources` takes it; columns unchanged."""
+    """The rows of ``docs``, each as often as :func:`mix_sources` takes it; columns unchanged.
+
+    Rows stay whole: a part counts as a copy if it is at least half of the row.
+    """
     mixed = mix_sources(docs, sizes, id_col=id_col, source_col=source_col, **kw)
-    copies = staged(mixed.where("copies > 0").select(F.col(id_col).alias("_mix_id"), F.col("row").alias("_mix_row"),
-                                                     F.col("copies").alias("_mix_copies")), "mix-copies")
-    same = F.col(id_col).eqNullSafe(F.col("_mix_id")) & (content_hash(docs) == F.col("_mix_row"))
+    times = F.col("copies") + F.when((F.col("part") > 0) & (2 * F.col("part") >= F.col("size")), 1).otherwise(0)
+    own_id, own_row, own_times, turn = fresh(docs, "_mix_id", "_mix_row", "_mix_copies", "_mix_turn")
+    copies = staged(mixed.withColumn("times", times).where("times > 0").select(
+        F.col(id_col).alias(own_id), F.col("row").alias(own_row), F.col("times").alias(own_times)), "mix-copies")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(own_id)) & (content_hash(docs) == F.col(own_row))
     taken = docs.join(copies, same)
-    return (taken.withColumn("_mix_turn", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-            .select(*docs.columns))
+    return (taken.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(own_times).cast("int"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
