@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import itertools
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,12 +120,19 @@ def candidate_spans(text: str, found: list, failed: list) -> list[tuple[str, int
         if m and 0 < at - start < _REACH:
             more.append(("email", start, m.end() - (text[m.end() - 1] == ".")))
         at = text.find("@", at + 1)
-    taken = sorted((s, e) for _, s, e in found)
+    taken: list[list[int]] = []  # where base spans lie: apart and rising
+    for s, e in sorted((s, e) for _, s, e in found):
+        if taken and s <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+    begins = [s for s, _ in taken]
     out = []
     for kind, s, e in sorted(set(more), key=lambda x: x[1:]):
         if (s and (text[s - 1].isalnum())) or (e < len(text) and text[e].isalnum()):
             continue
-        if any(a < e and s < b for a, b in taken):
+        before = bisect_left(begins, e) - 1  # the last base span that begins before the candidate's end
+        if before >= 0 and taken[before][1] > s:
             continue
         out.append((kind, s, e))
     return out
