@@ -25,8 +25,8 @@ def order_metrics(spark: SparkSession, sf_dir: str, newest: int | None = None) -
     because ``(l_orderkey, l_linenumber)`` is not unique in the data.
 
     ``newest=N`` keeps only the N newest orders, selected *before* the
-    aggregation (top-k of distinct keys per task + a broadcast of N keys), so
-    the job scans lineitem once instead of shuffling all of it.  The rows for
+    aggregation (top-k of distinct keys per task; the N-th key then filters a second
+    scan), so lineitem is never shuffled in full.  The rows for
     those orders are the same as in the full result.
     """
     li = table(spark, sf_dir, "lineitem")

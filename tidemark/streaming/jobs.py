@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.weights import DEFAULT_WEIGHTS
 from tidemark.streaming.processors import LatestNProcessor, WindowedLatestNProcessor
 from tidemark.streaming.sinks import write_batch
+from tidemark.streaming.state import DEFAULT_BUCKETS
 
 
 def file_stream(spark: SparkSession, directory: str, schema, file_glob: str | None = None,
@@ -61,6 +62,7 @@ def start_threshold_stream(
     name: str | None = None,
     writer=write_batch,
     emit: str = "update",
+    state_buckets: int = DEFAULT_BUCKETS,
 ) -> StreamingQuery:
     """Run a latest-N threshold model over a stream; results go to ``out_path``
     (batch-keyed parquet, read the final state with ``sinks.read_latest``).
@@ -69,7 +71,9 @@ def start_threshold_stream(
     every sliding event-time window; without it, per series over the stream.
     With a window, ``emit`` is ``"update"`` (rewrite every window that got
     rows) or ``"closed"`` (each window once, when the watermark passes its
-    end).  State lives in ``checkpoint/state``.
+    end).  State lives in ``checkpoint/state``, dealt to ``state_buckets``: a batch
+    rewrites the buckets it touches, one task each, so give a large cluster
+    as many as it has cores (fixed for the life of a checkpoint).
     """
     state = f"{checkpoint.rstrip('/')}/state"
     if window:
@@ -77,10 +81,10 @@ def start_threshold_stream(
             raise ValueError("time_col is required with a window")
         proc = WindowedLatestNProcessor(df.schema, state, out_path, time_col, window[0], window[1],
                                         metrics, order_by, n, series_cols, model, weights,
-                                        label_col, delay_s, writer=writer, emit=emit)
+                                        label_col, delay_s, writer=writer, emit=emit, buckets=state_buckets)
     else:
         proc = LatestNProcessor(df.schema, state, out_path, metrics, order_by, n, series_cols,
-                                model, weights, label_col, writer=writer)
+                                model, weights, label_col, writer=writer, buckets=state_buckets)
     return _start(df, proc, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now, name)
 
 
@@ -217,6 +221,7 @@ def start_dynamic_threshold_job(
     emit: str = "closed",
     series_cols: Sequence[str] = (),
     order_by: str | Sequence[str] = "offset",
+    state_buckets: int = DEFAULT_BUCKETS,
 ) -> StreamingQuery:
     """The whole threshold job on a message stream ``(key, value, offset, <time_col>)``.
 
@@ -268,7 +273,7 @@ def start_dynamic_threshold_job(
     proc = WindowedLatestNProcessor(records.schema, f"{checkpoint.rstrip('/')}/state", out_path, time_col,
                                     length_s, slide_s, metrics, order_by, n, list(series_cols), name, w,
                                     "create_date", delay_s, writer=writer,
-                                    state_cols=["key", "value"], prepare=prepare, emit=emit)
+                                    state_cols=["key", "value"], prepare=prepare, emit=emit, buckets=state_buckets)
     return _start(records, proc, f"{checkpoint.rstrip('/')}/query", trigger_seconds, available_now, None)
 
 

@@ -1,7 +1,7 @@
 """Per-series latest-N thresholds on Spark's keyed state store.
 
-The ``foreachBatch`` processors rewrite their whole state table every
-micro-batch (O(N x series)).  With very many series and few touched per
+The ``foreachBatch`` processors rewrite the state buckets a micro-batch
+touches.  With very many series and few touched per
 batch, the keyed state store is cheaper: only the series present in a batch
 are loaded and updated (with the RocksDB state store provider configured,
 checkpoints are incremental too).

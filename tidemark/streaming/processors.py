@@ -44,7 +44,7 @@ from tidemark.operators.windows import (
     settle_ties,
 )
 from tidemark.streaming.sinks import write_batch
-from tidemark.streaming.state import VersionedState
+from tidemark.streaming.state import DEFAULT_BUCKETS, VersionedState
 
 
 def _columns(*groups) -> list[str]:
@@ -63,7 +63,7 @@ class LatestNProcessor:
                  metrics: Sequence[str], order_by: str | Sequence[str], n: int,
                  series_cols: str | Sequence[str] = (), model: str = "MA",
                  weights: Sequence[float] = DEFAULT_WEIGHTS, label_col: str | None = None,
-                 rename: Mapping[str, str] | None = None, writer=write_batch):
+                 rename: Mapping[str, str] | None = None, writer=write_batch, buckets: int = DEFAULT_BUCKETS):
         self.writer = writer
         self.series = _as_list(series_cols)
         self.order = _as_list(order_by)
@@ -71,7 +71,7 @@ class LatestNProcessor:
         self.weights, self.label_col, self.rename = weights, label_col, rename
         self.cols = _columns(self.series, self.order, self.metrics, label_col)
         schema = T.StructType([input_schema[c] for c in self.cols])
-        self.state = VersionedState(state_path, schema, self.series)
+        self.state = VersionedState(state_path, schema, self.series, buckets)
         self.sink_path = sink_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -121,7 +121,8 @@ class WindowedLatestNProcessor:
                  model: str = "MA", weights: Sequence[float] = DEFAULT_WEIGHTS,
                  label_col: str | None = None, delay_s: int = 3600,
                  rename: Mapping[str, str] | None = None, writer=write_batch,
-                 state_cols: Sequence[str] | None = None, prepare=None, emit: str = "update"):
+                 state_cols: Sequence[str] | None = None, prepare=None, emit: str = "update",
+                 buckets: int = DEFAULT_BUCKETS):
         if emit not in ("update", "closed"):
             raise ValueError("emit must be 'update' or 'closed'")
         self.emit = emit
@@ -141,7 +142,7 @@ class WindowedLatestNProcessor:
         self.time_type = input_schema[time_col].dataType
         schema = T.StructType([input_schema[c] for c in self.cols]
                               + [T.StructField("__pane", self.time_type, True)])
-        self.state = VersionedState(state_path, schema, [*self.series, "__pane"])
+        self.state = VersionedState(state_path, schema, [*self.series, "__pane"], buckets)
         self.sink_path = sink_path
         self._blocked = self.pane_s == slide_s and length_s // slide_s >= BLOCKED_MIN_WINDOWS_PER_PANE
 
