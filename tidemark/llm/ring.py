@@ -2,9 +2,10 @@
 
 Each shard owns ``vnodes`` points of a hash ring; a key belongs to the next
 point clockwise.  A shard takes keys until it holds (1 + slack) times the mean
-load; further keys go on clockwise to the next shard with room.  So no shard
-exceeds that bound, and a new shard moves only what its points take over plus
-what overflows differently.
+load; further keys go on clockwise to the next shard with room.  So a shard
+exceeds that bound only by a unit that fits nowhere (a single large document
+at the end of the walk goes to the least loaded shard), and a new shard moves
+only what its points take over plus what overflows differently.
 
 The ring is walked over *units*: equal slices of the ring, each one shard's
 worth / ``units_per_shard`` on average.  A text's place is its hash, so copies
