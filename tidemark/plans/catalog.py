@@ -26,7 +26,7 @@ from tidemark.functions.schema import (
     daily_index_name,
     day_bucket,
 )
-from tidemark.functions.weights import DEFAULT_WEIGHTS, band_weight_sql, denominator, ewma_k
+from tidemark.functions.weights import DEFAULT_WEIGHTS, band_bounds, band_weight_sql, denominator, ewma_k
 from tidemark.operators.models import (
     aggregate_ranked,
     describe_summary,
@@ -44,6 +44,8 @@ from tidemark.operators.reshape import (
     summary_to_long,
     transpose,
 )
+from tidemark.operators.rolling import rolling_threshold
+from tidemark.operators.selection import newest_rows
 from tidemark.operators.windows import (
     sliding_aggregate,
     sliding_limits,
@@ -51,7 +53,7 @@ from tidemark.operators.windows import (
     window_count,
     window_threshold,
 )
-from tidemark.sources.records import decode_records, encode_records, project_record
+from tidemark.sources.records import classify_records, decode_records, encode_records, project_record
 from tidemark.sources.tables import ORDER_METRICS_SQL, order_metrics, table
 
 ROUND_DIGITS = 6
@@ -617,6 +619,72 @@ FROM (SELECT event_type, CAST(d AS DATE) AS day,
 WHERE (rn - 1) % 2 = 0 AND rn <= 9"""
 
 
+# ------------------------------------------------------------------ large N, every record, bad records
+
+def q_latest_n_tenth(spark, sf):
+    """The newest tenth of all events, ranked: an N that grows with the table."""
+    ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type", "value")
+    return rounded(newest_rows(ev, ev.count() // 10, ["ts", "event_id"]))
+
+
+SQL_LATEST_N_TENTH = rounded_sql(f"""
+SELECT {EV_COLS}, row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1 AS rank
+FROM events QUALIFY rank < (SELECT count(*) // 10 FROM events)""", ["value"])
+
+
+def _rolling(model: str, n: int, series: list[str]):
+    def build(spark, sf):
+        """The model at every event, over the newest n up to it."""
+        return rounded(rolling_threshold(_events(spark, sf), model, ["value"], "event_id", n, series))
+    return build
+
+
+def q_rolling_ma(spark, sf):
+    """Mean of the newest 64 whole cents at every event (whole numbers: averages over 32 or 64 rows are often decimal ties)."""
+    ev = _events(spark, sf).withColumn("value", F.floor(F.col("value") * 100 + 0.5).cast("double"))
+    return rounded(rolling_threshold(ev, "MA", ["value"], "event_id", 64, "event_type"))
+
+
+def _rolling_sql(model: str, n: int, series: list[str]) -> str:
+    over = f"OVER ({f'PARTITION BY {chr(44).join(series)} ' if series else ''}ORDER BY event_id ROWS BETWEEN"
+    if model == "MA":
+        expr = f"avg(value) {over} {n - 1} PRECEDING AND CURRENT ROW)"
+    elif model == "WMA_FLAT":
+        expr = f"sum(value) {over} {n - 1} PRECEDING AND CURRENT ROW) * {_d(DEFAULT_WEIGHTS[0])} / {_d(denominator(n))}"
+    else:
+        bounds = [0, *band_bounds(n)]
+        bands = [f"coalesce(sum(value) {over} {b - 1} PRECEDING AND {a} PRECEDING) * {_d(w)}, 0)"
+                 for a, b, w in zip(bounds, bounds[1:], DEFAULT_WEIGHTS, strict=False)]
+        expr = f"({' + '.join(bands)}) / {_d(denominator(n))}"
+    keys = "".join(f"{c}, " for c in series)
+    return rounded_sql(f"SELECT {keys}event_id, {expr} AS dt_value FROM events", ["dt_value"])
+
+
+RECORD_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def line_messages(spark, sf) -> DataFrame:
+    """One message per line item; lines 1 to 4 have no key, no value, a text field or a field less."""
+    li, line = table(spark, sf, "lineitem"), F.col("l_linenumber")
+    fields = [F.col(c).cast("string") for c in RECORD_COLS]
+    value = (F.when(line == 2, F.lit(None)).when(line == 3, F.concat_ws(PAD_SEP, *fields[:-1], "l_returnflag"))
+             .when(line == 4, F.concat_ws(PAD_SEP, *fields[:-1])).otherwise(F.concat_ws(PAD_SEP, *fields)))
+    return li.select(F.when(line != 1, F.date_format("l_shipdate", "yyyy-MM-dd")).alias("key"), value.alias("value"),
+                     F.col("l_orderkey").alias("offset"))
+
+
+def q_record_split(spark, sf):
+    """Every message, decoded or with the reason why not."""
+    return rounded(classify_records(line_messages(spark, sf)).drop("value"))
+
+
+SQL_RECORD_SPLIT = rounded_sql(
+    "SELECT CASE WHEN l_linenumber <> 1 THEN strftime(l_shipdate, '%Y-%m-%d') END AS create_date, "
+    + ", ".join(f"CASE WHEN l_linenumber > 4 THEN CAST({c} AS DOUBLE) END AS {m}" for c, m in zip(RECORD_COLS, METRIC_COLS, strict=True))
+    + ", l_orderkey AS \"offset\", CASE l_linenumber WHEN 1 THEN 'null key' WHEN 2 THEN 'null value' "
+      "WHEN 3 THEN 'not a number' WHEN 4 THEN 'wrong number of fields' END AS reason FROM lineitem", list(METRIC_COLS))
+
+
 # ------------------------------------------------------------------ registry
 
 def _q(name, ops, build, sql=None):
@@ -672,6 +740,13 @@ QUERIES: list[Query] = [
     _q("sliding_summary", ["A4", "W2"], q_sliding_summary, SQL_SLIDING_SUMMARY),
     _q("sliding_limits", ["M5", "W2", "E8"], q_sliding_limits, SQL_SLIDING_LIMITS),
     _q("business_day_index", ["R4"], q_business_day_index, SQL_BUSINESS_DAY_INDEX),
+    _q("latest_n_tenth", ["T1", "T3"], q_latest_n_tenth, SQL_LATEST_N_TENTH),
+    _q("rolling_wma", ["A2", "M1", "M3"], _rolling("WMA", 20, ["user_id"]), _rolling_sql("WMA", 20, ["user_id"])),
+    _q("rolling_wma_one_series", ["A2", "M1", "M3"], _rolling("WMA", 22, []), _rolling_sql("WMA", 22, [])),
+    _q("rolling_wma_flat", ["A3"], _rolling("WMA_FLAT", 20, ["event_type"]), _rolling_sql("WMA_FLAT", 20, ["event_type"])),
+    _q("rolling_ma", ["A1"], q_rolling_ma, _rolling_sql("MA", 64, ["event_type"]).replace(
+        "FROM events", "FROM (SELECT event_type, event_id, CAST(floor(value * 100 + 0.5) AS DOUBLE) AS value FROM events) e")),
+    _q("record_split", ["S3", "S4", "S5", "W4"], q_record_split, SQL_RECORD_SPLIT),
 ]
 
 

@@ -91,6 +91,35 @@ def _checked(fields: Sequence[str]) -> Column:
             .otherwise(F.lit(True)).cast("boolean"))
 
 
+#: Why a message is no metric record, the first that holds.
+BAD_REASONS = ("null key", "null value", "wrong number of fields", "not a number")
+
+
+def classify_records(df: DataFrame, metrics: Sequence[str] = METRIC_COLS, label: str = LABEL_COL,
+                     keep: Sequence[str] = (OFFSET_COL,)) -> DataFrame:
+    """Message rows -> ``label, metrics.., keep.., value, reason``, every row.
+
+    ``reason`` is null for a well-formed record, else one of :data:`BAD_REASONS`;
+    the metrics of a bad record are null and ``value`` is its message (null for
+    a good one).  The message is split and read once per row.
+    """
+    own = ["key", "value", *[c for c in keep if c not in ("key", "value")]]
+    split = barrier(df, *own, __parts=F.split("value", ","))
+    named = [f"__f{i}" for i in range(len(metrics))]
+    read = barrier(split, *own, __n=F.size("__parts"), **{
+        f: F.trim(F.get("__parts", F.lit(i))).try_cast("double") for i, f in enumerate(named)})
+    missing = F.lit(False)
+    for f in named:
+        missing = missing | F.col(f).isNull()
+    tests = (F.col("key").isNull(), F.col("value").isNull(), F.col("__n") != F.lit(len(metrics)), missing)
+    reason = F.coalesce(*[F.when(t, F.lit(r)) for t, r in zip(tests, BAD_REASONS, strict=True)])
+    known = read.withColumn("__reason", reason)
+    good = F.col("__reason").isNull()
+    return known.select(F.col("key").alias(label),
+                        *[F.when(good, F.col(f)).alias(m) for f, m in zip(named, metrics, strict=True)], *keep,
+                        F.when(~good, F.col("value")).alias("value"), F.col("__reason").alias("reason"))
+
+
 def encode_records(df: DataFrame, metrics: Sequence[str], key: Column | str,
                    offset: Column | str, sep: str = ",") -> DataFrame:
     """Inverse of :func:`decode_records`: pack metric columns into a message value."""

@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.catalog import (
     SQL_MA_PER_SERIES,
+    SQL_RECORD_SPLIT,
     _wma_sql_per_user,
     SQL_SLIDING_AVG,
     SQL_SLIDING_COUNT,
     Query,
     _window_model_sql,
+    line_messages,
     rounded,
     rounded_sql,
 )
@@ -36,6 +38,7 @@ from tidemark.streaming.jobs import (
     start_window_count_stream,
 )
 from tidemark.streaming.keyed import start_keyed_latest_n_stream
+from tidemark.streaming.quarantine import read_quarantine, start_record_split_stream
 from tidemark.streaming.sinks import read_latest, write_daily
 from tidemark.streaming.window_state import start_window_state_stream
 
@@ -300,7 +303,21 @@ SQL_STREAM_DAILY_SINK = (
     "SELECT *, 'poc_os_metric_dt_' || strftime(create_date, '%Y_%m_%d') AS index_name "
     f"FROM ({SQL_MA_PER_SERIES}) m")
 
+
+def q_stream_record_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages that a stream of line items sets aside, beside the decoded ones."""
+    root = scratch_path(spark, "stream_record_quarantine")
+    line_messages(spark, sf).repartition(N_FILES).write.parquet(f"{root}/input")
+    src = file_stream(spark, f"{root}/input", line_messages(spark, sf).schema, max_files_per_trigger=FILES_PER_BATCH)
+    start_record_split_stream(src, f"{root}/out", f"{root}/ckpt", available_now=True).awaitTermination()
+    return read_quarantine(spark, f"{root}/out").select("create_date", "offset", "reason")
+
+
+SQL_STREAM_RECORD_QUARANTINE = f"SELECT create_date, \"offset\", reason FROM ({SQL_RECORD_SPLIT}) r WHERE reason IS NOT NULL"
+
+
 STREAM_QUERIES: list[Query] = [
+    Query("stream_record_quarantine", ("S3", "S4", "S5", "W4"), q_stream_record_quarantine, SQL_STREAM_RECORD_QUARANTINE),
     Query("stream_window_wma", ("W1", "W2", "W3", "W4", "W5", "A2"), q_stream_window_wma,
           _window_model_sql("WMA", 21600, 3600, 20, ["event_type"])),
     Query("stream_latest_n_ma", ("S2", "W3", "W4", "T2", "A1"), q_stream_latest_n_ma, SQL_MA_PER_SERIES),
