@@ -92,6 +92,22 @@ def test_cells_of_long_texts_are_those_of_short_ones(monkeypatch):
     assert all(np.array_equal(x, y) for x, y in zip(whole, substrings.cells_of(data, offsets, 200, 64), strict=True))
 
 
+def test_substrings_of_many_equal_rows_collect_each_span_once(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    a, b = (bytes(rng.integers(97, 123, 900, dtype=np.uint8)).decode() for _ in range(2))
+    rows = [(None, a)] * 300 + [(1, b), (2, a[:500] + b[300:]), (3, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    tables, write = {}, substrings.common.staged
+    monkeypatch.setattr(substrings.common, "staged", lambda df, name: tables.setdefault(name, write(df, name)))
+    before = spark.conf.get(substrings.SHUFFLE_CLEANUP)
+    got = substrings.remove_repeats(docs).collect()
+    assert {(r["doc_id"], r["n_removed"]) for r in got} == {(None, 900), (1, 600), (2, 1100), (3, 0)} and len(got) == 303
+    spans = tables["substring-spans"].select("spans").collect()
+    assert all(len({tuple(x) for x in r["spans"]}) == len(r["spans"]) for r in spans)
+    assert max(len(r["spans"]) for r in spans) < 40
+    assert spark.conf.get(substrings.SHUFFLE_CLEANUP) == before
+
+
 def test_substrings_of_repeated_and_null_ids(spark):
     text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(400))
     docs = documents(spark, [text, text, "other", None], ids=[1, 1, None, None])

@@ -22,16 +22,16 @@ Matches are found on the input; all covered bytes are then removed together.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Rolling, plus_fields, staged, steps, text_bytes
+from tidemark.llm import common
+from tidemark.llm.common import Rolling, plus_fields, steps, text_bytes
 
 LENGTH, GRAM = 200, 64
 SHARD_BYTES, SPLIT_CELLS = 2_000_000, 4096
@@ -41,10 +41,22 @@ PLACE_BITS = 28
 SCAN_BYTES = 300_000
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished steps (their results are staged)."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+#: Spark's setting to delete an execution's shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``common.staged``, after which the write's shuffle files go: nothing reads them again."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return common.staged(df, name)
+    finally:
+        if before is None:
+            conf.unset(SHUFFLE_CLEANUP)
+        else:
+            conf.set(SHUFFLE_CLEANUP, before)
 
 
 def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
@@ -206,7 +218,8 @@ def shard_spans(cells: DataFrame, length: int, split_cells: int, shard_bytes: in
     """
     total = cells.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    kinds = cells.groupBy("f").agg(F.ceil(F.count(F.lit(1)) / split_cells).cast("int").alias("parts")).where("parts > 1")
+    kinds = staged(cells.groupBy("f").agg(F.ceil(F.count(F.lit(1)) / split_cells).cast("int").alias("parts"))
+                   .where("parts > 1"), "substring-parts")
     dealt = (cells.join(kinds, "f", "left").fillna(1, ["parts"])
              .withColumn("part", F.pmod("c", F.col("parts")).cast("int"))
              .withColumn("shard", F.when(F.col("parts") > 1, F.concat_ws("/", "f", "part"))
@@ -300,19 +313,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     begin or end inside a character.  Repeated rows are copies of each other
     like any two equal texts.  Other columns are not read.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
     cells = staged(cell_table(rows.where(F.octet_length("text") >= length), length, gram), "substring-cells")
-    # Staged, so that the join is between plain tables and a common fingerprint's cells are split over tasks.
+    # Staged, as below, so that joins are between plain tables and a common fingerprint's cells are split over tasks.
     shared = staged(cells.groupBy("f").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("f"),
                     "substring-fingerprints")
     cells = staged(cells.join(shared, "f", "left_semi"), "substring-shared")
-    release(spark)
     kinds = staged(cells.groupBy("f", "c", "windows").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "hash", "start")).alias("one")), "substring-kinds")
     whole = (cells.join(kinds.where("n > 1").select("f", "c", "windows"), ["f", "c", "windows"], "left_semi")
              .select("id", "hash", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end")))
-    several = kinds.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("f")
+    several = staged(kinds.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("f"),
+                     "substring-several")
     compared = (kinds.join(several, "f", "left_semi")
                 .select("one.*", "f", "c", "windows", F.least(F.col("n"), F.lit(2)).alias("n"))
                 .groupBy("id", "hash").agg(F.collect_list(F.struct("f", "c", "n", "start", "windows")).alias("cells")))
@@ -342,11 +354,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         # A row that is repeated gives its cells again.
         .dropDuplicates(["f", "c", "windows"]))
     bytes_ = staged(bytes_, "substring-bytes")
-    release(spark)
     spans = whole.unionByName(shard_spans(bytes_, length, split_cells, shard_bytes))
     spans = staged(spans.groupBy(F.col("id").alias("_id"), F.col("hash").alias("_hash"))
-                   .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")), "substring-spans")
-    release(spark)
+                   .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")), "substring-spans")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
