@@ -1,5 +1,6 @@
 """Operators 2, 3 and 7 and the pipeline: laws, exact round trips, and the odd rows each docstring defines."""
 
+import json
 from collections import defaultdict
 
 import numpy as np
@@ -79,6 +80,31 @@ def test_pack_documents_round_trip(spark):
     assert packing.pack_documents(spark.createDataFrame([], DOC_SCHEMA), PATH).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 100])
+def test_packing_fills_whatever_the_partitions(spark, parts):
+    rng = np.random.default_rng(5)
+    vocab = vocabulary(rng)
+    texts = [prose(rng, vocab, int(rng.integers(1, 900))) for _ in range(1000)]
+    docs = documents(spark, texts).repartition(parts)
+    packed = packing.pack_documents(docs, PATH, task_bytes=500_000)
+    assert docs.rdd.getNumPartitions() == parts
+    n, sequences = packed.agg(F.sum("length"), F.count_distinct("sequence_id")).first()
+    assert n / (2048 * sequences) > 0.99
+    empty = packing.pack_documents(documents(spark, [None] * 500).repartition(8), PATH, task_bytes=500)
+    assert empty.count() == 500 and empty.rdd.getNumPartitions() == 4
+
+
+def test_files_of_another_kind_are_left_to_their_library(tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        said = json.load(f)
+    said["normalizer"] = {"type": "Lowercase"}
+    other = tmp_path / "lower.json"
+    other.write_text(json.dumps(said), encoding="utf-8")
+    tok = packing.FileTokenizer(str(other))
+    plain = packing.FileTokenizer(PATH)
+    assert tok.encode(["Hello THERE"]) == plain.encode(["hello there"]) != plain.encode(["Hello THERE"])
+
+
 # --- mixing ----------------------------------------------------------------
 
 def brute_targets(sizes, weights, budget, cap=3):

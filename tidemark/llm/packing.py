@@ -9,7 +9,9 @@ sequences for the tokens, so padding stays below one sequence per window.
 
 Documents are packed where they are read, in windows of ``window_tokens``
 tokens: no shuffle, memory bounded by a window (or one longer document), and
-a lost task packs its own rows again.
+a lost task packs its own rows again.  Small partitions are read together, by
+tasks of ``task_bytes`` on average, so that padding hangs on the size of the
+data and not on how many files hold it.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tidemark.llm.byte_level import PATTERN, ByteLevelFile
 from tidemark.llm.common import steps
 
 SEQUENCE_TOKENS = 2048
@@ -30,41 +34,38 @@ SEQUENCE_TOKENS = 2048
 LINEAR, QUADRATIC = 1.0, 1 / 6144
 WINDOW_TOKENS = 2_000_000
 
-#: Fixed value: how byte-level BPE of this kind divides texts before merging.
-BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Bytes of text (and end ids) that a task packs on average, however small the files are.
+TASK_BYTES = 2_000_000
 #: Texts with a run this long of one class are left to the tokenizer file's own library.
 _LONG_RUN = re.compile(r"\S{20000}|\s{20000}")
 
 
-def _byte_characters() -> dict[str, int]:
-    """The printable character that stands for each byte in a byte-level vocabulary."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class FileTokenizer:
     """Ids of whole texts as a tokenizers file gives them, special tokens not added.
 
-    The vocabulary of a byte-level BPE is handed to ``tiktoken``, which merges
-    the same pairs several times faster.  Texts that spell a special token or
-    hold very long runs are encoded by ``tokenizers`` itself.
+    The vocabulary of a plain byte-level BPE is handed to ``tiktoken``, which
+    merges the same pairs several times faster.  Texts that spell a special
+    token or hold very long runs, and all texts if the file is of another kind
+    (a normalizer, another pre-tokenizer), are encoded by ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        of = _byte_characters()
-        ranks = {bytes(of[c] for c in token): i for token, i in self.tokenizer.get_vocab().items() if token not in added}
-        self.fast = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        try:
+            said = ByteLevelFile(path)
+        except ValueError:
+            self.fast = None
+        else:
+            self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=said.ids, special_tokens={})
+            self.special = said.special_pattern
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, as one byte string."""
         return [array("I", self.tokenizer.encode(t, add_special_tokens=False).ids
-                      if self.special.search(t) or _LONG_RUN.search(t) else self.fast.encode_ordinary(t)).tobytes()
+                      if self.fast is None or self.special.search(t) or _LONG_RUN.search(t)
+                      else self.fast.encode_ordinary(t)).tobytes()
                 for t in texts]
 
 
@@ -104,15 +105,20 @@ SCHEMA = ("start long, length long, ids binary, doc_tokens long, sequence_id lon
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                    end_id: int = 1, room: int = SEQUENCE_TOKENS, linear: float = LINEAR,
-                   quadratic: float = QUADRATIC, window_tokens: int = WINDOW_TOKENS) -> DataFrame:
+                   quadratic: float = QUADRATIC, window_tokens: int = WINDOW_TOKENS,
+                   task_bytes: int = TASK_BYTES) -> DataFrame:
     """Pieces of all documents: ``id_col``, start, length, ids, doc_tokens, sequence_id, offset, sequence_cost.
 
     ``ids`` are the piece's token ids, 32-bit little-endian.  A document is its
     text's ids and ``end_id``, so a null or empty text is one token.  Each row
     is a document of its own, whatever its id.  Offsets run through a sequence
-    without gaps.  Sequence ids are unique, and rise by window.
+    without gaps.  Sequence ids are unique, and rise by window.  Text sizes are
+    summed when called, in a job of its own.
     """
     docs = docs.select(id_col, text_col)
+    # A document's end id counts too, so that empty texts never all go to one task.
+    size = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + F.lit(4))).first()[0] or 0
+    docs = docs.coalesce(max(1, size // task_bytes))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
