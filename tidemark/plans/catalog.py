@@ -46,6 +46,7 @@ from tidemark.operators.reshape import (
 )
 from tidemark.operators.rolling import rolling_threshold
 from tidemark.operators.selection import newest_rows
+from tidemark.operators.tiles import transpose_fields, transpose_matrix
 from tidemark.operators.windows import (
     sliding_aggregate,
     sliding_limits,
@@ -483,6 +484,38 @@ def _transpose_sql() -> str:
     return rounded_sql(" UNION ALL ".join(parts), [f"p{i}" for i in range(8)])
 
 
+def q_transpose_series(spark, sf):
+    """Every instant of every series, turned: blocks of 1,024 positions per field."""
+    ev = _events(spark, sf).select("event_type", "event_id", "value", "user_id")
+    pos = row_positions(ev, "event_id", "event_type", "pos")
+    out = transpose_fields(pos, ["value", "user_id"], "pos", "event_type", size=1024)
+    return out.withColumn("values", F.transform("values", lambda x: round_half_up(x)))
+
+
+def _transpose_series_sql() -> str:
+    fields = " UNION ALL ".join(
+        f"SELECT event_type, '{f}' AS field, event_id, CAST({f} AS DOUBLE) AS x FROM events" for f in ("value", "user_id"))
+    return f"""
+SELECT event_type, field, block, block * 1024 AS start, list({round_half_up_sql("x")} ORDER BY pos) AS values
+FROM (SELECT *, pos // 1024 AS block
+      FROM (SELECT *, row_number() OVER (PARTITION BY event_type, field ORDER BY event_id) - 1 AS pos FROM ({fields}) f) n) p
+GROUP BY event_type, field, block"""
+
+
+def q_transpose_matrix(spark, sf):
+    """The embedding matrix, turned: each dimension over all vectors in order of ``vec_id``."""
+    pos = row_positions(table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id", position_col="pos")
+    out = transpose_matrix(pos, "pos", "embedding", tile_rows=512, tile_cols=16)
+    return out.withColumn("values", F.transform("values", lambda x: round_half_up(x.cast("double"))))
+
+
+SQL_TRANSPOSE_MATRIX = """
+SELECT "column", block, block * 512 AS start, list(""" + round_half_up_sql("CAST(x AS DOUBLE)") + """ ORDER BY pos) AS values
+FROM (SELECT pos, pos // 512 AS block, unnest(embedding) AS x, unnest(range(len(embedding))) AS "column"
+      FROM (SELECT embedding, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM embeddings) n) p
+GROUP BY "column", block"""
+
+
 def q_chunk_blocks(spark, sf):
     ev = _events(spark, sf).select("user_id", "event_id", "value")
     pos = row_positions(ev, "event_id", "user_id", "pos")
@@ -727,6 +760,8 @@ QUERIES: list[Query] = [
     _q("window_latest_n_default", ["W2", "W5", "A2", "M1", "M3"], _window_model("WMA", 6000, 60, 100, []),
        _window_model_sql("WMA", 6000, 60, 100, [])),
     _q("transpose", ["R2"], q_transpose, _transpose_sql()),
+    _q("transpose_series", ["R2"], q_transpose_series, _transpose_series_sql()),
+    _q("transpose_matrix", ["R2"], q_transpose_matrix, SQL_TRANSPOSE_MATRIX),
     _q("chunk_blocks", ["R3"], q_chunk_blocks, SQL_CHUNK_BLOCKS),
     _q("chunk_blocks_null_series", ["R3"], q_chunk_blocks_null_series, SQL_CHUNK_BLOCKS_NULL_SERIES),
     _q("latest_n_per_series_large", ["T2", "T3"], q_latest_n_per_series_large, SQL_LATEST_N_PER_SERIES_LARGE),
