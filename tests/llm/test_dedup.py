@@ -52,6 +52,52 @@ def test_jaccard_components(spark, part_sets):
     assert got == dict(enumerate(jaccard(texts)))
 
 
+def test_tokens_are_dealt_in_levels(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    texts = ODD + near_copies(rng, 8, 5, 300) + [prose(rng, vocabulary(rng, 3000), 200) for _ in range(40)]
+    texts += texts[9:20]
+    monkeypatch.setattr(join, "RANGE_BYTES", 400)
+    monkeypatch.setattr(join, "WINDOW_TOKENS", 500)
+    monkeypatch.setattr(join, "DEAL_BYTES", 5000)
+    total = sum(len((t or "").encode()) for t in texts)
+    rows = documents(spark, texts).select(F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("hash"), "text").repartition(5)
+    alive = []
+    for fanout, levels in ((10**6, 1), (16, 2), (4, 4)):
+        monkeypatch.setattr(join, "FANOUT", fanout)
+        assert len(join._levels(max(16, -(-total // 400)))) == levels
+        found = sorted(r["d1"] for r in join.with_shared_tokens(rows, 75, 5, total).collect())
+        assert len(found) == len(set(found))
+        alive.append(found)
+    assert alive[0] == alive[1] == alive[2]
+    component = [c for _, c in jaccard(texts)]
+    linked = {i for i, c in enumerate(component) if component.count(c) > 1 and texts[i]}
+    sets = {r["id"]: r["d1"] for r in join.set_digests(rows).collect()}
+    different = {i for i in linked if len({sets[k] for k in linked if component[k] == component[i]}) > 1}
+    assert len(different) > 5 and {sets[i] for i in different} <= set(alive[0])
+    assert len(alive[0]) < len(set(sets.values())) - 40  # sets of unique tokens drop out
+
+
+def test_a_window_sends_at_most_one_row_per_slot():
+    rng = np.random.default_rng(2)
+    ranges, t = 5000, rng.integers(0, 2**64, 40_000, np.uint64)
+    d, common = rng.integers(0, 50, len(t)).astype(np.uint64), rng.integers(0, 2**64, 3000, np.uint64)
+    own = (np.arange(50, dtype=np.uint64) + np.uint64(7), np.ones(50, np.int64), np.zeros(50, np.int64))
+    first = join.deal_tokens(t, d, common, own, ranges, 64, (0, ranges))
+    assert first.num_rows <= -(-ranges // 64)
+    sent, shared, owned = [], [], 0
+    for slot, columns in join._by_slot(iter([first.slice(0, 30), first.slice(30)]), 2000):
+        sets, sizes, tokens, more, ids = (x.view(k) for x, k in zip(
+            columns[:5], (np.uint64, np.uint32, np.uint64, np.uint64, np.uint64), strict=True))
+        assert set(join._range_of(tokens, ranges) // 64) | set(join._range_of(more, ranges) // 64) <= {slot}
+        sent += zip(tokens.tolist(), np.repeat(sets, sizes).tolist(), strict=True)
+        shared += more.tolist()
+        owned += len(ids)
+        again = join.deal_tokens(tokens, np.repeat(sets, sizes), more, (ids, ids, ids), ranges, 1, (slot * 64, min(ranges, slot * 64 + 64)))
+        assert all(r // 64 == slot for r in again.column("slot").to_pylist()) and again.num_rows <= 64
+    assert sorted(sent) == sorted(zip(t.tolist(), d.tolist(), strict=True)) and sorted(shared) == sorted(common.tolist())
+    assert owned == 50
+
+
 def test_jaccard_nulls_repeats_and_empty(spark):
     words = "the quick brown fox jumps over the lazy dog again"
     docs = documents(spark, [words, words, words, None, words.upper()], ids=[7, 7, None, 3, 9])

@@ -23,6 +23,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,8 @@ from tidemark.llm.graph import components
 WORDS, PERCENT = 5, 75
 #: Text bytes per hash range and tokens per exchanged window.
 RANGE_BYTES, WINDOW_TOKENS = 16_000_000, 1_000_000
+#: Slots that one window is dealt to, and text bytes whose tokens are dealt again in one task.
+FANOUT, DEAL_BYTES = 4096, 1_000_000_000
 PART_SETS = 1024
 CELL_SETS = 1024
 ORDERS = 3
@@ -101,15 +104,96 @@ def _sum_by(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return unique, *(np.bincount(where, weights=v, minlength=len(unique)).astype(np.int64) for v in values)
 
 
+def _levels(ranges: int) -> list[int]:
+    """Ranges per slot of every level of dealing: a slot of one level has at most ``FANOUT`` of the next."""
+    out = [1]
+    while out[0] * FANOUT < ranges:
+        out.insert(0, out[0] * FANOUT)
+    return out
+
+
+def _groups(key: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(key, begin, end) of the runs of a sorted array."""
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else key
+    for k, a, b in zip(key[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(key)], strict=False):
+        yield k, a, b
+
+
+def deal_tokens(t: np.ndarray, d: np.ndarray, common: np.ndarray, own: tuple[np.ndarray, ...], ranges: int,
+                per_slot: int, within: tuple[int, int]) -> pa.RecordBatch:
+    """Tokens ``t`` of sets ``d``, tokens without a set and the sets' own counts as one packed row per slot.
+
+    ``within``: the ranges (begin, end) that all tokens lie in; a slot of them
+    carries ``own``.  In the last level (``per_slot`` = 1) tokens lose their
+    upper half, which follows from the range but for a few.
+    """
+    kind = np.uint32 if per_slot == 1 else np.uint64
+    r = _range_of(t, ranges) // per_slot
+    order = np.lexsort((d, r))
+    t, d, r = t[order], d[order], r[order]
+    where = _range_of(common, ranges) // per_slot
+    order = np.argsort(where, kind="stable")
+    common, where = common[order], where[order]
+    rows: dict[int, list[bytes]] = {}
+
+    def row(k: int) -> list[bytes]:
+        return rows.setdefault(k, [b""] * 7)
+
+    for k, a, b in _groups(r):
+        head = np.append(True, d[a + 1 : b] != d[a : b - 1])  # runs of one set
+        size = np.diff(np.append(np.flatnonzero(head), b - a))
+        row(k)[:3] = d[a:b][head].tobytes(), size.astype(np.uint32).tobytes(), t[a:b].astype(kind).tobytes()
+    for k, a, b in _groups(where):
+        row(k)[3] = common[a:b].astype(kind).tobytes()
+    if len(own[0]):
+        begin, end = within
+        home = begin + int(own[0][0] % np.uint64(end - begin))
+        row(home // per_slot)[4:] = [x.tobytes() for x in own]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(rows), pa.int32()), *(pa.array([x[i] for x in rows.values()], pa.binary()) for i in range(7))],
+        names=["slot", "sets", "sizes", "tokens", "common", "own", "n", "local"])
+
+
+def _by_slot(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(slot, bytes of each packed column) of rows sorted by slot, joined up to ``limit`` bytes."""
+    at, parts, held = -1, [], 0
+    for batch in batches:
+        columns = [text_bytes(batch.column(i)) for i in range(1, batch.num_columns)]
+        sizes = np.cumsum(sum(np.diff(offsets) for _, offsets in columns))
+        for k, a, b in _groups(batch.column(0).to_numpy()):
+            while a < b:
+                if parts and (k != at or held >= limit):
+                    yield at, [np.concatenate(p) for p in zip(*parts, strict=True)]
+                    parts, held = [], 0
+                before = int(sizes[a - 1]) if a else 0
+                upto = min(b, max(a + 1, int(np.searchsorted(sizes, before + limit - held, "right"))))
+                parts.append([data[offsets[a] : offsets[upto]].copy() for data, offsets in columns])
+                at, held, a = k, held + int(sizes[upto - 1]) - before, upto
+    if parts:
+        yield at, [np.concatenate(p) for p in zip(*parts, strict=True)]
+
+
+def _gathered(packed: DataFrame, ranges: int, per_slot: int) -> DataFrame:
+    """Packed rows with those of a slot together, a large slot in several tasks."""
+    turns = max(1, per_slot * RANGE_BYTES // DEAL_BYTES)
+    turn = F.pmod(F.xxhash64(*packed.columns[1:]), F.lit(turns))
+    return (packed.withColumn("turn", turn).repartition(-(-ranges // per_slot) * turns, "slot", "turn")
+            .drop("turn").sortWithinPartitions("slot"))
+
+
 def with_shared_tokens(docs: DataFrame, percent: int, n_words: int, total_bytes: int) -> DataFrame:
     """d1 of the sets of which at least ``percent`` % of the tokens occur in another set (or in a few more).
 
     Tokens travel as their low 32 bits within a hash range, which can only
     make more of them look shared.  A token found in several sets of one
     window travels once, without their digests, so what a common token sends
-    follows the windows and not the documents.
+    follows the windows and not the documents.  A window sends at most
+    ``FANOUT`` rows: beyond so many ranges it deals to slots of ranges first, whose
+    rows are joined to windows and dealt again, and counts go back the same way.
     """
     ranges = max(16, -(-total_bytes // RANGE_BYTES))
+    levels = _levels(ranges)
+    window, limit = WINDOW_TOKENS, WINDOW_TOKENS * 8
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, sets, seen, held = [], [], set(), 0
@@ -124,39 +208,8 @@ def with_shared_tokens(docs: DataFrame, percent: int, n_words: int, total_bytes:
             length = np.bincount(run)
             single = np.zeros(len(ts), bool)
             single[order] = length[run] == 1
-            own, n, local = _sum_by(d, np.ones(len(d)), ~single)
-            common = ts[start][length > 1]
-            common_range = _range_of(common, ranges)
-            t, d = t[single], d[single]
-            r = _range_of(t, ranges)
-            order = np.lexsort((d, r))
-            t, d, r = t[order], d[order], r[order]
-            # Runs of one set within one range.
-            head = np.ones(len(t), bool)
-            head[1:] = (d[1:] != d[:-1]) | (r[1:] != r[:-1])
-            heads = np.flatnonzero(head)
-            size = np.diff(np.append(heads, len(t)))
-            columns = [[] for _ in range(8)]
-            home = int(own[0] % np.uint64(ranges)) if len(own) else 0
-            bounds = np.searchsorted(r, np.arange(ranges + 1))
-            head_bounds = np.searchsorted(r[heads], np.arange(ranges + 1))
-            common_bounds = np.searchsorted(common_range, np.arange(ranges + 1))
-            for k in range(ranges):
-                a, b = bounds[k], bounds[k + 1]
-                ha, hb = head_bounds[k], head_bounds[k + 1]
-                ca, cb = common_bounds[k], common_bounds[k + 1]
-                if a == b and ca == cb and k != home:
-                    continue
-                mine = k == home
-                for column, value in zip(columns, (
-                        k, d[heads[ha:hb]].tobytes(), size[ha:hb].astype(np.uint32).tobytes(),
-                        t[a:b].astype(np.uint32).tobytes(), common[ca:cb].astype(np.uint32).tobytes(),
-                        own.tobytes() if mine else b"", n.tobytes() if mine else b"", local.tobytes() if mine else b""),
-                        strict=True):
-                    column.append(value)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-                names=["slot", "sets", "sizes", "tokens", "common", "own", "n", "local"])
+            own = _sum_by(d, np.ones(len(d)), ~single)
+            return deal_tokens(t[single], d[single], ts[start][length > 1], own, ranges, levels[0], (0, ranges))
 
         for batch in steps(batches):
             token, of = token_sets(*text_bytes(batch.column("text")), n_words)
@@ -170,15 +223,30 @@ def with_shared_tokens(docs: DataFrame, percent: int, n_words: int, total_bytes:
             tokens.append(token[keep])
             sets.append(d1[of[keep]])
             held += int(keep.sum())
-            if held >= WINDOW_TOKENS:
+            if held >= window:
                 yield flush()
                 tokens, sets, seen, held = [], [], set(), 0
         if held:
             yield flush()
 
+    def deal_again(above: int, per_slot: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for slot, columns in _by_slot(batches, limit):
+                sets, sizes, token, common, *own = (
+                    x.view(k) for x, k in zip(columns, (np.uint64, np.uint32, np.uint64, np.uint64, np.uint64,
+                                                        np.int64, np.int64), strict=True))
+                yield deal_tokens(token, np.repeat(sets, sizes), np.unique(common), tuple(own), ranges, per_slot,
+                                  (slot * above, min(ranges, (slot + 1) * above)))
+        return run
+
     def gather(column: pd.Series, kind: type) -> np.ndarray:
         return np.frombuffer(b"".join(column), kind)
 
+    def home_rows(key: np.ndarray, total: np.ndarray, most: np.ndarray, per_slot: int) -> tuple[list, ...]:
+        """Counts of sorted keys as one packed row per slot."""
+        found = list(_groups(_range_of(key, ranges) // per_slot))
+        return [k for k, _, _ in found], *([x[a:b].tobytes() for _, a, b in found] for x in (key, total, most))
+
     def count(rows: pd.DataFrame) -> pd.DataFrame:
         token, common = gather(rows["tokens"], np.uint32), gather(rows["common"], np.uint32)
         of = np.repeat(gather(rows["sets"], np.uint64), gather(rows["sizes"], np.uint32))
@@ -188,11 +256,18 @@ def with_shared_tokens(docs: DataFrame, percent: int, n_words: int, total_bytes:
         of = of[shared]
         key, total, most = _sum_by(np.concatenate([of, own]), np.concatenate([np.ones(len(of)), local]),
                                    np.concatenate([np.zeros(len(of)), n]))
-        slot = _range_of(key, ranges)  # sorted, as the keys are
-        bounds = np.searchsorted(slot, np.arange(ranges + 1))
-        full = [k for k in range(ranges) if bounds[k] < bounds[k + 1]]
-        cut = lambda x: [x[bounds[k] : bounds[k + 1]].tobytes() for k in full]
-        return pd.DataFrame({"slot": np.array(full, np.int32), "sets": cut(key), "total": cut(total), "n": cut(most)})
+        slot, sets, total, most = home_rows(key, total, most, levels[0])
+        return pd.DataFrame({"slot": np.array(slot, np.int32), "sets": sets, "total": total, "n": most})
+
+    def count_again(per_slot: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, (key, total, most) in _by_slot(batches, limit):
+                order = np.argsort(key.view(np.uint64), kind="stable")
+                slot, *packed = home_rows(*(x.view(k)[order] for x, k in (
+                    (key, np.uint64), (total, np.int64), (most, np.int64))), per_slot)
+                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), *(pa.array(x, pa.binary()) for x in packed)],
+                                                 names=["slot", "sets", "total", "n"])
+        return run
 
     def decide(rows: pd.DataFrame) -> pd.DataFrame:
         # A set met in several windows has its size in each, and its local counts too: more than it needs, never less.
@@ -203,9 +278,14 @@ def with_shared_tokens(docs: DataFrame, percent: int, n_words: int, total_bytes:
         np.minimum.at(n, where, np.where(sizes > 0, sizes, np.iinfo(np.int64).max))
         return pd.DataFrame({"d1": key[100 * total >= percent * n].view(np.int64)})
 
-    packed = docs.mapInArrow(windows, "slot int, sets binary, sizes binary, tokens binary, common binary, "
-                                      "own binary, n binary, local binary")
-    counted = packed.groupBy("slot").applyInPandas(count, "slot int, sets binary, total binary, n binary")
+    token_rows = "slot int, sets binary, sizes binary, tokens binary, common binary, own binary, n binary, local binary"
+    count_rows = "slot int, sets binary, total binary, n binary"
+    packed = docs.mapInArrow(windows, token_rows)
+    for above, per_slot in pairwise(levels):
+        packed = _gathered(packed, ranges, above).mapInArrow(deal_again(above, per_slot), token_rows)
+    counted = packed.groupBy("slot").applyInPandas(count, count_rows)
+    for above, per_slot in pairwise(levels):
+        counted = _gathered(counted, ranges, above).mapInArrow(count_again(per_slot), count_rows)
     return counted.groupBy("slot").applyInPandas(decide, "d1 long")
 
 
