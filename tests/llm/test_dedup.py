@@ -56,15 +56,15 @@ def test_tokens_are_dealt_in_levels(spark, monkeypatch):
     rng = np.random.default_rng(12)
     texts = ODD + near_copies(rng, 8, 5, 300) + [prose(rng, vocabulary(rng, 3000), 200) for _ in range(40)]
     texts += texts[9:20]
-    monkeypatch.setattr(join, "RANGE_BYTES", 400)
-    monkeypatch.setattr(join, "WINDOW_TOKENS", 500)
-    monkeypatch.setattr(join, "DEAL_BYTES", 5000)
     total = sum(len((t or "").encode()) for t in texts)
+    monkeypatch.setattr(join, "RANGE_BYTES", total // 200)
+    monkeypatch.setattr(join, "WINDOW_TOKENS", 500)
+    monkeypatch.setattr(join, "DEAL_BYTES", total // 20)
     rows = documents(spark, texts).select(F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("hash"), "text").repartition(5)
     alive = []
     for fanout, levels in ((10**6, 1), (16, 2), (4, 4)):
         monkeypatch.setattr(join, "FANOUT", fanout)
-        assert len(join._levels(max(16, -(-total // 400)))) == levels
+        assert len(join._levels(-(-total // (total // 200)))) == levels
         found = sorted(r["d1"] for r in join.with_shared_tokens(rows, 75, 5, total).collect())
         assert len(found) == len(set(found))
         alive.append(found)
