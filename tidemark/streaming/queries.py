@@ -307,7 +307,8 @@ SQL_STREAM_DAILY_SINK = (
 def q_stream_record_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Messages that a stream of line items sets aside, beside the decoded ones."""
     root = scratch_path(spark, "stream_record_quarantine")
-    line_messages(spark, sf).repartition(N_FILES).write.parquet(f"{root}/input")
+    # by hash: a round-robin shuffle would sort each task's messages first
+    line_messages(spark, sf).repartition(N_FILES, "key", "value", "offset").write.parquet(f"{root}/input")
     src = file_stream(spark, f"{root}/input", line_messages(spark, sf).schema, max_files_per_trigger=FILES_PER_BATCH)
     start_record_split_stream(src, f"{root}/out", f"{root}/ckpt", available_now=True).awaitTermination()
     return read_quarantine(spark, f"{root}/out").select("create_date", "offset", "reason")

@@ -19,13 +19,28 @@ from tidemark.functions.schema import DAILY_INDEX_PREFIX, DAY_PATTERN
 BATCH_COL = "batch_id"
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = ()) -> None:
+#: Output files a task may hold open; set, Spark parts rows by folder without sorting them.
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = (),
+                open_files: int | None = None) -> None:
     """Write one micro-batch's rows to ``<path>/batch_id=<batch_id>`` (replay-safe).
 
     The folder is replaced as a whole, whatever the session's overwrite mode:
     a replay may write other partitions (another day) than the first attempt.
+    Spark sorts a task's rows by ``partition_cols``, unless ``open_files`` names
+    how many of their folders a task writes at once; beyond that it sorts too.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+    conf = df.sparkSession.conf
+    before = conf.get(OPEN_FILES, None)
+    if open_files is not None:
+        conf.set(OPEN_FILES, str(open_files))
+    try:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+    finally:
+        if open_files is not None:
+            conf.unset(OPEN_FILES) if before is None else conf.set(OPEN_FILES, before)
 
 
 def daily_partitions(df: DataFrame, time_col: str | None = None,
